@@ -30,13 +30,11 @@ def folded_model(model: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     lines = model.groupBy("emotion").agg(ranked.alias("_r"))
     counts = F.transform("_r", lambda r: -r["k"])
     running = F.transform(
-        F.sequence(F.lit(1), F.size("_r")),
+        F.sequence(F.lit(1), F.size("_counts")),
         lambda i: F.aggregate(F.slice("_counts", F.lit(1), i), F.lit(0).cast("bigint"), lambda a, n: a + n),
     )
-    return (
-        lines.select("emotion", F.transform("_r", lambda r: r["s"]).alias("_symbols"), counts.alias("_counts"))
-        .withColumn("_running", running)
-    )
+    folded = lines.select("emotion", F.transform("_r", lambda r: r["s"]).alias("_symbols"), counts.alias("_counts"))
+    return folded.withColumn("_running", running)
 
 
 def _scored(texts: DataFrame, model: DataFrame, pick: Column, exclude: Iterable[str] = ()) -> DataFrame:

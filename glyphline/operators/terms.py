@@ -32,7 +32,7 @@ def symbol_corpora(df: DataFrame, text: str, k: int = 5, symbols: DataFrame | No
     chosen = symbols if symbols is not None else top_symbols(df, k)
     wanted = chosen.agg(F.array_sort(F.collect_set("symbol")).alias("_wanted")).scalar()
     return (
-        df.select(text, F.array_sort(F.array_intersect("symbols", wanted)).alias("hits"))
+        df.select(text, F.sort_array(F.array_intersect("symbols", wanted)).alias("hits"))
         .filter(F.size("hits") > 0)
         .filter(F.col(text).isNotNull())
     )

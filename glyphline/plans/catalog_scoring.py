@@ -145,25 +145,23 @@ def e5_top_emotions_with_score(spark, sf):
     return _rounded(em.top_emotions(docs, b.emotions(spark), "text", "doc_id", key="label_score"), "score")
 
 
-def _length_scorer():
-    """A tiny scorer for the hook: it labels by number of words and fails on short texts."""
-
-    def score(text: str) -> str:
-        n = len(text.split(" "))
-        if n < 5:
-            raise ValueError("too short")
-        return "long" if n > 300 else "middle" if n > 60 else "brief"
-
-    return score
-
-
 @query(
     """SELECT doc_id, CASE WHEN n < 5 THEN NULL WHEN n > 300 THEN 'long' WHEN n > 60 THEN 'middle' ELSE 'brief' END AS emotion
     FROM (SELECT doc_id, length(text) - length(replace(text, ' ', '')) + 1 AS n FROM documents)"""
 )
 def e6_label_with(spark, sf):
+    # defined here, so that it travels with the plan and workers need not import this module
+    def length_scorer():
+        def score(text: str) -> str:
+            n = text.count(" ") + 1
+            if n < 5:
+                raise ValueError("too short")
+            return "long" if n > 300 else "middle" if n > 60 else "brief"
+
+        return score
+
     docs = b.documents(spark, sf, "doc_id", "text")
-    return em.label_with(docs, _length_scorer, "text").select("doc_id", "emotion")
+    return em.label_with(docs, length_scorer, "text").select("doc_id", "emotion")
 
 
 @query(

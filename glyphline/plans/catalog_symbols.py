@@ -131,7 +131,8 @@ def p10_exclude_before_topk(spark, sf):
 )
 def p11_exclude_after_topk(spark, sf):
     rows = b.symbol_rows(spark, sf, "source")
-    return gr.association_cells(rows, "source", 10, drop_groups=["src0", "src17"], drop_symbols=["!", "ß"])
+    cells = gr.association_cells(rows, "source", 10, drop_groups=["src0", "src17"], drop_symbols=["!", "ß"])
+    return cells.select("source", "symbol", "n")
 
 
 @query(
@@ -343,9 +344,9 @@ def a21_group_matrix(spark, sf):
 
 
 @query(
-    f"""WITH {PAIR_COUNTS}, both AS (SELECT s1 AS r, s2 AS c2, n FROM c UNION ALL SELECT s2, s1, n FROM c)
+    f"""WITH {PAIR_COUNTS}, sym AS (SELECT s1 AS r, s2 AS c2, n FROM c UNION ALL SELECT s2, s1, n FROM c)
     SELECT r AS "row", {', '.join(f"coalesce(sum(n) FILTER (c2 = '{x}'), 0)::BIGINT AS {a}"
-      for x, a in (('é', 'e_acute'), ('ü', 'u_umlaut'), ('!', 'bang')))} FROM both GROUP BY r"""
+      for x, a in (('é', 'e_acute'), ('ü', 'u_umlaut'), ('!', 'bang')))} FROM sym GROUP BY r"""
 )
 def a21_cooccurrence_matrix(spark, sf):
     long = pr.pair_matrix(pr.cooccurrence_counts(b.symbol_rows(spark, sf)))

@@ -66,11 +66,13 @@ def audit_columns(spark: SparkSession, glob: str | list[str]) -> DataFrame:
             .option("columnNameOfCorruptRecord", "_raw")
             .csv(sorted(files))
         )
+        # Spark refuses to read the raw-record column alone, hence the first cell beside it
+        bad = F.when(F.col("_raw").isNotNull(), F.rtrim(F.coalesce("_raw", "c0"), F.lit("\r\n")))
         parts.append(
             rows.select(
                 F.col("_metadata.file_path").alias("file"),
                 F.monotonically_increasing_id().alias("_at"),
-                F.rtrim(F.col("_raw"), F.lit("\r\n")).alias("_raw"),
+                bad.alias("_raw"),
                 F.lit(len(names)).alias("expected"),
             )
         )

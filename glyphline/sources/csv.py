@@ -39,8 +39,12 @@ def label_from_file(pattern: str = STEM_PATTERN, path: Column | None = None) ->
 
 
 def field_count(raw: Column) -> Column:
-    """Fields of a raw record: commas outside quotes, plus one."""
-    unquoted = F.regexp_replace(raw, '"(?:[^"]|"")*"', "")
+    """Fields of a raw record: commas outside quotes, plus one.
+
+    A doubled quote splits a quoted field into two quoted stretches, so removing those
+    needs no repeated group (on which Java's regex recurses, once per character).
+    """
+    unquoted = F.regexp_replace(raw, '"[^"]*"', "")
     return F.regexp_count(unquoted, F.lit(",")) + F.lit(1)
 
 
