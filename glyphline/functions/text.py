@@ -16,7 +16,10 @@ WORD = r"\p{L}\p{N}_"
 
 TOKEN_PATTERN = "[a-zA-Z']+"
 URL_PATTERN = f"http[^{SPACE}]+|www[^{SPACE}]+|https[^{SPACE}]+"
-NOT_LETTER_PATTERN = f"[^a-z{SPACE}]"
+NOT_LETTER_PATTERN = f"[^a-z{SPACE}]+"
+# visible ASCII is tested first, so that most characters need one comparison
+NOT_SPACE_PATTERN = rf"[\x{{0021}}-\x{{007E}}[^{SPACE}]]+"
+CLEAN_WORD_PATTERN = "[a-z]+"
 SPACES_PATTERN = f"[{SPACE}]+"
 EDGE_SPACES_PATTERN = f"^[{SPACE}]+|[{SPACE}]+$"
 CLOUD_TOKEN_PATTERN = f"[{WORD}][{WORD}']+"
@@ -45,21 +48,30 @@ def tokenize(text: Column | str) -> Column:
 
 def clean_text(text: Column | str) -> Column:
     """Lower case, links removed, then everything but a-z and white space removed."""
-    no_links = F.regexp_replace(F.lower(F.coalesce(_col(text), F.lit(""))), URL_PATTERN, "")
+    lowered = F.lower(F.coalesce(_col(text), F.lit("")))
+    linked = F.contains(lowered, F.lit("http")) | F.contains(lowered, F.lit("www"))
+    no_links = F.when(linked, F.regexp_replace(lowered, URL_PATTERN, "")).otherwise(lowered)
     return F.regexp_replace(no_links, NOT_LETTER_PATTERN, "")
 
 
 def words(text: Column | str) -> Column:
     """White-space split without empty pieces."""
-    return F.regexp_extract_all(_col(text), F.lit(f"[^{SPACE}]+"), F.lit(0))
+    return F.regexp_extract_all(_col(text), F.lit(NOT_SPACE_PATTERN), F.lit(0))
+
+
+def clean_words(text: Column | str) -> Column:
+    """Words of the cleaned text, which holds nothing but letters and white space."""
+    return F.regexp_extract_all(clean_text(text), F.lit(CLEAN_WORD_PATTERN), F.lit(0))
 
 
 def cloud_tokens(text: Column | str) -> Column:
     """Tokens of a word cloud: two or more word characters, a final 's cut off,
     pure numbers dropped, case folded."""
     found = F.regexp_extract_all(F.lower(_col(text)), F.lit(CLOUD_TOKEN_PATTERN), F.lit(0))
-    cut = F.transform(found, lambda w: F.regexp_replace(w, "'s$", ""))
-    return F.filter(cut, lambda w: ~w.rlike(r"^\p{Nd}+$"))
+    cut = F.transform(
+        found, lambda w: F.when(w.endswith("'s"), F.left(w, F.length(w) - F.lit(2))).otherwise(w)
+    )
+    return F.filter(cut, lambda w: w.rlike(r"\P{Nd}"))
 
 
 def primary_category(categories: Column | str) -> Column:

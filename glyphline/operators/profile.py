@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from glyphline.operators.frequency import exploded
 
@@ -71,41 +71,51 @@ def symbol_company(df: DataFrame) -> DataFrame:
 def symbol_profile(df: DataFrame, rating: str = "rating", item: str = "item_id") -> DataFrame:
     """All seven features from one scan and two narrow aggregates, without a join.
 
-    Every occurrence yields a line; the first occurrence in a row also yields one
-    line per partner. The first aggregate, on (symbol, partner, item), folds hot
-    symbols before the shuffle; the second counts its lines: those with a partner are
-    the distinct partners, the others the distinct items. Ratings are kept as sum and
-    sum of squares, which is exact for ratings on a short decimal scale.
+    Inside the row the symbols shrink to distinct symbols with their multiplicity, so a
+    text full of symbols does not multiply its own list. Each distinct symbol yields one
+    line, plus one per partner. The first aggregate, on (symbol, partner, item), folds
+    hot symbols before the shuffle; the second counts its lines: those with a partner
+    are the distinct partners, the others the distinct items. Ratings are kept as sum
+    and sum of squares, which is exact for ratings on a short decimal scale.
     """
-    at = df.select(
+    sets = df.select(
         F.col(item).alias("_item"),
         F.col(rating).cast("double").alias("_rating"),
         "symbols",
         F.array_distinct("symbols").alias("_set"),
-        F.posexplode_outer("symbols").alias("_pos", "symbol"),
-    ).filter(F.col("symbol").isNotNull())
-    first = F.array_position("symbols", F.col("symbol")) == F.col("_pos") + F.lit(1)
+    )
+    counted = F.transform(
+        "_set",
+        lambda s: F.struct(
+            s.alias("symbol"), (F.size("symbols") - F.size(F.array_remove("symbols", s))).alias("times")
+        ),
+    )
+    each = sets.select("_item", "_rating", "_set", F.explode_outer(counted).alias("_c")).select(
+        "_item", "_rating", "_set", "_c.symbol", "_c.times"
+    )
     itself = F.array(F.lit(None).cast("string"))
-    lines = at.select(
+    lines = each.filter(F.col("symbol").isNotNull()).select(
         "symbol",
         "_item",
         "_rating",
-        first.alias("_first"),
-        F.size("_set").alias("_size"),
-        F.explode(F.when(first, F.concat(itself, F.array_remove("_set", F.col("symbol")))).otherwise(itself)).alias(
-            "partner"
-        ),
+        "times",
+        (F.size("_set") - F.lit(1)).alias("_company"),
+        F.explode(F.concat(itself, F.array_remove("_set", F.col("symbol")))).alias("partner"),
     )
     own = F.col("partner").isNull()
+
+    def total(value: Column) -> Column:
+        return F.sum(F.when(own, value))
+
     folded = (
         lines.groupBy("symbol", "partner", F.when(own, F.col("_item")).alias("item"))
         .agg(
-            F.count_if(own).alias("_n"),
-            F.count_if(own & F.col("_first")).alias("_reviews"),
-            F.sum(F.when(own & F.col("_first"), F.col("_size") - F.lit(1)).otherwise(F.lit(0))).alias("_others"),
-            F.count(F.when(own, F.col("_rating"))).alias("_rated"),
-            F.sum(F.when(own, F.col("_rating"))).alias("_sum"),
-            F.sum(F.when(own, F.col("_rating") * F.col("_rating"))).alias("_squares"),
+            total(F.col("times")).alias("_n"),
+            F.count_if(own).alias("_reviews"),
+            total(F.col("_company")).alias("_others"),
+            total(F.when(F.col("_rating").isNotNull(), F.col("times"))).alias("_rated"),
+            total(F.col("times") * F.col("_rating")).alias("_sum"),
+            total(F.col("times") * F.col("_rating") * F.col("_rating")).alias("_squares"),
         )
         .groupBy("symbol")
         .agg(

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from glyphline.functions.scoring import bigram_likelihood
-from glyphline.functions.text import clean_text, cloud_tokens, words
+from glyphline.functions.text import clean_words, cloud_tokens
 from glyphline.operators.frequency import top_symbols
+from glyphline.session import checkpointed
 
 
 def drop_stopwords(terms: DataFrame, stopwords: DataFrame, word: str = "word") -> DataFrame:
@@ -19,7 +20,7 @@ def drop_stopwords(terms: DataFrame, stopwords: DataFrame, word: str = "word") -
 
 def term_frequency(df: DataFrame, stopwords: DataFrame, text: str = "text") -> DataFrame:
     """Cleaned, white-space split words and their counts."""
-    found = df.select(F.explode_outer(words(clean_text(text))).alias("word")).filter(F.col("word").isNotNull())
+    found = df.select(F.explode_outer(clean_words(text)).alias("word")).filter(F.col("word").isNotNull())
     return drop_stopwords(found.groupBy("word").agg(F.count(F.lit(1)).alias("n")), stopwords)
 
 
@@ -93,11 +94,16 @@ def term_weights(terms: DataFrame, *corpus: str, max_words: int = 200) -> DataFr
 
 
 def bigrams(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    """Neighbouring cloud tokens (w1, w2) inside each text."""
+    """Each cloud token of a text (w1) with the one after it (w2, null for the last).
+
+    The pairs are zipped inside the row: exploding positions instead would carry the
+    whole token list along with every token.
+    """
     listed = df.select(*keep, cloud_tokens(text).alias("_t"))
-    placed = listed.select(*keep, "_t", F.posexplode_outer("_t").alias("_i", "w1"))
-    return placed.select(*keep, "w1", F.get("_t", F.col("_i") + 1).alias("w2")).filter(
-        F.col("w2").isNotNull()
+    following = F.slice("_t", F.lit(2), F.size("_t"))
+    zipped = F.arrays_zip(F.col("_t").alias("w1"), following.alias("w2"))
+    return listed.select(*keep, F.explode_outer(zipped).alias("_p")).select(*keep, "_p.*").filter(
+        F.col("w1").isNotNull()
     )
 
 
@@ -106,21 +112,13 @@ def bigram_collocations(
 ) -> DataFrame:
     """Word pairs whose likelihood ratio exceeds the threshold.
 
-    Unigrams and pairs are counted in one pass: each token yields itself and, when it
-    has a neighbour, the pair. Stop words are removed from the counts, which is where
-    the joins happen; a frequent word is one line there.
+    One pass over the texts counts (token, next token); word counts are sums of those
+    lines. The table is checkpointed, as words, pairs and the total all come from it.
+    Stop words are removed from the counts, where a frequent word is one line.
     """
-    listed = df.select(cloud_tokens(text).alias("_t"))
-    placed = listed.select("_t", F.posexplode_outer("_t").alias("_i", "w1")).filter(F.col("w1").isNotNull())
-    following = F.get("_t", F.col("_i") + 1)
-    lone = F.lit(None).cast("string")
-    lines = placed.select(
-        "w1",
-        F.explode(F.when(following.isNotNull(), F.array(lone, following)).otherwise(F.array(lone))).alias("w2"),
-    )
-    counts = lines.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
+    counts = checkpointed(bigrams(df, text).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")))
     unigrams = drop_stopwords(
-        counts.filter(F.col("w2").isNull()).select(F.col("w1").alias("word"), "n"), stopwords
+        counts.groupBy(F.col("w1").alias("word")).agg(F.sum("n").alias("n")), stopwords
     )
     pairs = drop_stopwords(
         drop_stopwords(counts.filter(F.col("w2").isNotNull()), stopwords, "w1"), stopwords, "w2"

@@ -268,13 +268,15 @@ def g5_unknown_emotion(spark, sf):
       SELECT doc_id, te.emotion, symbol FROM te LEFT JOIN rk ON rk.emotion = te.emotion AND rnk = {DRAW} % least(3, size) + 1)"""
 )
 def g6_score_stream(spark, sf):
-    """The documents as a file stream, scored statelessly and written as a table."""
-    schema = b.table(spark, sf, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    """The documents, landed as a folder of files, scored as a stream without state."""
+    landed = scratch_path(spark, "landed")
+    docs = b.documents(spark, sf, "doc_id", "text")
+    docs.write.parquet(landed)
+    stream = spark.readStream.schema(docs.schema).parquet(landed)
     model_path = scratch_path(spark, "model")
     _model(spark, sf).write.parquet(model_path)
     model = spark.read.parquet(model_path)
-    scored = score_stream(stream.select("doc_id", "text"), b.emotions(spark), model, "text", "doc_id", k=3)
+    scored = score_stream(stream, b.emotions(spark), model, "text", "doc_id", k=3)
     out = scratch_path(spark, "scored")
     run = (
         scored.select("doc_id", "emotion", "symbol")
@@ -388,8 +390,8 @@ def m3_pca(spark, sf):
 
 
 @query(
-    f"""WITH {S} SELECT doc_id, len(syms)::DOUBLE AS total, len(list_distinct(syms))::BIGINT AS kinds,
-      list_max([len([x FOR x IN syms IF x = y]) FOR y IN syms])::DOUBLE AS most FROM s"""
+    f"""WITH {S}, k AS (SELECT doc_id, symbol, count(*) AS n FROM (SELECT doc_id, unnest(syms) AS symbol FROM s) GROUP BY ALL)
+    SELECT doc_id, sum(n)::DOUBLE AS total, count(*)::BIGINT AS kinds, max(n)::DOUBLE AS most FROM k GROUP BY doc_id"""
 )
 def m4_symbol_vectors(spark, sf):
     from pyspark.ml.functions import vector_to_array
