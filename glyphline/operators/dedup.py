@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 
-def _carried(summaries: DataFrame, fan_in: int, levels: int) -> DataFrame:
+def _bucket_of(order: Column, size: int) -> Column:
+    """First value of the bucket. Integer arithmetic, so exact for any id; never null, so
+    the joins add no null tests and both readers of the summaries share one exchange."""
+    return F.coalesce(order - F.pmod(order, F.lit(size)), F.lit(0)).cast("bigint")
+
+
+def _carried(summaries: DataFrame, width: int, fan_in: int, levels: int) -> DataFrame:
     """For each bucket, the last line of the nearest earlier non-empty bucket.
 
     Works inside groups of ``fan_in`` buckets and recurses on the groups, so the window
@@ -14,10 +20,11 @@ def _carried(summaries: DataFrame, fan_in: int, levels: int) -> DataFrame:
     """
     if levels == 0:
         return summaries.withColumn("_before", F.lag("_last").over(Window.orderBy("_bucket")))
-    grouped = summaries.withColumn("_group", F.floor(F.col("_bucket") / F.lit(fan_in)))
+    width *= fan_in
+    grouped = summaries.withColumn("_group", _bucket_of(F.col("_bucket"), width))
     within = Window.partitionBy("_group").orderBy("_bucket")
     upper = grouped.groupBy("_group").agg(F.max_by("_last", "_bucket").alias("_last"))
-    above = _carried(upper.withColumnRenamed("_group", "_bucket"), fan_in, levels - 1).select(
+    above = _carried(upper.withColumnRenamed("_group", "_bucket"), width, fan_in, levels - 1).select(
         F.col("_bucket").alias("_group"), F.col("_before").alias("_above")
     )
     return (
@@ -49,10 +56,10 @@ def first_of_run(
         F.col(order).alias("_order"),
         F.struct(F.col(key).alias("k")).alias("_key"),
         payload.alias("_row"),
-        F.floor(F.col(order) / F.lit(bucket_rows)).alias("_bucket"),
+        _bucket_of(F.col(order), bucket_rows).alias("_bucket"),
     )
     summaries = narrow.groupBy("_bucket").agg(F.max_by("_key", "_order").alias("_last"))
-    carried = _carried(summaries, fan_in, levels=1).select("_bucket", "_before")
+    carried = _carried(summaries, bucket_rows, fan_in, levels=1).select("_bucket", "_before")
     inside = F.lag("_key").over(Window.partitionBy("_bucket").orderBy("_order"))
     placed = narrow.withColumn("_inside", inside).filter(F.col("_row").isNotNull())
     before = F.coalesce("_inside", "_before")

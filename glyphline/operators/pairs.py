@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from glyphline.session import checkpointed
+
 
 def symbol_pairs(df: DataFrame, *keep: str) -> DataFrame:
     """Unordered pairs of distinct symbols of a row, smaller code point first.
@@ -42,8 +44,11 @@ def top_pair_matrix(counts: DataFrame, k: int = 20) -> DataFrame:
     """Every cell among the symbols of the top-k pairs, symmetric and zero-filled.
 
     At most 2k symbols: the semi joins broadcast that list, and the zero cells are
-    unfolded from it as one small array, without a cross join.
+    unfolded from it as one small array, without a cross join. The counts are needed
+    for the choice and for the cells; they are checkpointed (vocabulary-sized), because
+    Catalyst would push the semi joins under their aggregate and read the texts twice.
     """
+    counts = checkpointed(counts)
     top = top_pairs(counts, k).select(F.explode(F.array("s1", "s2")).alias("symbol")).distinct()
     side = F.broadcast(top)
     observed = pair_matrix(

@@ -1,7 +1,8 @@
 """Term frequencies, per corpus and per symbol, and the tables behind word clouds.
 
-Counting comes first and stop words are removed from the counts: the result is the
-same, but the stop-word join sees each word once per corpus instead of once per token.
+Stop words are removed from the counts, not from the tokens. The result is the same,
+and Catalyst chooses the place: it moves the anti join under the count when the list is
+small enough to broadcast, and otherwise joins one line per word.
 """
 
 from __future__ import annotations
@@ -25,18 +26,14 @@ def term_frequency(df: DataFrame, stopwords: DataFrame, text: str = "text") -> D
 
 
 def symbol_corpora(df: DataFrame, text: str, k: int = 5, symbols: DataFrame | None = None) -> DataFrame:
-    """Rows holding a chosen symbol: ``hits`` (which of them) and the text.
+    """Every text with ``hits``, the chosen symbols it holds (none gives an empty list).
 
     The choice is the k most frequent symbols, or the given ``symbols``. It becomes a
     one-row scalar subquery, so each text is kept once, however many it matches.
     """
     chosen = symbols if symbols is not None else top_symbols(df, k)
     wanted = chosen.agg(F.array_sort(F.collect_set("symbol")).alias("_wanted")).scalar()
-    return (
-        df.select(text, F.sort_array(F.array_intersect("symbols", wanted)).alias("hits"))
-        .filter(F.size("hits") > 0)
-        .filter(F.col(text).isNotNull())
-    )
+    return df.select(text, F.sort_array(F.array_intersect("symbols", wanted)).alias("hits"))
 
 
 def term_frequency_by_symbol(
@@ -45,11 +42,13 @@ def term_frequency_by_symbol(
     """Word counts of the texts holding each of the chosen symbols.
 
     Words are counted per combination of chosen symbols first and split over the
-    symbols afterwards: a text holding all five is tokenised and counted once.
+    symbols afterwards: a text holding all five is tokenised and counted once. A text
+    holding none is not tokenised at all; a filter would extract the symbols twice.
     """
     corpora = symbol_corpora(df, text, k, symbols)
+    wanted_words = F.when(F.size("hits") > 0, cloud_tokens(text))
     counted = (
-        corpora.select("hits", F.explode_outer(cloud_tokens(text)).alias("word"))
+        corpora.select("hits", F.explode_outer(wanted_words).alias("word"))
         .filter(F.col("word").isNotNull())
         .groupBy("hits", "word")
         .agg(F.count(F.lit(1)).alias("_n"))
