@@ -27,9 +27,28 @@ def symbol_class(symbols: Iterable[str]) -> str:
     return "[" + "".join(_code_point(p) for p in points) + "]"
 
 
+def _ranges(blocks: list[tuple[int, int]]) -> str:
+    return "".join(_code_point(a) if a == b else f"{_code_point(a)}-{_code_point(b)}" for a, b in blocks)
+
+
+def _nested(blocks: list[tuple[int, int]]) -> str:
+    """Ranges in groups, each group behind a test of its whole span."""
+    if len(blocks) <= 4:
+        return _ranges(blocks)
+    step = -(-len(blocks) // 4)
+    groups = [blocks[i : i + step] for i in range(0, len(blocks), step)]
+    return "".join(f"[[{_ranges([(g[0][0], g[-1][1])])}]&&[{_nested(g)}]]" for g in groups)
+
+
 def block_class(blocks: Iterable[tuple[int, int]] = SYMBOL_BLOCKS) -> str:
-    """Character class for whole code-point ranges."""
-    return "[" + "".join(f"{_code_point(a)}-{_code_point(b)}" for a, b in blocks) + "]"
+    """Character class for whole code-point ranges.
+
+    Java tests the ranges of a class one after the other, for every character of every
+    text. So characters below the first range (all of ASCII, as a rule) are turned away
+    by one comparison, and the rest goes through nested groups.
+    """
+    ordered = sorted(blocks)
+    return f"[[^{_ranges([(0, ordered[0][0] - 1)])}]&&[{_nested(ordered)}]]"
 
 
 def emoji_class() -> str:
@@ -59,17 +78,19 @@ def sequence_regex(sequences: Iterable[str]) -> str:
     return "|".join("".join(_code_point(ord(c)) for c in s) for s in ordered)
 
 
-def emoji_sequence_regex() -> str:
-    """Flags, keycaps, tag flags, then joined or modified emoji."""
+def emoji_sequence_patterns() -> tuple[str, str]:
+    """Flags, tag flags and joined or modified emoji; and keycaps.
+
+    Two patterns that cannot overlap. As one alternation Java would run several times
+    slower; the look-ahead spares ordinary characters the alternatives.
+    """
     one = emoji_class() + r"[\x{FE0F}\x{1F3FB}-\x{1F3FF}]*"
-    return "|".join(
-        (
-            r"[\x{1F1E6}-\x{1F1FF}]{2}",
-            r"[0-9#*]\x{FE0F}?\x{20E3}",
-            r"\x{1F3F4}[\x{E0030}-\x{E0039}\x{E0061}-\x{E007A}]+\x{E007F}",
-            one + r"(?:\x{200D}" + one + ")*",
-        )
+    alternatives = (
+        r"[\x{1F1E6}-\x{1F1FF}]{2}",
+        r"\x{1F3F4}[\x{E0030}-\x{E0039}\x{E0061}-\x{E007A}]+\x{E007F}",
+        one + r"(?:\x{200D}" + one + ")*",
     )
+    return r"(?=[^\x{0000}-\x{00A8}])(?:" + "|".join(alternatives) + ")", r"[0-9#*]\x{FE0F}?\x{20E3}"
 
 
 def _col(c: Column | str) -> Column:
@@ -90,13 +111,22 @@ def has_symbol(text: Column | str, vocab: str) -> Column:
     return F.coalesce(_col(text), F.lit("")).rlike(vocab)
 
 
-def has_symbol_seq(pattern: str, *texts: Column | str) -> Column:
+def _patterns(pattern: str | Iterable[str]) -> list[str]:
+    return [pattern] if isinstance(pattern, str) else list(pattern)
+
+
+def has_symbol_seq(pattern: str | Iterable[str], *texts: Column | str) -> Column:
     """True when a sequence occurs in any of the columns; null counts as no."""
     found = F.lit(False)
     for t in texts:
-        found = found | F.coalesce(_col(t).rlike(pattern), F.lit(False))
+        for p in _patterns(pattern):
+            found = found | F.coalesce(_col(t).rlike(p), F.lit(False))
     return found
 
 
-def symbol_seq_count(text: Column | str, pattern: str) -> Column:
-    return F.coalesce(F.regexp_count(_col(text), F.lit(pattern)), F.lit(0))
+def symbol_seq_count(text: Column | str, pattern: str | Iterable[str]) -> Column:
+    """Number of sequences; several patterns must not be able to overlap."""
+    total = F.lit(0)
+    for p in _patterns(pattern):
+        total = total + F.coalesce(F.regexp_count(_col(text), F.lit(p)), F.lit(0))
+    return total

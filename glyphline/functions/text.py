@@ -14,11 +14,16 @@ SPACE = (
 )
 WORD = r"\p{L}\p{N}_"
 
+# Java tests the parts of a class in order, so the common ASCII cases come first
+NOT_SPACE = rf"[[^\s]&&[!-~[^{SPACE}]]]"
+
 TOKEN_PATTERN = "[a-zA-Z']+"
-URL_PATTERN = f"http[^{SPACE}]+|www[^{SPACE}]+|https[^{SPACE}]+"
-NOT_LETTER_PATTERN = f"[^a-z{SPACE}]+"
-# visible ASCII is tested first, so that most characters need one comparison
-NOT_SPACE_PATTERN = rf"[\x{{0021}}-\x{{007E}}[^{SPACE}]]+"
+URL_PATTERN = f"http{NOT_SPACE}+|www{NOT_SPACE}+|https{NOT_SPACE}+"
+NOT_LETTER_PATTERN = rf"[[^a-z\s]&&[!-~[^{SPACE}]]]+"
+NOT_SPACE_PATTERN = f"{NOT_SPACE}+"
+SPACES_PATTERN = f"[{SPACE}]+"
+EDGE_SPACES_PATTERN = f"^[{SPACE}]+|[{SPACE}]+$"
+CLOUD_TOKEN_PATTERN = f"[{WORD}][{WORD}']+"
 CLEAN_WORD_PATTERN = "[a-z]+"
 SPACES_PATTERN = f"[{SPACE}]+"
 EDGE_SPACES_PATTERN = f"^[{SPACE}]+|[{SPACE}]+$"

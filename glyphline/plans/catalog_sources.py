@@ -115,6 +115,19 @@ def s5_read_wordlist(spark, sf):
     return tables.read_wordlist(spark, path)
 
 
+@query(
+    """SELECT 'documents' AS label, count(*)::BIGINT AS n FROM documents
+    UNION ALL SELECT 'conversations', count(*)::BIGINT FROM conversations"""
+)
+def f6_file_stem(spark, sf):
+    """The label held in the file name, one label per file."""
+    files = [f"{sf}/documents.parquet", f"{sf}/conversations.parquet"]
+    stems = [
+        spark.read.parquet(f).select(csv.label_from_file(r"([^/]*)\.parquet$").alias("label")) for f in files
+    ]
+    return stems[0].unionByName(stems[1]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT doc_id, source, n_chars FROM documents")
 def s6_read_dataset(spark, sf):
     return tables.read_dataset(spark, f"{sf}/documents.parquet").select("doc_id", "source", "n_chars")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from glyphline.functions import symbols as sy
+from glyphline.functions import fixed_values, symbols as sy
 from glyphline.functions import text as tx
 from glyphline.functions.fixed_values import LABEL_SYMBOLS
 from glyphline.operators import dedup, emotion, frequency, groups, models, pairs, polarity, profile, sentiment, suggest, terms
@@ -41,7 +41,7 @@ def test_vocabulary_from_a_table(spark):
 
 def test_sequences_and_single_symbols_are_different_tests(spark, reviews, rows):
     """A flag passes the sequence test and holds no single symbol."""
-    pattern = sy.emoji_sequence_regex()
+    pattern = sy.emoji_sequence_patterns()
     found = reviews.filter(sy.has_symbol_seq(pattern, "title", "text"))
     assert rows(found, "review_id") == [(1,), (2,), (3,), (5,), (6,)]
     texts = spark.createDataFrame(
@@ -62,6 +62,31 @@ def test_block_class(spark, rows):
     assert rows(df.select(F.size(sy.extract_symbols("t", sy.block_class())))) == [(5,)]
 
 
+def test_classes_match_exactly_their_code_points(spark):
+    """Every code point, against the plain list of ranges."""
+    points = [c for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    text = spark.createDataFrame([("".join(map(chr, points)),)], "t string")
+    wanted = set()
+    for piece in fixed_values.EMOJI_RANGES.split():
+        first, _, last = piece.partition("-")
+        wanted |= set(range(int(first, 16), int(last or first, 16) + 1))
+    (found,) = text.select(sy.extract_symbols("t", sy.emoji_class())).first()
+    assert set(map(ord, found)) == wanted
+    (blocks,) = text.select(sy.extract_symbols("t", sy.block_class())).first()
+    assert set(map(ord, blocks)) == {c for a, b in fixed_values.SYMBOL_BLOCKS for c in range(a, b + 1)}
+
+
+def test_white_space_is_unicode_white_space(spark):
+    """The same characters as ``str.isspace``."""
+    points = [c for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
+    text = spark.createDataFrame([("".join(map(chr, points)),)], "t string")
+    (parts,) = text.select(tx.words("t")).first()
+    assert "".join(parts) == "".join(chr(c) for c in points if not chr(c).isspace())
+    (cleaned,) = text.select(tx.clean_text("t")).first()
+    assert {c for c in cleaned if c.isspace()} == {chr(c) for c in points if chr(c).isspace()}
+    assert {c for c in cleaned if not c.isspace()} == set("abcdefghijklmnopqrstuvwxyz")
+
+
 def test_labels_are_symbols(spark):
     assert len(LABEL_SYMBOLS) == 43
     df = spark.createDataFrame(list(LABEL_SYMBOLS.items()), "label string, symbol string")
