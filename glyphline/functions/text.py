@@ -69,14 +69,21 @@ def clean_words(text: Column | str) -> Column:
     return F.regexp_extract_all(clean_text(text), F.lit(CLEAN_WORD_PATTERN), F.lit(0))
 
 
+def raw_cloud_tokens(text: Column | str) -> Column:
+    """Case-folded runs of two or more word characters."""
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(CLOUD_TOKEN_PATTERN), F.lit(0))
+
+
+def cloud_word(token: Column) -> Column:
+    """A raw token without a final 's; null for a pure number."""
+    cut = F.when(token.endswith("'s"), F.left(token, F.length(token) - F.lit(2))).otherwise(token)
+    return F.when(cut.rlike(r"\P{Nd}"), cut)
+
+
 def cloud_tokens(text: Column | str) -> Column:
     """Tokens of a word cloud: two or more word characters, a final 's cut off,
     pure numbers dropped, case folded."""
-    found = F.regexp_extract_all(F.lower(_col(text)), F.lit(CLOUD_TOKEN_PATTERN), F.lit(0))
-    cut = F.transform(
-        found, lambda w: F.when(w.endswith("'s"), F.left(w, F.length(w) - F.lit(2))).otherwise(w)
-    )
-    return F.filter(cut, lambda w: w.rlike(r"\P{Nd}"))
+    return F.filter(F.transform(raw_cloud_tokens(text), cloud_word), lambda w: w.isNotNull())
 
 
 def primary_category(categories: Column | str) -> Column:

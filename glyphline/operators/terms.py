@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from glyphline.functions.scoring import bigram_likelihood
-from glyphline.functions.text import clean_words, cloud_tokens
+from glyphline.functions.text import clean_words, cloud_tokens, cloud_word, raw_cloud_tokens
 from glyphline.operators.frequency import top_symbols
 from glyphline.session import checkpointed
 
@@ -46,9 +46,10 @@ def term_frequency_by_symbol(
     holding none is not tokenised at all; a filter would extract the symbols twice.
     """
     corpora = symbol_corpora(df, text, k, symbols)
-    wanted_words = F.when(F.size("hits") > 0, cloud_tokens(text))
+    wanted_tokens = F.when(F.size("hits") > 0, raw_cloud_tokens(text))
     counted = (
-        corpora.select("hits", F.explode_outer(wanted_words).alias("word"))
+        corpora.select("hits", F.explode_outer(wanted_tokens).alias("token"))
+        .select("hits", cloud_word(F.col("token")).alias("word"))
         .filter(F.col("word").isNotNull())
         .groupBy("hits", "word")
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -53,12 +53,18 @@ def lookup_literal(lexicon: DataFrame, value: str, max_entries: int = MAX_LITERA
 
 def emotion_in_row(text: Column, look_up) -> Column:
     """Dominant emotion of one text, the first by name on ties, null without a hit."""
+
+    def dominant(hits: Column) -> Column:
+        ranked = F.transform(
+            F.array_distinct(hits),
+            lambda e: F.struct((-F.size(F.filter(hits, lambda h: h == e))).alias("n"), e.alias("e")),
+        )
+        return F.array_min(ranked)["e"]
+
+    # the hits are bound to a lambda variable: written out, they would be looked up again
+    # for every use
     hits = F.flatten(F.transform(tokenize(text), look_up))
-    ranked = F.transform(
-        F.array_distinct(hits),
-        lambda e: F.struct((-F.size(F.filter(hits, lambda h: h == e))).alias("n"), e.alias("e")),
-    )
-    return F.array_min(ranked)["e"]
+    return F.get(F.transform(F.array(hits), dominant), F.lit(0))
 
 
 def valence_in_row(text: Column, look_up) -> Column:
