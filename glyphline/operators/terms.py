@@ -62,19 +62,23 @@ def term_frequency_by_symbol(
     return drop_stopwords(per_symbol, stopwords)
 
 
+def _stem(word: Column) -> Column:
+    """The word without a plural s; ``-ss`` is no plural."""
+    plural = word.endswith("s") & ~word.endswith("ss") & (F.length(word) > 1)
+    return F.when(plural, F.left(word, F.length(word) - F.lit(1))).otherwise(word)
+
+
 def merge_plurals(terms: DataFrame, *corpus: str) -> DataFrame:
-    """Add the count of ``words`` to ``word`` where both occur; ``-ss`` is no plural.
+    """Add the count of ``words`` to ``word`` where both occur.
 
-    Singular and plural share a stem, so one regrouping does it without a self join.
+    Singular and plural share a stem, so one regrouping does it without a self join: the
+    smaller of the two is the stem itself whenever that occurs.
     """
-    word = F.col("word")
-    plural = word.endswith("s") & ~word.endswith("ss") & (F.length(word) > 1)
-    stem = F.when(plural, F.substring(word, F.lit(1), F.length(word) - 1)).otherwise(word)
-    merged = terms.groupBy(*corpus, stem.alias("_stem")).agg(
-        F.sum("n").alias("n"), F.min("word").alias("word")
+    return (
+        terms.groupBy(*corpus, _stem(F.col("word")).alias("_stem"))
+        .agg(F.sum("n").alias("n"), F.min("word").alias("word"))
+        .select(*corpus, "word", "n")
     )
-    # the smaller of stem and stem + 's' is the stem whenever the stem itself occurs
-    return merged.select(*corpus, "word", "n")
 
 
 def term_weights(terms: DataFrame, *corpus: str, max_words: int = 200) -> DataFrame:
@@ -107,32 +111,67 @@ def bigrams(df: DataFrame, text: str, *keep: str) -> DataFrame:
     )
 
 
-def bigram_collocations(
-    df: DataFrame, stopwords: DataFrame, text: str = "text", threshold: float = 30.0
-) -> DataFrame:
-    """Word pairs whose likelihood ratio exceeds the threshold.
+def _neighbour_counts(df: DataFrame, stopwords: DataFrame, text: str, *corpus: str):
+    """(word counts, pair counts) from one pass over the texts.
 
-    One pass over the texts counts (token, next token); word counts are sums of those
-    lines. The table is checkpointed, as words, pairs and the total all come from it.
-    Stop words are removed from the counts, where a frequent word is one line.
+    The pass counts (token, next token); word counts are sums of those lines. The table
+    is checkpointed, as words, pairs and totals all come from it. Stop words are removed
+    from the counts, where a frequent word is one line.
     """
-    counts = checkpointed(bigrams(df, text).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")))
+    counts = checkpointed(bigrams(df, text, *corpus).groupBy(*corpus, "w1", "w2").agg(F.count(F.lit(1)).alias("n")))
     unigrams = drop_stopwords(
-        counts.groupBy(F.col("w1").alias("word")).agg(F.sum("n").alias("n")), stopwords
-    )
-    pairs = drop_stopwords(
-        drop_stopwords(counts.filter(F.col("w2").isNotNull()), stopwords, "w1"), stopwords, "w2"
+        counts.groupBy(*corpus, F.col("w1").alias("word")).agg(F.sum("n").alias("n")), stopwords
     )
-    total = unigrams.agg(F.sum("n")).scalar()
-    scored = (
-        pairs.withColumnRenamed("n", "c12")
-        .join(unigrams.select(F.col("word").alias("w1"), F.col("n").alias("c1")), "w1")
+    pairs = drop_stopwords(counts.filter(F.col("w2").isNotNull()), stopwords, "w1")
+    return unigrams, drop_stopwords(pairs, stopwords, "w2").withColumnRenamed("n", "c12")
+
+
+def _collocated(pairs: DataFrame, threshold: float) -> DataFrame:
+    as_double = [F.col(c).cast("double") for c in ("c12", "c1", "c2", "total")]
+    return pairs.withColumn("score", bigram_likelihood(*as_double)).filter(F.col("score") > threshold)
+
+
+def bigram_collocations(
+    df: DataFrame, stopwords: DataFrame, text: str = "text", threshold: float = 30.0
+) -> DataFrame:
+    """Word pairs whose likelihood ratio exceeds the threshold."""
+    unigrams, pairs = _neighbour_counts(df, stopwords, text)
+    counted = (
+        pairs.join(unigrams.select(F.col("word").alias("w1"), F.col("n").alias("c1")), "w1")
         .join(unigrams.select(F.col("word").alias("w2"), F.col("n").alias("c2")), "w2")
-        .withColumn("total", total)
+        .withColumn("total", unigrams.agg(F.sum("n")).scalar())
     )
-    as_double = [F.col(c).cast("double") for c in ("c12", "c1", "c2", "total")]
-    return (
-        scored.withColumn("score", bigram_likelihood(*as_double))
-        .filter(F.col("score") > threshold)
-        .select("w1", "w2", "c12", "c1", "c2", "score")
+    return _collocated(counted, threshold).select("w1", "w2", "c12", "c1", "c2", "score")
+
+
+def cloud_frequencies(
+    df: DataFrame, stopwords: DataFrame, text: str, *corpus: str, threshold: float = 30.0
+) -> DataFrame:
+    """The terms of one cloud per corpus: words with plurals merged, and collocations.
+
+    A collocation takes its count away from both of its words; a word left with nothing
+    disappears. Plurals of pairs are merged like those of words.
+    """
+    unigrams, pairs = _neighbour_counts(df, stopwords, text, *corpus)
+    same_stem = Window.partitionBy(*corpus, _stem(F.col("word")))
+    forms = unigrams.select(
+        *corpus, "word", F.min("word").over(same_stem).alias("std"), F.sum("n").over(same_stem).alias("c")
+    )
+    merged = pairs.groupBy(*corpus, "w1", _stem(F.col("w2")).alias("_stem")).agg(
+        F.sum("c12").alias("c12"), F.min("w2").alias("w2")
     )
+    for side in ("1", "2"):
+        form = forms.select(
+            *corpus, F.col("word").alias(f"w{side}"), F.col("std").alias(f"std{side}"), F.col("c").alias(f"c{side}")
+        )
+        merged = merged.join(form, [*corpus, f"w{side}"])
+    if corpus:
+        # one line per corpus
+        merged = merged.join(F.broadcast(unigrams.groupBy(*corpus).agg(F.sum("n").alias("total"))), [*corpus])
+    else:
+        merged = merged.withColumn("total", unigrams.agg(F.sum("n")).scalar())
+    found = _collocated(merged, threshold)
+    taken = found.select(*corpus, F.explode(F.array("std1", "std2")).alias("word"), (-F.col("c12")).alias("n"))
+    words = merge_plurals(unigrams, *corpus).unionByName(taken).groupBy(*corpus, "word").agg(F.sum("n").alias("n"))
+    both = found.select(*corpus, F.concat_ws(" ", "w1", "w2").alias("word"), F.col("c12").alias("n"))
+    return words.filter(F.col("n") > 0).unionByName(both)

@@ -15,6 +15,7 @@ from glyphline.operators.frequency import symbol_counts_by
 from glyphline.plans import bindings as b
 from glyphline.plans.catalog_symbols import CLS, D, PROFILE_SQL, S, _rounded
 from glyphline.plans.catalog_text import TOKENS
+from glyphline.plans.flows import land_reviews
 from glyphline.plans.registry import query
 from glyphline.session import checkpointed, scratch_path
 from glyphline.streaming.score import lookup_literal, score_stream, valence_in_row
@@ -318,6 +319,18 @@ def w1_landing_filter(spark, sf):
     return kept.select("doc_id", "lang", F.md5("text").alias("digest"))
 
 
+@query(
+    f"""SELECT count(*)::BIGINT AS kept, (SELECT count(*) FROM documents)::BIGINT AS total,
+      round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM documents), 6) AS percent
+    FROM (SELECT *, lag(lang) OVER (ORDER BY doc_id) AS before FROM documents)
+    WHERE regexp_matches(text, '{CLS}') AND lang IS DISTINCT FROM before"""
+)
+def a20_landing_counter(spark, sf):
+    docs = b.documents(spark, sf, "doc_id", "lang", "text")
+    path = scratch_path(spark, "landing")
+    return _rounded(land_reviews(docs, path, b.VOCAB, b.VOCAB, "doc_id", "lang"), "percent")
+
+
 @query(
     f"""SELECT doc_id, lang, md5(text) AS digest, array_to_string(regexp_extract_all(text, '{CLS}'), '') AS symbols
     FROM documents QUALIFY row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) = 1"""
