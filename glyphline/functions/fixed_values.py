@@ -60,15 +60,15 @@ EXTRA_CLOUD_STOPWORDS = ("br", "movie")
 
 # Unicode blocks of the plain block class (first, last code point).
 SYMBOL_BLOCKS = (
-    (0x1F600, 0x1F64F),  # emoticons
-    (0x1F300, 0x1F5FF),  # symbols and pictographs
-    (0x1F680, 0x1F6FF),  # transport and map
-    (0x1F1E0, 0x1F1FF),  # flags
-    (0x2700, 0x27BF),  # dingbats
-    (0x1F900, 0x1F9FF),  # supplemental symbols and pictographs
-    (0x2600, 0x26FF),  # miscellaneous symbols
-    (0x1FA70, 0x1FAFF),  # extended symbols
-    (0x25A0, 0x25FF),  # geometric shapes
+    (0x1F600, 0x1F64F),  # Emoticons
+    (0x1F300, 0x1F5FF),  # Miscellaneous Symbols and Pictographs
+    (0x1F680, 0x1F6FF),  # Transport and Map Symbols
+    (0x1F1E0, 0x1F1FF),  # regional indicators
+    (0x2700, 0x27BF),  # Dingbats
+    (0x1F900, 0x1F9FF),  # Supplemental Symbols and Pictographs
+    (0x2600, 0x26FF),  # Miscellaneous Symbols
+    (0x1FA70, 0x1FAFF),  # Symbols and Pictographs Extended-A
+    (0x25A0, 0x25FF),  # Geometric Shapes
 )
 
 # Single code points with the Unicode property Emoji (emoji-data.txt),

@@ -111,14 +111,20 @@ def bigrams(df: DataFrame, text: str, *keep: str) -> DataFrame:
     )
 
 
-def _neighbour_counts(df: DataFrame, stopwords: DataFrame, text: str, *corpus: str):
+def _neighbour_counts(df: DataFrame, stopwords: DataFrame, text: str, *corpus: str, unfold: str | None = None):
     """(word counts, pair counts) from one pass over the texts.
 
     The pass counts (token, next token); word counts are sums of those lines. The table
     is checkpointed, as words, pairs and totals all come from it. Stop words are removed
-    from the counts, where a frequent word is one line.
+    from the counts, where a frequent word is one line. ``unfold`` names an array of
+    corpus keys: lines are counted per list of keys and split over the keys afterwards.
     """
-    counts = checkpointed(bigrams(df, text, *corpus).groupBy(*corpus, "w1", "w2").agg(F.count(F.lit(1)).alias("n")))
+    keys = (unfold,) if unfold else corpus
+    counts = bigrams(df, text, *keys).groupBy(*keys, "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
+    if unfold:
+        unfolded = counts.select(F.explode(unfold).alias(corpus[0]), "w1", "w2", "n")
+        counts = unfolded.groupBy(*corpus, "w1", "w2").agg(F.sum("n").alias("n"))
+    counts = checkpointed(counts)
     unigrams = drop_stopwords(
         counts.groupBy(*corpus, F.col("w1").alias("word")).agg(F.sum("n").alias("n")), stopwords
     )
@@ -145,14 +151,20 @@ def bigram_collocations(
 
 
 def cloud_frequencies(
-    df: DataFrame, stopwords: DataFrame, text: str, *corpus: str, threshold: float = 30.0
+    df: DataFrame,
+    stopwords: DataFrame,
+    text: str,
+    *corpus: str,
+    threshold: float = 30.0,
+    unfold: str | None = None,
 ) -> DataFrame:
     """The terms of one cloud per corpus: words with plurals merged, and collocations.
 
     A collocation takes its count away from both of its words; a word left with nothing
-    disappears. Plurals of pairs are merged like those of words.
+    disappears. Plurals of pairs are merged like those of words. With ``unfold`` a text
+    belongs to all corpora named in that array, under the one ``corpus`` column.
     """
-    unigrams, pairs = _neighbour_counts(df, stopwords, text, *corpus)
+    unigrams, pairs = _neighbour_counts(df, stopwords, text, *corpus, unfold=unfold)
     same_stem = Window.partitionBy(*corpus, _stem(F.col("word")))
     forms = unigrams.select(
         *corpus, "word", F.min("word").over(same_stem).alias("std"), F.sum("n").over(same_stem).alias("c")

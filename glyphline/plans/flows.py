@@ -12,7 +12,7 @@ from glyphline.functions.text import combined_text
 from glyphline.operators import emotion, frequency, groups, models, pairs, polarity, profile, suggest, terms
 from glyphline.operators.dedup import first_of_run
 from glyphline.session import checkpointed
-from glyphline.sources.tables import write_rows
+from glyphline.sources.tables import label_table, write_rows
 
 
 def land_reviews(
@@ -54,9 +54,11 @@ def symbol_map(landed: DataFrame, rating: str = "rating", item: str = "item_id",
     return models.cluster_symbols(features, k, seed).join(placed, "symbol")
 
 
-def cooccurrence_matrix(posts: DataFrame, labels: DataFrame, vocab: str | None = None, k: int = 20) -> DataFrame:
+def cooccurrence_matrix(
+    posts: DataFrame, labels: DataFrame | None = None, vocab: str | None = None, k: int = 20
+) -> DataFrame:
     """Scaled matrix of the symbols in the k most frequent pairs of the labelled posts."""
-    known = polarity.restrict_labels(posts, labels)
+    known = polarity.restrict_labels(posts, label_table(posts.sparkSession) if labels is None else labels)
     rows = frequency.with_symbols(known, vocab or emoji_class(), "text", keep=())
     return pairs.log_minmax(pairs.top_pair_matrix(pairs.cooccurrence_counts(rows), k))
 
@@ -79,8 +81,10 @@ def symbol_clouds(reviews: DataFrame, stopwords: DataFrame, text: str = "cleaned
         F.explode(F.array(*[F.lit(w) for w in EXTRA_CLOUD_STOPWORDS])).alias("word")
     )
     corpora = terms.symbol_corpora(reviews, text, k)
-    texts = corpora.select(F.explode("hits").alias("symbol"), text)
-    found = terms.cloud_frequencies(texts, stopwords.select("word").union(extra).distinct(), text, "symbol")
+    # texts without a chosen symbol are blanked, so they are not tokenised
+    texts = corpora.select("hits", F.when(F.size("hits") > 0, F.col(text)).alias(text))
+    stop = stopwords.select("word").union(extra).distinct()
+    found = terms.cloud_frequencies(texts, stop, text, "symbol", unfold="hits")
     return terms.term_weights(found, "symbol", max_words=max_words)
 
 

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from glyphline.functions.fixed_values import LABEL_SYMBOLS
 from glyphline.functions.text import strip
 
 
@@ -21,6 +22,12 @@ def read_wordlist(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def label_table(spark: SparkSession) -> DataFrame:
+    """The known post labels and the symbol each stands for."""
+    entries = F.array(*[F.struct(F.lit(k).alias("label"), F.lit(v).alias("symbol")) for k, v in LABEL_SYMBOLS.items()])
+    return spark.range(1).select(F.inline(entries))
+
+
 def polarity_lexicon(positive: DataFrame, negative: DataFrame) -> DataFrame:
     return positive.select("word", F.lit("pos").alias("polarity")).unionByName(
         negative.select("word", F.lit("neg").alias("polarity"))

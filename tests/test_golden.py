@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphline.functions import fixed_values, symbols as sy
 from glyphline.functions import text as tx
-from glyphline.functions.fixed_values import LABEL_SYMBOLS
+from glyphline.sources.tables import label_table
 from glyphline.operators import dedup, emotion, frequency, groups, models, pairs, polarity, profile, sentiment, suggest, terms
 
 VOCAB = sy.symbol_class("😂😭🔥👍🏽")
@@ -88,8 +88,8 @@ def test_white_space_is_unicode_white_space(spark):
 
 
 def test_labels_are_symbols(spark):
-    assert len(LABEL_SYMBOLS) == 43
-    df = spark.createDataFrame(list(LABEL_SYMBOLS.items()), "label string, symbol string")
+    df = label_table(spark)
+    assert df.count() == df.select("label").distinct().count() == 43
     assert df.filter(sy.has_symbol("symbol", sy.emoji_class())).count() == 43
 
 
