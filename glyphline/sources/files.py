@@ -29,9 +29,14 @@ def raw_lines(spark: SparkSession, glob: str | list[str]) -> DataFrame:
 
 
 def profile_files(spark: SparkSession, glob: str | list[str]) -> DataFrame:
-    """One line per file: header line, and whether every line is valid UTF-8."""
+    """One line per file: header line, and whether every line is valid UTF-8.
+
+    Only lines of a file's first block can be its header; the others are blanked before
+    the aggregate.
+    """
+    candidate = F.when(F.col("block") == 0, F.col("value"))
     return raw_lines(spark, glob).groupBy("file").agg(
-        F.min_by("value", F.struct("block", "at")).alias("header"),
+        F.min_by(candidate, F.when(F.col("block") == 0, F.col("at"))).alias("header"),
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
     )
 
