@@ -30,6 +30,12 @@ def share(part: Column, whole: Column) -> Column:
     return part / F.nullif(whole, F.lit(0))
 
 
+def rank_value(score: Column) -> Column:
+    """A computed double as a ranking key. Sums of doubles depend on the order in which
+    tasks finish, so equal scores may differ in their last digits; rounded, they tie."""
+    return F.round(score, 9)
+
+
 def seeded_uniform(seed: int, *keys: Column) -> Column:
     """52-bit integer that depends only on the seed and the keys, so that a retried
     task draws the same number again."""

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from glyphline.functions.scoring import rank_value
 from glyphline.functions.text import primary_category
 
 
@@ -141,7 +142,11 @@ def chi2_association(
 ) -> DataFrame:
     """The ``top`` symbols most strongly tied to particular groups."""
     cells = association_cells(df, group, top_groups, drop_groups, drop_symbols)
-    return chi2_from_cells(cells, group, min_support).orderBy(F.desc("chi2"), "symbol").limit(top)
+    return top_associations(chi2_from_cells(cells, group, min_support), top)
+
+
+def top_associations(scored: DataFrame, top: int) -> DataFrame:
+    return scored.orderBy(rank_value(F.col("chi2")).desc(), "symbol").limit(top)
 
 
 def row_share(cells: DataFrame, value: str = "n") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from glyphline.functions.scoring import compound, sentiment_bucket, share
+from glyphline.functions.scoring import compound, rank_value, sentiment_bucket, share
 from glyphline.operators.frequency import exploded
 from glyphline.operators.polarity import tokens, weighted_hits
 
@@ -94,14 +94,16 @@ def symbol_polarity(
 
 def sentiment_extremes(means: DataFrame, k: int = 10) -> DataFrame:
     """The k highest and the k lowest symbols by mean sentiment."""
-    high = means.orderBy(F.desc("avg_sentiment"), "symbol").limit(k).withColumn("side", F.lit("top"))
-    low = means.orderBy("avg_sentiment", "symbol").limit(k).withColumn("side", F.lit("bottom"))
+    key = rank_value(F.col("avg_sentiment"))
+    high = means.orderBy(key.desc(), "symbol").limit(k).withColumn("side", F.lit("top"))
+    low = means.orderBy(key, "symbol").limit(k).withColumn("side", F.lit("bottom"))
     return high.unionByName(low)
 
 
 def polarity_extremes(polarity: DataFrame, k: int = 6) -> DataFrame:
     """The k symbols with the widest and the k with the narrowest polarity gap."""
     scored = polarity.filter(F.col("polarity_gap").isNotNull())
-    wide = scored.orderBy(F.desc("polarity_gap"), "symbol").limit(k).withColumn("side", F.lit("head"))
-    narrow = scored.orderBy("polarity_gap", F.desc("symbol")).limit(k).withColumn("side", F.lit("tail"))
-    return wide.unionByName(narrow).orderBy("side", "pos_share", "symbol")
+    key = rank_value(F.col("polarity_gap"))
+    wide = scored.orderBy(key.desc(), "symbol").limit(k).withColumn("side", F.lit("head"))
+    narrow = scored.orderBy(key, F.desc("symbol")).limit(k).withColumn("side", F.lit("tail"))
+    return wide.unionByName(narrow).orderBy("side", rank_value(F.col("pos_share")), "symbol")

@@ -90,8 +90,8 @@ def a15_symbol_polarity(spark, sf):
 
 @query(
     f"""WITH {MEANS} SELECT symbol, round(avg_sentiment, 6) AS avg_sentiment, n, side FROM (
-      (SELECT *, 'top' AS side FROM m ORDER BY avg_sentiment DESC, symbol LIMIT 10) UNION ALL
-      (SELECT *, 'bottom' FROM m ORDER BY avg_sentiment, symbol LIMIT 10))"""
+      (SELECT *, 'top' AS side FROM m ORDER BY round(avg_sentiment, 9) DESC, symbol LIMIT 10) UNION ALL
+      (SELECT *, 'bottom' FROM m ORDER BY round(avg_sentiment, 9), symbol LIMIT 10))"""
 )
 def t2_sentiment_extremes(spark, sf):
     return _rounded(st.sentiment_extremes(_means(spark, sf)), "avg_sentiment")
@@ -100,8 +100,8 @@ def t2_sentiment_extremes(spark, sf):
 @query(
     f"""WITH {POLARITY}, r AS (SELECT *, abs(pos_share - 0.5) AS gap FROM m WHERE pos_share IS NOT NULL)
     SELECT symbol, round(pos_share, 6) AS pos_share, n, side FROM (
-      (SELECT *, 'head' AS side FROM r ORDER BY gap DESC, symbol LIMIT 6) UNION ALL
-      (SELECT *, 'tail' FROM r ORDER BY gap, symbol DESC LIMIT 6))"""
+      (SELECT *, 'head' AS side FROM r ORDER BY round(gap, 9) DESC, symbol LIMIT 6) UNION ALL
+      (SELECT *, 'tail' FROM r ORDER BY round(gap, 9), symbol DESC LIMIT 6))"""
 )
 def t3_polarity_extremes(spark, sf):
     rows = b.symbol_rows(spark, sf, "doc_id", "text")

@@ -308,8 +308,10 @@ def _chi2_sql(group: str, top: int, where: str = "true") -> str:
       rt AS (SELECT symbol, sum(n) AS r FROM k GROUP BY symbol),
       ct AS (SELECT {group}, sum(n) AS c FROM k GROUP BY {group}),
       e AS (SELECT symbol, {group}, r, r * c / (SELECT sum(n) FROM k)::DOUBLE AS expected FROM rt, ct WHERE r >= 10)
-    SELECT symbol, max(r)::BIGINT AS total, round(sum((coalesce(n, 0) - expected) ** 2 / expected), 6) AS chi2
-    FROM e LEFT JOIN k USING (symbol, {group}) GROUP BY symbol ORDER BY chi2 DESC, symbol LIMIT 10"""
+    SELECT symbol, total, round(x, 6) AS chi2 FROM (
+      SELECT symbol, max(r)::BIGINT AS total, sum((coalesce(n, 0) - expected) ** 2 / expected) AS x
+      FROM e LEFT JOIN k USING (symbol, {group}) GROUP BY symbol)
+    ORDER BY round(x, 9) DESC, symbol LIMIT 10"""
 
 
 @query(_chi2_sql("source", 10, "source <> 'src0' AND symbol NOT IN ('!', '%')"))

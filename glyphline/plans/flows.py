@@ -70,7 +70,7 @@ def group_association(reviews: DataFrame, vocab: str | None = None, **settings)
     top = settings.pop("top", 10)
     support = settings.pop("min_support", 10)
     cells = checkpointed(groups.association_cells(grouped, "grp", **settings))
-    best = groups.chi2_from_cells(cells, "grp", support).orderBy(F.desc("chi2"), "symbol").limit(top)
+    best = groups.top_associations(groups.chi2_from_cells(cells, "grp", support), top)
     return groups.row_share(cells).join(F.broadcast(best), "symbol").select("symbol", "chi2", "grp", "n", "share")
 
 

@@ -285,6 +285,14 @@ def test_valence(spark, rows):
     ]
 
 
+def test_scores_that_differ_only_by_summing_order_tie(spark, rows):
+    means = spark.createDataFrame([("b", 0.1 + 0.2, 1), ("a", 0.3, 1), ("c", -0.5, 1)], "symbol string, avg_sentiment double, n bigint")
+    found = sentiment.sentiment_extremes(means, 1)
+    assert rows(found, "symbol", "side") == [("a", "top"), ("c", "bottom")]
+    scored = spark.createDataFrame([("b", 0.1 + 0.2), ("a", 0.3)], "symbol string, chi2 double")
+    assert rows(groups.top_associations(scored, 1), "symbol") == [("a",)]
+
+
 @pytest.fixture(scope="module")
 def emotions(spark):
     return spark.sql(
