@@ -13,7 +13,9 @@ from glyphline.streaming.score import lookup_literal, score_batches, score_strea
 
 @pytest.fixture(scope="module")
 def symbol_profile(spark, sf_dir):
-    return profile.symbol_profile(b.rated_symbol_rows(spark, sf_dir)).cache()
+    cached = profile.symbol_profile(b.rated_symbol_rows(spark, sf_dir)).cache()
+    yield cached
+    cached.unpersist()  # other tests look at the plan of the same query
 
 
 def test_clusters(symbol_profile):

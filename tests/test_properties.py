@@ -17,7 +17,9 @@ JOINS = "spark.sql.autoBroadcastJoinThreshold"
 
 @pytest.fixture(scope="module")
 def rows_with_symbols(spark, sf_dir):
-    return b.symbol_rows(spark, sf_dir, "doc_id", "lang", "source", "text").cache()
+    cached = b.symbol_rows(spark, sf_dir, "doc_id", "lang", "source", "text").cache()
+    yield cached
+    cached.unpersist()
 
 
 @pytest.fixture
