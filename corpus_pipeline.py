@@ -4,19 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glyphline.llm import quality
+from glyphline.llm import mixing, packing, quality, secrets, simhash
 from glyphline.llm.common import table, written
 
-#: Random seeds, hashes and linear programs have no SQL equivalent; a test compares with a brute-force version.
+#: Seeds, fingerprints and a linear program have no SQL equivalent; a test compares with brute-force versions.
 ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.keep_one(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them: once for each whole pass, and the words of a partial one."""
+    return mixing.draw(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("simhash near-dedup", near_dedup),
+    ("secret scans", secret_scan),
+    ("mixing sources", source_mix),
+    ("best-fit packing", packed),
 ]
 
 

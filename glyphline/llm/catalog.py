@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from glyphline.llm import licenses, mixing, quality, warc  # noqa: F401
+from glyphline.llm import licenses, mixing, packing, quality, secrets, simhash, warc  # noqa: F401
 from glyphline.llm.common import CATALOG
 
 __all__ = ["CATALOG"]
