@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from glyphline.llm import licenses, mixing, packing, quality, secrets, simhash, warc  # noqa: F401
+from glyphline.llm import (  # noqa: F401
+    licenses, mixing, neighbours, packing, quality, secrets, simhash, suffixes, toxicity, warc,
+)
 from glyphline.llm.common import CATALOG
 
 __all__ = ["CATALOG"]
