@@ -60,16 +60,13 @@ def emoji_class() -> str:
     return block_class(pairs)
 
 
-def class_from_table(vocab: DataFrame, column: str = "symbol", max_symbols: int = 10_000) -> str:
+def class_from_table(vocab: DataFrame, column: str = "symbol") -> str:
     """Character class for a vocabulary held as a table.
 
-    The symbols travel to the driver because they become part of the plan; the
-    table is a list of code points, and a longer one than ``max_symbols`` is refused.
+    The symbols travel to the driver because they become part of the plan: distinct code
+    points, of which Unicode bounds the number.
     """
-    rows = vocab.select(column).distinct().limit(max_symbols + 1).collect()
-    if len(rows) > max_symbols:
-        raise ValueError(f"vocabulary holds more than {max_symbols} symbols")
-    return symbol_class(r[0] for r in rows)
+    return symbol_class(r[0] for r in vocab.select(column).distinct().collect())
 
 
 def sequence_regex(sequences: Iterable[str]) -> str:

@@ -25,15 +25,18 @@ SPACES_PATTERN = f"[{SPACE}]+"
 EDGE_SPACES_PATTERN = f"^[{SPACE}]+|[{SPACE}]+$"
 CLOUD_TOKEN_PATTERN = f"[{WORD}][{WORD}']+"
 CLEAN_WORD_PATTERN = "[a-z]+"
-SPACES_PATTERN = f"[{SPACE}]+"
-EDGE_SPACES_PATTERN = f"^[{SPACE}]+|[{SPACE}]+$"
-CLOUD_TOKEN_PATTERN = f"[{WORD}][{WORD}']+"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def none_of(column: Column | str, values) -> Column:
+    """True unless the column is one of the values. Null is none of them: a plain ``NOT IN``
+    would be null for it, and a filter would drop the row."""
+    return ~F.coalesce(_col(column).isin(list(values)), F.lit(False))
+
+
 def combined_text(*cols: Column | str) -> Column:
     """The columns with a space between them, null as empty."""
     parts: list[Column] = []

@@ -6,60 +6,55 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 
-def _bucket_of(order: Column, size: int) -> Column:
-    """First value of the bucket. Integer arithmetic, so exact for any id; never null, so
-    the joins add no null tests and both readers of the summaries share one exchange."""
-    return F.coalesce(order - F.pmod(order, F.lit(size)), F.lit(0)).cast("bigint")
+MAX_BUCKETS = 4096
 
 
-def _carried(summaries: DataFrame, width: int, fan_in: int, levels: int) -> DataFrame:
-    """For each bucket, the last line of the nearest earlier non-empty bucket.
+def _borders(df: DataFrame, order: str, bucket_rows: int) -> list[int]:
+    """Values of the order that cut the rows into buckets of about equal size.
 
-    Works inside groups of ``fan_in`` buckets and recurses on the groups, so the window
-    without a key only ever sees rows / (bucket_rows * fan_in ^ levels) lines.
+    The number of buckets follows the number of rows up to MAX_BUCKETS; a bucket then holds
+    more rows, which its task sorts with spilling. There is always a border, so the bucket
+    is a column to join on and no constant.
     """
-    if levels == 0:
-        return summaries.withColumn("_before", F.lag("_last").over(Window.orderBy("_bucket")))
-    width *= fan_in
-    grouped = summaries.withColumn("_group", _bucket_of(F.col("_bucket"), width))
-    within = Window.partitionBy("_group").orderBy("_bucket")
-    upper = grouped.groupBy("_group").agg(F.max_by("_last", "_bucket").alias("_last"))
-    above = _carried(upper.withColumnRenamed("_group", "_bucket"), width, fan_in, levels - 1).select(
-        F.col("_bucket").alias("_group"), F.col("_before").alias("_above")
-    )
-    return (
-        grouped.withColumn("_inside", F.lag("_last").over(within))
-        .join(above, "_group")
-        .select("_bucket", "_last", F.coalesce("_inside", "_above").alias("_before"))
+    rows = df.agg(F.count(F.lit(1))).first()[0]
+    buckets = min(MAX_BUCKETS, max(2, -(-rows // bucket_rows)))
+    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    found = df.agg(F.percentile_approx(F.col(order).cast("bigint"), cuts, F.lit(10 * buckets))).first()[0]
+    return sorted(set(found or [0]))
+
+
+def _bucket_of(order: Column, borders: list[int], first: int = 0) -> Column:
+    """Number of borders at or below the value: a tree of comparisons, so few are made per row."""
+    if not borders:
+        return F.lit(first)
+    middle = len(borders) // 2
+    return F.when(order < F.lit(borders[middle]), _bucket_of(order, borders[:middle], first)).otherwise(
+        _bucket_of(order, borders[middle + 1 :], first + middle + 1)
     )
 
 
 def first_of_run(
-    df: DataFrame,
-    order: str,
-    key: str,
-    predicate: Column,
-    bucket_rows: int = 1_000_000,
-    fan_in: int = 10_000,
+    df: DataFrame, order: str, key: str, predicate: Column, bucket_rows: int = 1_000_000
 ) -> DataFrame:
     """Rows where the predicate holds and the key differs from the row just before.
 
-    ``order`` is a unique integer; "just before" is the previous input row, kept or not,
-    and the first row counts as different. A global lag would sort everything in one
-    task. Here rows are bucketed by order, which spreads any key evenly; ``lag`` runs
-    inside a bucket and one line per bucket carries the last key over the border. The
-    columns of rows that fail the predicate are blanked before the shuffle: only their
-    order and key are needed.
+    ``order`` is a unique integer of any distribution; "just before" is the previous input
+    row, kept or not, and the first row counts as different. A global lag would sort
+    everything in one task. Here the order is cut at its own quantiles, which spreads any key
+    evenly; ``lag`` runs inside a bucket, and one line per bucket (MAX_BUCKETS at most)
+    carries the last key over the border. The columns of rows that fail the predicate are
+    blanked before the shuffle: only their order and key are needed.
     """
+    borders = _borders(df, order, bucket_rows)
     payload = F.when(predicate, F.struct(*[F.col(c) for c in df.columns]))
     narrow = df.select(
         F.col(order).alias("_order"),
         F.struct(F.col(key).alias("k")).alias("_key"),
         payload.alias("_row"),
-        _bucket_of(F.col(order), bucket_rows).alias("_bucket"),
+        _bucket_of(F.col(order), borders).alias("_bucket"),
     )
     summaries = narrow.groupBy("_bucket").agg(F.max_by("_key", "_order").alias("_last"))
-    carried = _carried(summaries, bucket_rows, fan_in, levels=1).select("_bucket", "_before")
+    carried = summaries.select("_bucket", F.lag("_last").over(Window.orderBy("_bucket")).alias("_before"))
     inside = F.lag("_key").over(Window.partitionBy("_bucket").orderBy("_order"))
     placed = narrow.withColumn("_inside", inside).filter(F.col("_row").isNotNull())
     before = F.coalesce("_inside", "_before")
@@ -72,24 +67,39 @@ def scalar_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, nested) and f.name not in without]
 
 
-def dedup_scalar(df: DataFrame, order: str) -> DataFrame:
-    """One row per combination of scalar columns (row identity aside), the first by
-    ``order``; nested columns come along with it.
+def row_digest(df: DataFrame, columns: list[str]) -> Column:
+    """A 256-bit digest of the columns. Each value is marked with its length, or as null, so
+    different rows have different input; 0.0 and -0.0 are one value."""
+    parts = []
+    for c in columns:
+        value = F.col(c)
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0.0)
+        text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("null;")))
+    return F.sha2(F.concat(*parts) if parts else F.lit(""), 256)
+
+
+def _firsts(df: DataFrame, columns: list[str], order: str) -> DataFrame:
+    """The rows with the least order of each combination of the columns.
 
-    An aggregate instead of a window: a row copied a billion times is folded by every
-    task before the shuffle. Nulls compare equal.
+    Digests and orders are aggregated, which hashes and never sorts a text; a row copied a
+    billion times is folded by every task before the shuffle. The rows themselves are
+    picked by their order afterwards.
     """
-    keys = scalar_columns(df, (order,))
-    others = [c for c in df.columns if c not in keys and c != order]
-    carried = [F.min_by(c, order).alias(c) for c in others]
-    return df.groupBy(*keys).agg(F.min(order).alias(order), *carried).select(*df.columns)
+    least = df.groupBy(row_digest(df, columns).alias("_digest")).agg(F.min(order).alias(order))
+    return df.join(least.select(order), order, "left_semi")
+
+
+def dedup_scalar(df: DataFrame, order: str) -> DataFrame:
+    """One row per combination of scalar columns (row identity aside), the first by
+    ``order``, a unique id; nested columns come along with it. Nulls compare equal."""
+    return _firsts(df, scalar_columns(df, (order,)), order)
 
 
 def dedup_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row by ``order`` for each key."""
-    others = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*others), order).alias("_first")
-    return df.groupBy(key).agg(first).select(key, "_first.*").select(*df.columns)
+    """The first row by ``order``, a unique id, for each key."""
+    return _firsts(df, [key], order)
 
 
 def selectivity(df: DataFrame, predicate: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from glyphline.operators.polarity import tokens, weighted_hits
 
@@ -14,16 +14,39 @@ def emotion_counts(df: DataFrame, lexicon: DataFrame, text: str, *keep: str) ->
     """(row, emotion, n). A word may stand for several emotions."""
     found = tokens(df, text, *keep).filter(F.col("word").isNotNull())
     return (
-        weighted_hits(found, lexicon, *keep)
+        weighted_hits(found, lexicon)
         .groupBy(*keep, "emotion")
         .agg(F.sum("_n").alias("n"))
     )
 
 
-def dominant_emotion(counts: DataFrame, *keep: str) -> DataFrame:
+def _names(labels: DataFrame) -> Column:
+    """The distinct emotions in order, as a scalar array."""
+    return labels.agg(F.sort_array(F.collect_set("emotion"))).scalar()
+
+
+def _coded(names: Column, first_wins: bool) -> Column:
+    """Count and place of the emotion as one number, larger for a larger count.
+
+    A number can be the buffer of a hash aggregate; a struct or a string would make Spark
+    sort the rows of every text. With K emotions the code is n * (K + 1) plus the place, or
+    minus it where the first name is to win.
+    """
+    place = F.array_position(names, F.col("emotion"))
+    return F.col("n") * (F.size(names) + 1) + (-place if first_wins else place)
+
+
+def _place(code: Column, names: Column, first_wins: bool) -> Column:
+    """The emotion that a code stands for, null for a null code."""
+    size = F.size(names) + 1
+    return F.get(names, (F.pmod(-code if first_wins else code, size) - 1).cast("int"))
+
+
+def dominant_emotion(counts: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
     """The most frequent emotion of each row, the first by name on ties."""
-    best = F.min_by("emotion", F.struct(-F.col("n"), F.col("emotion")))
-    return counts.groupBy(*keep).agg(best.alias("emotion"), F.max("n").alias("n"))
+    names = _names(lexicon)
+    best = counts.groupBy(*keep).agg(F.max(_coded(names, True)).alias("_code"), F.max("n").alias("n"))
+    return best.select(*keep, _place(F.col("_code"), names, True).alias("emotion"), "n")
 
 
 def labelled(df: DataFrame, lexicon: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -32,12 +55,12 @@ def labelled(df: DataFrame, lexicon: DataFrame, text: str, *keep: str) -> DataFr
     One pass: rows without a hit are carried through the same aggregate, so nothing is
     joined back.
     """
-    hits = weighted_hits(tokens(df, text, *keep), lexicon, *keep, how="left")
+    hits = weighted_hits(tokens(df, text, *keep), lexicon, how="left")
     counts = hits.groupBy(*keep, "emotion").agg(F.sum("_n").alias("n"))
-    known = F.when(
-        F.col("emotion").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("emotion").alias("e"))
-    )
-    return counts.groupBy(*keep).agg(F.min(known)["e"].alias("emotion"))
+    names = _names(lexicon)
+    # the place of a null emotion is null, and so is its code
+    best = counts.groupBy(*keep).agg(F.max(_coded(names, True)).alias("_code"))
+    return best.select(*keep, _place(F.col("_code"), names, True).alias("emotion"))
 
 
 def top_emotions(df: DataFrame, lexicon: DataFrame, text: str, *keep: str, key: str = "label") -> DataFrame:
@@ -45,11 +68,12 @@ def top_emotions(df: DataFrame, lexicon: DataFrame, text: str, *keep: str, key:
     (label, score) tuple. ``key="label"`` returns the label alone; ``"label_score"``
     also the score, so that rows can be grouped by the whole tuple."""
     counts = emotion_counts(df, lexicon, text, *keep)
+    names = _names(lexicon)
     pairs = counts.groupBy(*keep).agg(
         F.sum("n").alias("_total"),
         F.max("n").alias("_most"),
-        F.max_by("emotion", F.struct("n", "emotion")).alias("emotion"),
-    )
+        F.max(_coded(names, False)).alias("_code"),
+    ).withColumn("emotion", _place(F.col("_code"), names, False))
     columns = ["emotion"]
     if key == "label_score":
         pairs = pairs.withColumn("score", F.col("_most") / F.col("_total"))

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from glyphline.functions.scoring import rank_value
-from glyphline.functions.text import primary_category
+from glyphline.functions.text import none_of, primary_category
 
 
 def with_primary_category(df: DataFrame, categories: str, out: str = "grp") -> DataFrame:
@@ -26,7 +26,7 @@ def top_groups(df: DataFrame, group: str, k: int, exclude: Iterable[str] = ()) -
     """The k groups with most rows; ``exclude`` is applied before the ranking."""
     excluded = list(exclude)
     if excluded:
-        df = df.filter(~F.col(group).isin(excluded))
+        df = df.filter(none_of(group, excluded))
     return group_sizes(df, group).orderBy(F.desc("rows"), group).limit(k)
 
 
@@ -49,7 +49,7 @@ def group_profile(
     """
     excluded = list(exclude_groups)
     if excluded:
-        df = df.filter(~F.col(group).isin(excluded))
+        df = df.filter(none_of(group, excluded))
     marked = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("symbols"))
     counts = (
         df.select(group, F.explode_outer(marked).alias("symbol"))
@@ -127,7 +127,7 @@ def association_cells(
     cells = group_profile(df, group, top)
     for column, dropped in ((group, list(drop_groups)), ("symbol", list(drop_symbols))):
         if dropped:
-            cells = cells.filter(~F.col(column).isin(dropped))
+            cells = cells.filter(none_of(column, dropped))
     return cells
 
 

@@ -64,9 +64,22 @@ def top_pair_matrix(counts: DataFrame, k: int = 20) -> DataFrame:
     return observed.unionByName(zeros).groupBy("row", "col").agg(F.sum("n").alias("n"))
 
 
-def to_matrix(long: DataFrame, row: str, col: str, value: str, columns: list[str]) -> DataFrame:
-    """Wide, zero-filled form of a reduced long table; the columns are named, so no
-    extra job looks for them."""
+def to_matrix(
+    long: DataFrame, row: str, col: str, value: str, columns: list[str] | None = None, checked: bool = True
+) -> DataFrame:
+    """Wide, zero-filled form of a reduced long table.
+
+    Without ``columns`` every value that occurs has one, in order: the values of a reduced
+    table are as few as a wide table can have columns. With ``columns`` a cell outside them
+    is an error, or left out on purpose with ``checked=False``.
+    """
+    if columns is None:
+        columns = sorted(r[0] for r in long.select(col).distinct().collect() if r[0] is not None)
+    if checked:
+        outside = F.raise_error(F.concat(F.lit(f"a cell outside the columns of {col}: "), F.coalesce(F.col(col).cast("string"), F.lit("null"))))
+        long = long.withColumn(col, F.when(F.col(col).isin(columns), F.col(col)).otherwise(outside.cast(long.schema[col].dataType)))
+    else:
+        long = long.filter(F.col(col).isin(columns))
     return long.groupBy(row).pivot(col, columns).agg(F.sum(value)).fillna(0)
 
 

@@ -1,9 +1,8 @@
 """Lexicon hits and word polarity per label.
 
-A lexicon small enough for Catalyst to broadcast is joined to the token stream
-first, which drops most tokens before anything is shuffled. A larger one is joined
-to pre-counted words, so a frequent word reaches the join once per task, not once
-per occurrence. Both ways give the same counts.
+The lexicon is joined to the token stream, which drops most tokens before they are
+counted. Catalyst broadcasts a small lexicon by itself; for a larger one, adaptive
+execution splits the partitions of frequent words.
 """
 
 from __future__ import annotations
@@ -12,9 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from glyphline.functions.scoring import share
 from glyphline.functions.text import tokenize
-from glyphline.session import fits_broadcast
-
-SALTS = 16
 
 
 def tokens(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -28,18 +24,10 @@ def normalise_lexicon(lexicon: DataFrame, word: str = "word") -> DataFrame:
     return lexicon.withColumn(word, F.regexp_replace(F.lower(word), "[^a-z']", "")).filter(F.col(word) != "").distinct()
 
 
-def weighted_hits(found: DataFrame, lexicon: DataFrame, *keep: str, how: str = "inner") -> DataFrame:
-    """Join a token frame with the lexicon; ``_n`` says how many tokens a line stands for.
-
-    ``found`` has the ``keep`` columns and ``word``. The large-lexicon way also salts
-    the join, because a frequent word may sit in every text.
-    """
-    if fits_broadcast(lexicon):
-        return found.withColumn("_n", F.lit(1).cast("bigint")).join(lexicon, "word", how)
-    folded = found.groupBy(*keep, "word").agg(F.count(F.lit(1)).alias("_n"))
-    salted = folded.withColumn("_salt", F.pmod(F.xxhash64(*keep) if keep else F.lit(0), F.lit(SALTS)).cast("int"))
-    copies = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, ["word", "_salt"], how).drop("_salt")
+def weighted_hits(found: DataFrame, lexicon: DataFrame, how: str = "inner") -> DataFrame:
+    """Join a token frame (the ``keep`` columns and ``word``) with the lexicon; every line
+    stands for one token (``_n``)."""
+    return found.withColumn("_n", F.lit(1).cast("bigint")).join(lexicon, "word", how)
 
 
 def lexicon_hits(df: DataFrame, lexicon: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -47,7 +35,7 @@ def lexicon_hits(df: DataFrame, lexicon: DataFrame, text: str, *keep: str) -> Da
     found = tokens(df, text, *keep).filter(F.col("word").isNotNull())
     columns = [c for c in lexicon.columns if c != "word"]
     return (
-        weighted_hits(found, lexicon, *keep)
+        weighted_hits(found, lexicon)
         .groupBy(*keep, "word", *columns)
         .agg(F.sum("_n").alias("n"))
     )
@@ -66,7 +54,7 @@ def polarity_counts(
         return F.coalesce(F.sum(F.when(F.col("polarity") == polarity, F.col("_n"))), F.lit(0)).cast("bigint")
 
     return (
-        weighted_hits(tokens(posts, text, label), lexicon, label, how="left")
+        weighted_hits(tokens(posts, text, label), lexicon, how="left")
         .groupBy(label)
         .agg(tally("pos").alias("pos"), tally("neg").alias("neg"))
     )

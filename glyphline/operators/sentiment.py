@@ -20,7 +20,7 @@ def valence_totals(df: DataFrame, valence: DataFrame, text: str, *keep: str) ->
     All tokens of a row sit in one task, so the partial aggregate leaves one narrow
     line per row for the shuffle; the text itself never moves.
     """
-    scored = weighted_hits(tokens(df, text, *keep), valence, *keep, how="left")
+    scored = weighted_hits(tokens(df, text, *keep), valence, how="left")
     value = F.coalesce("valence", F.lit(0.0)) * F.col("_n")
     return scored.groupBy(*keep).agg(
         F.sum(value).alias("total"),

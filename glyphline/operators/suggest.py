@@ -2,8 +2,9 @@
 
 The model is a small (emotion, symbol, n) table. It is folded to one line per emotion,
 with ranked and cumulated arrays bounded by the vocabulary, so a text meets exactly one
-model line: scoring never multiplies the texts, and an emotion that labels a third of
-all texts is no hot key, because the folded model is the broadcast side.
+model line and scoring never multiplies the texts. The join has no hint: Catalyst
+broadcasts the lines when they are small, and otherwise adaptive execution splits the
+partition of an emotion that labels a third of all texts.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from glyphline.functions.scoring import damped, seeded_uniform
+from glyphline.functions.text import none_of
 from glyphline.operators.frequency import symbol_counts_by
 
 
@@ -25,22 +27,25 @@ def folded_model(model: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     """One line per emotion: symbols by descending count, their counts, running sums."""
     excluded = list(exclude)
     if excluded:
-        model = model.filter(~F.col("symbol").isin(excluded))
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("symbol").alias("s"))))
-    lines = model.groupBy("emotion").agg(ranked.alias("_r"))
-    counts = F.transform("_r", lambda r: -r["k"])
-    running = F.transform(
-        F.sequence(F.lit(1), F.size("_counts")),
-        lambda i: F.aggregate(F.slice("_counts", F.lit(1), i), F.lit(0).cast("bigint"), lambda a, n: a + n),
+        model = model.filter(none_of("symbol", excluded))
+    order = Window.partitionBy("emotion").orderBy(F.desc("n"), "symbol")
+    summed = model.select(
+        "emotion",
+        F.struct(
+            F.row_number().over(order).alias("i"),
+            F.col("symbol").alias("s"),
+            F.col("n").alias("n"),
+            F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("r"),
+        ).alias("_e"),
     )
-    folded = lines.select("emotion", F.transform("_r", lambda r: r["s"]).alias("_symbols"), counts.alias("_counts"))
-    return folded.withColumn("_running", running)
+    lines = summed.groupBy("emotion").agg(F.sort_array(F.collect_list("_e")).alias("_r"))
+    return lines.select("emotion", F.col("_r.s").alias("_symbols"), F.col("_r.n").alias("_counts"), F.col("_r.r").alias("_running"))
 
 
 def _scored(texts: DataFrame, model: DataFrame, pick: Column, exclude: Iterable[str] = ()) -> DataFrame:
     """Left join, so that an unknown or missing emotion keeps its row with a null symbol."""
     lines = folded_model(model, exclude)
-    return texts.join(F.broadcast(lines), "emotion", "left").select(*texts.columns, pick.alias("symbol"))
+    return texts.join(lines, "emotion", "left").select(*texts.columns, pick.alias("symbol"))
 
 
 def suggest_top(texts: DataFrame, model: DataFrame) -> DataFrame:
@@ -77,6 +82,6 @@ def ranked_model(model: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     """The model in long form with a rank per emotion."""
     excluded = list(exclude)
     if excluded:
-        model = model.filter(~F.col("symbol").isin(excluded))
+        model = model.filter(none_of("symbol", excluded))
     order = Window.partitionBy("emotion").orderBy(F.desc("n"), "symbol")
     return model.withColumn("rnk", F.row_number().over(order).cast("bigint"))

@@ -1,8 +1,8 @@
 """Term frequencies, per corpus and per symbol, and the tables behind word clouds.
 
-Stop words are removed from the counts, not from the tokens. The result is the same,
-and Catalyst chooses the place: it moves the anti join under the count when the list is
-small enough to broadcast, and otherwise joins one line per word.
+Stop words are removed from the counts of words, not from the tokens: Catalyst chooses the
+place, as it moves the anti join under the count when the list is small enough to
+broadcast. Pairs of neighbours are many more than words, so there stop words go first.
 """
 
 from __future__ import annotations
@@ -115,21 +115,24 @@ def _neighbour_counts(df: DataFrame, stopwords: DataFrame, text: str, *corpus: s
     """(word counts, pair counts) from one pass over the texts.
 
     The pass counts (token, next token); word counts are sums of those lines. The table
-    is checkpointed, as words, pairs and totals all come from it. Stop words are removed
-    from the counts, where a frequent word is one line. ``unfold`` names an array of
-    corpus keys: lines are counted per list of keys and split over the keys afterwards.
+    is checkpointed, as words, pairs and totals all come from it. Lines that start with a
+    stop word are dropped before the count, and a stop word as the next token is blanked:
+    no word or pair counted loses anything, and most keys are never shuffled. ``unfold``
+    names an array of corpus keys: lines are counted per list of keys and split over the
+    keys afterwards.
     """
     keys = (unfold,) if unfold else corpus
-    counts = bigrams(df, text, *keys).groupBy(*keys, "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
+    stop = stopwords.select("word").distinct()
+    found = drop_stopwords(bigrams(df, text, *keys), stop, "w1")
+    marked = found.join(stop.select(F.col("word").alias("w2"), F.lit(True).alias("_stop")), "w2", "left")
+    found = marked.withColumn("w2", F.when(F.col("_stop").isNull(), F.col("w2")))
+    counts = found.groupBy(*keys, "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
     if unfold:
         unfolded = counts.select(F.explode(unfold).alias(corpus[0]), "w1", "w2", "n")
         counts = unfolded.groupBy(*corpus, "w1", "w2").agg(F.sum("n").alias("n"))
     counts = checkpointed(counts)
-    unigrams = drop_stopwords(
-        counts.groupBy(*corpus, F.col("w1").alias("word")).agg(F.sum("n").alias("n")), stopwords
-    )
-    pairs = drop_stopwords(counts.filter(F.col("w2").isNotNull()), stopwords, "w1")
-    return unigrams, drop_stopwords(pairs, stopwords, "w2").withColumnRenamed("n", "c12")
+    unigrams = counts.groupBy(*corpus, F.col("w1").alias("word")).agg(F.sum("n").alias("n"))
+    return unigrams, counts.filter(F.col("w2").isNotNull()).withColumnRenamed("n", "c12")
 
 
 def _collocated(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -178,8 +181,7 @@ def cloud_frequencies(
         )
         merged = merged.join(form, [*corpus, f"w{side}"])
     if corpus:
-        # one line per corpus
-        merged = merged.join(F.broadcast(unigrams.groupBy(*corpus).agg(F.sum("n").alias("total"))), [*corpus])
+        merged = merged.join(unigrams.groupBy(*corpus).agg(F.sum("n").alias("total")), [*corpus])
     else:
         merged = merged.withColumn("total", unigrams.agg(F.sum("n")).scalar())
     found = _collocated(merged, threshold)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from glyphline.functions.symbols import symbol_class
 from glyphline.operators.frequency import with_symbols
-from glyphline.session import spread_small
 
 SYMBOLS = "é è ê ç ä ö ü ß ñ í ó É È Ê Ç Ä Ö Ü Ñ Í Ó | % * & $ # ! + = @ -".split()
 VOCAB = symbol_class(SYMBOLS)
@@ -84,8 +83,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents with only the columns asked for, spread over the cores when small."""
-    return spread_small(table(spark, sf_dir, "documents").select(*columns))
+    """Documents with only the columns asked for."""
+    return table(spark, sf_dir, "documents").select(*columns)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +94,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "conversations"))
+    return table(spark, sf_dir, "conversations")
 
 
 def symbol_rows(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:

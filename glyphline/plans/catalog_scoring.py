@@ -18,7 +18,7 @@ from glyphline.plans.catalog_text import TOKENS
 from glyphline.plans.flows import land_reviews
 from glyphline.plans.registry import query
 from glyphline.session import checkpointed, scratch_path
-from glyphline.streaming.score import lookup_literal, score_stream, valence_in_row
+from glyphline.streaming.score import lookup_literal, score_batches, valence_in_row
 
 # ---------------------------------------------------------------- valence
 
@@ -126,7 +126,8 @@ def e4_emotion_counts(spark, sf):
 @query(f"WITH {_emotion('documents')} SELECT * FROM dom")
 def e4_dominant_emotion(spark, sf):
     docs = b.documents(spark, sf, "doc_id", "text")
-    return em.dominant_emotion(em.emotion_counts(docs, b.emotions(spark), "text", "doc_id"), "doc_id")
+    counts = em.emotion_counts(docs, b.emotions(spark), "text", "doc_id")
+    return em.dominant_emotion(counts, b.emotions(spark), "doc_id")
 
 
 TOP_EMOTION = """SELECT doc_id, emotion, round(n / total, 6) AS score FROM (
@@ -215,13 +216,18 @@ def g_emotion_model(spark, sf):
 
 
 @query(
-    f"""WITH {MODEL}, {_ranked()} SELECT doc_id, emotion, string_agg(symbol, '' ORDER BY rnk) AS symbols
-    FROM te LEFT JOIN rk USING (emotion) GROUP BY doc_id, emotion"""
+    f"""WITH {MODEL}, {_ranked()}, li AS (SELECT emotion, count(*)::BIGINT AS symbols, sum(n)::BIGINT AS total,
+      string_agg(symbol, '' ORDER BY rnk) AS ranking FROM rk GROUP BY emotion)
+    SELECT doc_id, emotion, symbols, total, md5(ranking) AS line FROM te LEFT JOIN li USING (emotion)"""
 )
 def j8_emotion_lookup(spark, sf):
-    lines = sg.folded_model(_model(spark, sf))
-    found = _texts(spark, sf).join(F.broadcast(lines), "emotion", "left")
-    return found.select("doc_id", "emotion", F.array_join("_symbols", "").alias("symbols"))
+    """The model line that each text meets: its key, size and total, and a digest of its ranking."""
+    lines = sg.folded_model(_model(spark, sf)).select(
+        "emotion", F.size("_symbols").cast("bigint").alias("symbols"), F.element_at("_running", -1).alias("total"),
+        F.md5(F.array_join("_symbols", "")).alias("line"),
+    )
+    found = _texts(spark, sf).join(lines, "emotion", "left")
+    return found.select("doc_id", "emotion", "symbols", "total", "line")
 
 
 @query(f"WITH {MODEL}, {_ranked()} SELECT doc_id, te.emotion, symbol FROM te LEFT JOIN rk ON rk.emotion = te.emotion AND rnk = 1")
@@ -269,7 +275,7 @@ def g5_unknown_emotion(spark, sf):
       SELECT doc_id, te.emotion, symbol FROM te LEFT JOIN rk ON rk.emotion = te.emotion AND rnk = {DRAW} % least(3, size) + 1)"""
 )
 def g6_score_stream(spark, sf):
-    """The documents, landed as a folder of files, scored as a stream without state."""
+    """The documents, landed as a folder of files, scored as a stream in micro-batches."""
     landed = scratch_path(spark, "landed")
     docs = b.documents(spark, sf, "doc_id", "text")
     docs.write.parquet(landed)
@@ -277,22 +283,20 @@ def g6_score_stream(spark, sf):
     model_path = scratch_path(spark, "model")
     _model(spark, sf).write.parquet(model_path)
     model = spark.read.parquet(model_path)
-    scored = score_stream(stream, b.emotions(spark), model, "text", "doc_id", k=3)
     out = scratch_path(spark, "scored")
     run = (
-        scored.select("doc_id", "emotion", "symbol")
-        .writeStream.format("parquet")
+        score_batches(stream, b.emotions(spark), model, out, "text", "doc_id", k=3)
         .option("checkpointLocation", scratch_path(spark, "stream-state"))
         .trigger(availableNow=True)
-        .start(out)
+        .start()
     )
     run.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("doc_id", "emotion", "symbol")
 
 
 @query(f"WITH {_totals('documents')} SELECT doc_id, total FROM v")
 def g6_valence_in_row(spark, sf):
-    look_up = lookup_literal(b.valence(spark), "valence")
+    look_up = lookup_literal(b.VALENCE)
     docs = b.documents(spark, sf, "doc_id", "text")
     return docs.select("doc_id", valence_in_row(F.col("text"), look_up).alias("total"))
 
@@ -309,6 +313,22 @@ def w1_first_of_run(spark, sf):
     return dd.first_of_run(events, "event_id", "event_type", F.col("value") >= 5, bucket_rows=50_000)
 
 
+SPARSE = "('0x' || substr(md5(event_id::VARCHAR), 1, 15))::BIGINT"
+
+
+@query(
+    f"""SELECT event_id, event_type FROM (SELECT *, lag(event_type) OVER (ORDER BY o) AS before,
+      row_number() OVER (ORDER BY o) AS i FROM (SELECT *, {SPARSE} AS o FROM events))
+    WHERE value >= 5 AND (i = 1 OR event_type IS DISTINCT FROM before)"""
+)
+def w1_sparse_ids(spark, sf):
+    """The same in the order of 60-bit hashes, which leave most of their range empty."""
+    hashed = F.conv(F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 15), 16, 10).cast("bigint")
+    events = b.table(spark, sf, "events").select(hashed.alias("o"), "event_id", "event_type", "value")
+    kept = dd.first_of_run(events, "o", "event_type", F.col("value") >= 5, bucket_rows=500)
+    return kept.select("event_id", "event_type")
+
+
 @query(
     f"""SELECT doc_id, lang, md5(text) AS digest FROM (SELECT *, lag(lang) OVER (ORDER BY doc_id) AS before FROM documents)
     WHERE regexp_matches(text, '{CLS}') AND lang IS DISTINCT FROM before"""
@@ -392,14 +412,24 @@ def m1_standardize(spark, sf):
     return _rounded(scaled.select("symbol", *names), *names)
 
 
-@query()
+@query(PROFILE_SQL + " SELECT symbol, CASE WHEN avg_rating IS NOT NULL THEN true END AS nearest FROM profile")
 def m2_cluster_symbols(spark, sf):
-    return ml.cluster_symbols(_profile(spark, sf))
+    """Every symbol is in the cluster with the nearest centre; unrated symbols are in none."""
+    return ml.distance_to_centres(_profile(spark, sf)).select("symbol", "nearest")
 
 
-@query()
+@query(
+    """SELECT * FROM (VALUES (1::BIGINT, 1::BIGINT, 1.0::DOUBLE, 0.0::DOUBLE), (1, 2, 0.0, 0.0), (2, 2, 1.0, 0.0))
+    AS t(axis, other, product, residual)"""
+)
 def m3_pca(spark, sf):
-    return ml.pca2(_profile(spark, sf)).select("symbol", "pca1", "pca2")
+    """The axes are orthonormal and solve C v = lambda v for the covariance of the scaled features."""
+    checked = ml.axis_residuals(_profile(spark, sf))
+    near = lambda c: F.abs(F.round(c, 6)) * F.when(F.round(c, 6) < 0, -1).otherwise(1)
+    return checked.select(
+        F.col("axis").cast("bigint").alias("axis"), F.col("other").cast("bigint").alias("other"),
+        near("product").alias("product"), near("residual").alias("residual"),
+    )
 
 
 @query(
@@ -407,10 +437,10 @@ def m3_pca(spark, sf):
     SELECT doc_id, sum(n)::DOUBLE AS total, count(*)::BIGINT AS kinds, max(n)::DOUBLE AS most FROM k GROUP BY doc_id"""
 )
 def m4_symbol_vectors(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
     rows = checkpointed(b.symbol_rows(spark, sf, "doc_id"))
-    counts = ml.symbol_vectors(rows).transform(rows).withColumn("v", vector_to_array("features"))
+    counts = ml.symbol_vectors(rows).transform(rows)
+    # a sparse vector's own values, without the zeros of the vocabulary
+    counts = counts.withColumn("v", F.unwrap_udt("features")["values"])
     return counts.select(
         "doc_id",
         F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total"),
@@ -419,9 +449,14 @@ def m4_symbol_vectors(spark, sf):
     )
 
 
-@query()
+@query(
+    f"""WITH {D}, {_emotion('documents')}, r AS (SELECT DISTINCT doc_id FROM d)
+    SELECT emotion, count(*)::BIGINT AS rows, count(*)::BIGINT AS predicted FROM r LEFT JOIN dom USING (doc_id) GROUP BY emotion"""
+)
 def m5_symbol_classifier(spark, sf):
+    """Every row with or without a label is predicted, and no prediction is null."""
     rows = b.symbol_rows(spark, sf, "doc_id", "text")
     labelled = checkpointed(em.labelled(rows, b.emotions(spark), "text", "doc_id", "symbols"))
     model = ml.fit_symbol_classifier(labelled)
-    return ml.predicted_labels(model, labelled).select("doc_id", "emotion", "predicted")
+    found = ml.predicted_labels(model, labelled)
+    return found.groupBy("emotion").agg(F.count(F.lit(1)).alias("rows"), F.count("predicted").alias("predicted"))

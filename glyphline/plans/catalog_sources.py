@@ -59,6 +59,36 @@ def s1_read_reviews(spark, sf):
     return csv.read_reviews(spark, path, types).select("review_id", "rating", "lang", F.md5("text").alias("digest"))
 
 
+@query(
+    """SELECT doc_id AS review_id, lang, CASE WHEN lang IN ('de', 'es') THEN NULL ELSE md5(text) END AS digest FROM documents
+    WHERE lang <> 'de'"""
+)
+def s1_mixed_parts(spark, sf):
+    """Parts with two column orders, one of them in Latin-1, and rows with a surplus field (de), which
+    are skipped. Spanish texts are left empty."""
+    docs = b.documents(spark, sf, "doc_id", "lang", "text").withColumnRenamed("doc_id", "review_id")
+    root = scratch_path(spark, "parts")
+    body = F.when(F.col("lang") != "es", F.col("text"))
+    quoted = F.concat(F.lit('"'), F.regexp_replace(F.coalesce(body, F.lit("")), '"', '""'), F.lit('"'))
+    first = (F.monotonically_increasing_id() % F.lit(1 << 33)) == 0
+    number = F.col("review_id").cast("string")
+
+    def land(rows, header, line, name):
+        # the first row of a task starts its file, so it brings the header along
+        rows.select(F.when(first, F.concat(F.lit(header + "\n"), line)).otherwise(line)).write.text(f"{root}/{name}")
+
+    surplus = F.when(F.col("lang") == "de", F.lit(",more")).otherwise(F.lit(""))
+    land(docs.filter("lang IN ('en', 'de')"), "review_id,lang,text", F.concat(number, F.lit(","), "lang", F.lit(","), quoted, surplus), "a")
+    land(docs.filter("lang = 'es'"), "text,review_id,lang", F.concat(quoted, F.lit(","), number, F.lit(","), "lang"), "b")
+    french = docs.filter("lang = 'fr'").select("text", "lang", "review_id")
+    tables.write_rows(french, f"{root}/c", "csv", encoding="ISO-8859-1")
+    read = csv.read_reviews(
+        spark, [f"{root}/a/*.txt", f"{root}/b/*.txt", f"{root}/c/*.csv"], {"review_id": "bigint"},
+        bad_rows="skip_long", fallback="windows-1252",
+    )
+    return read.select("review_id", "lang", F.md5("text").alias("digest"))
+
+
 @query("SELECT source AS label, doc_id, md5(text) AS digest FROM documents")
 def s2_read_labelled_dir(spark, sf):
     docs = b.documents(spark, sf, "doc_id", "source", "text")

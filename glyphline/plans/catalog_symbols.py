@@ -126,6 +126,17 @@ def p10_exclude_before_topk(spark, sf):
     return gr.top_groups(b.symbol_rows(spark, sf, "lang"), "lang", 2, exclude=["en"])
 
 
+@query(
+    f"""WITH {S}, g AS (SELECT CASE WHEN lang <> 'en' THEN lang END AS grp FROM s)
+    SELECT grp, count(*)::BIGINT AS rows FROM g WHERE grp IS DISTINCT FROM 'fr' GROUP BY grp
+    ORDER BY rows DESC, grp NULLS FIRST LIMIT 3"""
+)
+def p10_null_group(spark, sf):
+    """Rows without a group are a group, which an exclusion of others keeps."""
+    rows = b.symbol_rows(spark, sf, "lang").withColumn("grp", F.when(F.col("lang") != "en", F.col("lang")))
+    return gr.top_groups(rows, "grp", 3, exclude=["fr"])
+
+
 @query(
     f"WITH {_cells('source', 10)} SELECT * FROM cells WHERE source NOT IN ('src0', 'src17') AND symbol NOT IN ('!', 'ß')"
 )
@@ -342,18 +353,20 @@ def a13_group_spread(spark, sf):
 )
 def a21_group_matrix(spark, sf):
     cells = gr.group_profile(b.symbol_rows(spark, sf, "lang"), "lang", 4)
-    return pr.to_matrix(cells, "symbol", "lang", "n", ["de", "en", "es", "fr"])
+    return pr.to_matrix(cells, "symbol", "lang", "n")
 
 
 @query(
     f"""WITH {PAIR_COUNTS}, sym AS (SELECT s1 AS r, s2 AS c2, n FROM c UNION ALL SELECT s2, s1, n FROM c)
-    SELECT r AS "row", {', '.join(f"coalesce(sum(n) FILTER (c2 = '{x}'), 0)::BIGINT AS {a}"
-      for x, a in (('é', 'e_acute'), ('ü', 'u_umlaut'), ('!', 'bang')))} FROM sym GROUP BY r"""
+    SELECT r AS "row", {', '.join(f"coalesce(sum(n) FILTER (c2 = '{x}'), 0)::BIGINT AS u{ord(x):04x}"
+      for x in sorted(b.SYMBOLS))} FROM sym GROUP BY r"""
 )
 def a21_cooccurrence_matrix(spark, sf):
+    """The whole matrix: a column for every symbol of the vocabulary, named by its code point."""
     long = pr.pair_matrix(pr.cooccurrence_counts(b.symbol_rows(spark, sf)))
-    wide = pr.to_matrix(long, "row", "col", "n", ["é", "ü", "!"])
-    return wide.select("row", F.col("é").alias("e_acute"), F.col("ü").alias("u_umlaut"), F.col("`!`").alias("bang"))
+    # column names do not tell É from é, code points do
+    named = long.withColumn("col", F.concat(F.lit("u"), F.lower(F.lpad(F.hex(F.ascii("col")), 4, "0"))))
+    return pr.to_matrix(named, "row", "col", "n", [f"u{ord(x):04x}" for x in sorted(b.SYMBOLS)])
 
 
 @query(f"WITH {S} SELECT lang, count(*)::BIGINT AS rows FROM s GROUP BY lang")

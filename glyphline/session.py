@@ -1,12 +1,16 @@
-"""Session settings, size checks and shared scratch space."""
+"""Session settings and shared scratch space."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: list[tuple[SparkSession, str]] = []
+
 
 def build_session(app: str = "glyphline", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -17,6 +21,8 @@ def build_session(app: str = "glyphline", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # checkpoints go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -24,42 +30,6 @@ def build_session(app: str = "glyphline", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def size_estimate(df: DataFrame) -> int:
-    """Catalyst's own estimate of the size in bytes, without running a job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _bytes(spark: SparkSession, setting: str) -> int:
-    if setting.startswith("-"):
-        return -1
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting.lower()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    return _bytes(spark, spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst would broadcast this side by itself. No hint is given: callers
-    use the answer to choose between joining first and pre-aggregating first."""
-    return size_estimate(df) <= broadcast_limit(df.sparkSession)
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Split a small, badly split input over all cores.
-
-    One small Parquet file with a single row group is read by one task. Regex work
-    is CPU bound, so such an input is redistributed; anything above the size of one
-    scan split is left alone, and a large table is never shuffled here.
-    """
-    spark = df.sparkSession
-    split = _bytes(spark, spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    cores = spark.sparkContext.defaultParallelism
-    if size_estimate(df) > split or cores == 1:
-        return df
-    return df.repartition(cores)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named in spark.checkpoint.dir. A machine-local folder is
     used only when nothing is set and the session itself is local."""
@@ -75,8 +45,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written intermediate table."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written intermediate table. It is deleted when the driver ends,
+    as a lazy result may be read until then."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(remove_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+def remove_scratch() -> None:
+    """Delete the scratch tables of this driver, through the file system that holds them."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001  the session has ended and its connection with it
+            if "://" not in path:
+                shutil.rmtree(path, ignore_errors=True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -76,10 +76,14 @@ def audit_columns(spark: SparkSession, glob: str | list[str]) -> DataFrame:
                 F.lit(len(names)).alias("expected"),
             )
         )
-    # a file with quoted line breaks is read by one task, so _at is consecutive in it
-    first = F.min("_at").over(Window.partitionBy("file"))
-    numbered = reduce(DataFrame.unionByName, parts).withColumn("record", F.col("_at") - first + F.lit(2))
-    return numbered.filter(F.col("_raw").isNotNull()).select(
-        "file", "record", field_count(F.col("_raw")).alias("n_fields"), "expected",
+    # a file with quoted line breaks is read by one task, so _at is consecutive in it; one
+    # number per file is joined to the records that are reported, and no others are shuffled
+    records = reduce(DataFrame.unionByName, parts)
+    first = records.groupBy("file").agg(F.min("_at").alias("_first"))
+    return records.filter(F.col("_raw").isNotNull()).join(first, "file").select(
+        "file",
+        (F.col("_at") - F.col("_first") + F.lit(2)).alias("record"),
+        field_count(F.col("_raw")).alias("n_fields"),
+        "expected",
         F.left("_raw", F.lit(PREVIEW_CHARS)).alias("preview"),
     )

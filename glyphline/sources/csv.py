@@ -93,8 +93,15 @@ def read_layout(
         raw = F.rtrim(F.col(_RAW), F.lit("\r\n"))
         short = F.when(raw.endswith(",,"), field_count(raw) <= len(names)).otherwise(True)
         rows = rows.filter(F.col(_EXTRA).isNull() & F.col(_RAW).isNotNull() & short)
+    elif bad_rows == "fail":
+        raw = F.rtrim(F.col(_RAW), F.lit("\r\n"))
+        surplus = F.col(_EXTRA).isNotNull() | F.coalesce(field_count(raw) > len(names), F.lit(True))
+        complaint = F.concat(F.lit("a row with more fields than the header in "), F.col("_metadata.file_path"))
+        rows = rows.withColumn(_RAW, F.when(surplus, F.raise_error(complaint).cast("string")).otherwise(F.col(_RAW)))
+        # the test is read, so no column pruning can take it away
+        rows = rows.filter(F.col(_RAW).isNotNull())
     elif bad_rows != "keep":
-        raise ValueError("bad_rows is 'skip_long' or 'keep'")
+        raise ValueError("bad_rows is 'skip_long', 'fail' or 'keep'")
     columns = [F.col(f"`{n}`") for n in names]
     if not utf8:
         columns = [_decoded(c, fallback).alias(n) for c, n in zip(columns, names)]
@@ -108,14 +115,25 @@ def missing_as_null(column: Column) -> Column:
 def read_csv_robust(
     spark: SparkSession,
     glob: str | list[str],
-    columns: list[str],
-    fallback: str = "windows-1252",
+    columns: list[str] | None = None,
+    fallback: str | None = "windows-1252",
     bad_rows: str = "skip_long",
     na_strings: bool = True,
 ) -> DataFrame:
-    """The named columns of every file, as strings, plus the file path in ``file``."""
+    """The named columns of every file, as strings, plus the file path in ``file``.
+
+    Without ``columns`` the files must have the same columns, in any order. Without
+    ``fallback`` a file that is not valid UTF-8 is an error.
+    """
     parts = []
+    exactly = False
     for (names, utf8), files in sorted(files_by_layout(spark, glob).items()):
+        if columns is None:
+            columns, exactly = list(names), True
+        if exactly and set(names) != set(columns):
+            raise ValueError(f"{files[0]} has other columns ({list(names)}) than the first files ({columns})")
+        if not utf8 and fallback is None:
+            raise ValueError(f"{files[0]} is not valid UTF-8")
         absent = [c for c in columns if c not in names]
         if absent:
             raise ValueError(f"no column {absent} in {files[0]} (has {list(names)})")
@@ -150,11 +168,17 @@ def read_reviews(
     path: str | list[str],
     types: dict[str, str] | None = None,
     na_strings: bool = True,
+    bad_rows: str = "fail",
+    fallback: str | None = None,
 ) -> DataFrame:
-    """One review CSV, or a folder of part files with one common header. Column names
-    come from the header line, types from ``types`` (string otherwise); a cell that
-    does not convert is null."""
-    rows = _options(spark, "UTF-8").csv(path)
+    """One review CSV, or a folder of part files with the same columns in any order.
+
+    Column names come from each file's header line, types from ``types`` (string
+    otherwise); a cell that does not convert is null. Reading is strict: a row with more
+    fields than the header, or a file that is not valid UTF-8, is an error, unless
+    ``bad_rows`` or ``fallback`` say what to do with it.
+    """
+    rows = read_csv_robust(spark, path, None, fallback, bad_rows, na_strings=False).drop("file")
     types = REVIEW_TYPES if types is None else types
 
     def typed(name: str) -> Column:

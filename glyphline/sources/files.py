@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def escaped(path: str) -> str:
+    """A file's path for readers that take globs: characters that a glob gives a meaning are quoted."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def raw_lines(spark: SparkSession, glob: str | list[str]) -> DataFrame:
     """Undecoded lines with their file, the block they start in and their order.
 
@@ -60,5 +66,5 @@ def files_by_layout(spark: SparkSession, glob: str | list[str]) -> dict[tuple[tu
     layouts: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
     rows = profile_files(spark, glob).select("file", F.make_valid_utf8("header").alias("header"), "utf8")
     for row in rows.toLocalIterator():
-        layouts[(tuple(column_names(row["header"])), row["utf8"])].append(unquote(row["file"]))
+        layouts[(tuple(column_names(row["header"])), row["utf8"])].append(escaped(unquote(row["file"])))
     return layouts

@@ -1,13 +1,15 @@
 """Emotion and symbol suggestion for a stream of texts.
 
-``score_stream`` is stateless: the lexicon is looked up inside the row, the folded
-model is a broadcast static side, output mode is append. A lexicon too large for a plan
-literal goes through ``score_batches``, which applies the batch operators (joins and
-aggregates of any size) to each micro-batch.
+``score_batches`` applies the batch operators (joins and aggregates of any size) to each
+micro-batch. ``valence_in_row`` scores inside the row, for a lexicon that the caller holds as a
+list: it becomes part of the plan, and no table is collected for it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -15,26 +17,23 @@ from glyphline.functions.text import tokenize
 from glyphline.operators.emotion import labelled
 from glyphline.operators.suggest import suggest_topk
 
-MAX_LITERAL_ENTRIES = 20_000
 ENTRIES_PER_BUCKET = 8
 
 
-def lookup_literal(lexicon: DataFrame, value: str, max_entries: int = MAX_LITERAL_ENTRIES):
+def lookup_literal(entries: Iterable[tuple[str, float]]):
     """word -> list of values, as a function on columns.
 
     The entries become a literal array of small maps picked by the word's hash, since a
-    lookup in one large map walks it. More than ``max_entries`` rows are refused.
+    lookup in one large map walks it.
     """
-    rows = lexicon.select("word", F.col(value).alias("value"), F.xxhash64("word").alias("h")).limit(
-        max_entries + 1
-    ).collect()
-    if len(rows) > max_entries:
-        raise ValueError(f"more than {max_entries} lexicon rows; use score_batches")
+    rows = list(entries)
     n = max(1, len(rows) // ENTRIES_PER_BUCKET)
     buckets: list[dict[str, set]] = [{} for _ in range(n)]
-    for row in rows:
-        buckets[row["h"] % n].setdefault(row["word"], set()).add(row["value"])
-    kind = lexicon.schema[value].dataType.simpleString()
+    for word, value in rows:
+        hashed = xxhash.xxh64_intdigest(word.encode(), 42)
+        signed = hashed - (1 << 64) if hashed >> 63 else hashed
+        buckets[signed % n].setdefault(word, set()).add(float(value))
+    kind = "double"
     maps = F.array(
         *[
             F.create_map(*[x for w, vs in sorted(b.items()) for x in (F.lit(w), F.array(*map(F.lit, sorted(vs))))])
@@ -51,44 +50,12 @@ def lookup_literal(lexicon: DataFrame, value: str, max_entries: int = MAX_LITERA
     return look_up
 
 
-def emotion_in_row(text: Column, look_up) -> Column:
-    """Dominant emotion of one text, the first by name on ties, null without a hit."""
-
-    def dominant(hits: Column) -> Column:
-        ranked = F.transform(
-            F.array_distinct(hits),
-            lambda e: F.struct((-F.size(F.filter(hits, lambda h: h == e))).alias("n"), e.alias("e")),
-        )
-        return F.array_min(ranked)["e"]
-
-    # the hits are bound to a lambda variable: written out, they would be looked up again
-    # for every use
-    hits = F.flatten(F.transform(tokenize(text), look_up))
-    return F.get(F.transform(F.array(hits), dominant), F.lit(0))
-
-
 def valence_in_row(text: Column, look_up) -> Column:
     """Summed valence of one text."""
     values = F.flatten(F.transform(tokenize(text), look_up))
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 
 
-def score_stream(
-    stream: DataFrame,
-    lexicon: DataFrame,
-    model: DataFrame,
-    text: str = "text",
-    id_col: str = "review_id",
-    k: int = 3,
-    seed: int = 42,
-    exclude: tuple[str, ...] = (),
-) -> DataFrame:
-    """The stream with its emotion and a suggested symbol. Works on a table as well."""
-    look_up = lookup_literal(lexicon, "emotion")
-    labelled_rows = stream.withColumn("emotion", emotion_in_row(F.col(text), look_up))
-    return suggest_topk(labelled_rows, model, id_col, k, seed, exclude)
-
-
 def score_batches(
     stream: DataFrame,
     lexicon: DataFrame,

@@ -35,8 +35,10 @@ def test_whole_emoji_class_finds_the_same(reviews, with_symbols, rows):
 def test_vocabulary_from_a_table(spark):
     vocab = spark.sql("SELECT explode(array('😂', '🔥', '🔥')) AS symbol")
     assert sy.class_from_table(vocab) == sy.symbol_class("😂🔥")
+    many = [chr(0x4E00 + i) for i in range(12_000)]
+    assert sy.class_from_table(spark.createDataFrame([(c,) for c in many], "symbol string")) == sy.symbol_class(many)
     with pytest.raises(ValueError):
-        sy.class_from_table(vocab, max_symbols=1)
+        sy.class_from_table(vocab.limit(0))
 
 
 def test_sequences_and_single_symbols_are_different_tests(spark, reviews, rows):
@@ -242,7 +244,7 @@ def test_run_dedup(spark, rows):
     keys = ["a", "a", "b", "b", "a", None, None]
     df = spark.createDataFrame([(i, k, i > 1) for i, k in enumerate(keys, 1)], "i bigint, k string, p boolean")
     for size in (1, 2, 3, 100):
-        kept = dedup.first_of_run(df, "i", "k", F.col("p"), bucket_rows=size, fan_in=2)
+        kept = dedup.first_of_run(df, "i", "k", F.col("p"), bucket_rows=size)
         assert rows(kept, "i") == [(3,), (5,), (6,)]
 
 
@@ -305,7 +307,7 @@ def test_emotions(spark, emotions, rows):
     df = spark.createDataFrame([(1, "sun sun rain"), (2, "war"), (3, "table"), (4, None)], "id int, text string")
     counts = emotion.emotion_counts(df, emotions, "text", "id")
     assert rows(counts) == [(1, "joy", 2), (1, "sadness", 1), (1, "trust", 2), (2, "anger", 1), (2, "fear", 1)]
-    assert rows(emotion.dominant_emotion(counts, "id")) == [(1, "joy", 2), (2, "anger", 1)]
+    assert rows(emotion.dominant_emotion(counts, counts, "id")) == [(1, "joy", 2), (2, "anger", 1)]
     assert rows(emotion.labelled(df, emotions, "text", "id")) == [(1, "joy"), (2, "anger"), (3, None), (4, None)]
     assert rows(emotion.top_emotions(df, emotions, "text", "id", key="label_score")) == [(1, "trust", 0.4), (2, "fear", 0.5)]
 

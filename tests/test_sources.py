@@ -138,3 +138,46 @@ def test_long_quoted_records_are_counted(spark, folder, rows):
     text = 'long "quoted", text ' * 20_000
     line = "u1,\"" + text.replace('"', '""') + "\",,\n"
     assert rows(audit.audit_columns(spark, folder(a="User,Text\n" + line)), "n_fields") == [(4,)]
+
+
+def _files(folder, **contents):
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, data in contents.items():
+        (folder / f"{name}.csv").write_bytes(data)
+    return str(folder)
+
+
+def test_reviews_are_read_by_name(spark, tmp_path, rows):
+    folder = _files(tmp_path / "r", a=b"review_id,text\n1,a\n", b=b"text,review_id\nb,2\n")
+    read = csv.read_reviews(spark, f"{folder}/*.csv", {"review_id": "bigint"})
+    assert rows(read, "review_id", "text") == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("bad", [b"a,b\n1,2\n3,4,5\n", b"a,b\n1,2\n3,4,5,6,7\n", b"a,b\n1,2\n3,4,,\n"])
+def test_strict_reading_refuses_surplus_fields(spark, tmp_path, bad):
+    folder = _files(tmp_path / "r", a=bad)
+    with pytest.raises(Exception, match="more fields than the header"):
+        csv.read_reviews(spark, folder).collect()
+    assert csv.read_reviews(spark, folder, bad_rows="skip_long").count() == 1
+
+
+def test_strict_reading_takes_ordinary_rows(spark, tmp_path, rows):
+    folder = _files(tmp_path / "r", a=b'a,b\n1,"x, ""y""\nz"\n2\n,\n')
+    assert rows(csv.read_reviews(spark, folder)) == [("1", 'x, "y"\nz'), ("2", None), (None, None)]
+
+
+def test_strict_reading_refuses_other_encodings_and_columns(spark, tmp_path, rows):
+    folder = _files(tmp_path / "r", a=b"a\ncaf\xe9\n")
+    with pytest.raises(ValueError, match="not valid UTF-8"):
+        csv.read_reviews(spark, folder)
+    assert rows(csv.read_reviews(spark, folder, fallback="windows-1252")) == [("café",)]
+    other = _files(tmp_path / "o", a=b"a,b\n1,2\n", b=b"a,c\n1,2\n")
+    with pytest.raises(ValueError, match="other columns|no column"):
+        csv.read_reviews(spark, f"{other}/*.csv")
+
+
+def test_file_names_with_glob_characters(spark, tmp_path, rows):
+    folder = _files(tmp_path / "g", **{"a[1]": b"Text\none\n", "b{x}*?": b"Text\ntwo\n", "c d%20+": b"Text\nthree\n"})
+    read = csv.read_labelled_dir(spark, folder)
+    assert rows(read, "label", "text") == [("a[1]", "one"), ("b{x}*?", "two"), ("c d%20+", "three")]
+    assert audit.audit_columns(spark, folder).count() == 0
