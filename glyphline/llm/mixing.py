@@ -205,6 +205,56 @@ def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     return out.withColumns(changed).select(*docs.columns)
 
 
-@query()
+#: The mix by definition: every seat of every party is listed and the highest quotients win.
+SQL = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
+p AS (SELECT *, md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, ''), size::VARCHAR)) AS place FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*)::BIGINT AS documents FROM p GROUP BY source),
+w AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END::DOUBLE AS weight,
+    (sum(source_size) OVER ())::BIGINT AS total, ({MAX_PASSES} * source_size)::BIGINT AS cap FROM s),
+v AS (
+  SELECT *, cap / weight AS full_at,
+    (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+      / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+o AS (SELECT full_at AS open_at, level AS open_level FROM v WHERE full_at > level ORDER BY full_at, level LIMIT 1),
+t AS (
+  SELECT source, source_size, documents, round(total / {BLOCK_WORDS})::BIGINT AS blocks, ceil(sqrt(documents))::BIGINT AS shards,
+    CASE WHEN open_at IS NULL OR full_at < open_at THEN cap::DOUBLE ELSE least(cap::DOUBLE, weight * open_level) END AS target
+  FROM v LEFT JOIN o ON true),
+q AS (
+  SELECT source, count(*)::BIGINT AS quota FROM (
+    SELECT source, blocks, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source NULLS LAST) AS place
+    FROM (SELECT *, unnest(range(0, blocks)) AS k FROM t WHERE target > 0))
+  WHERE place <= blocks GROUP BY source),
+h AS (
+  SELECT p.*, t.source_size, t.target, coalesce(q.quota, 0) AS source_quota,
+    ('0x' || substr(place, 1, 8))::BIGINT % t.shards AS shard
+  FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source LEFT JOIN q ON p.source IS NOT DISTINCT FROM q.source),
+z AS (
+  SELECT source, shard, sum(size)::BIGINT AS shard_size, max(source_quota)::BIGINT AS source_quota FROM h GROUP BY source, shard),
+r AS (
+  SELECT source, shard, count(*)::BIGINT AS quota FROM (
+    SELECT source, shard, source_quota, row_number() OVER (PARTITION BY source ORDER BY shard_size / (2 * k + 1) DESC, shard) AS place
+    FROM (SELECT *, unnest(range(0, source_quota)) AS k FROM z WHERE shard_size > 0))
+  WHERE place <= source_quota GROUP BY source, shard),
+m AS (
+  SELECT z.source, z.shard, shard_size, least(coalesce(quota, 0) * {BLOCK_WORDS}, {MAX_PASSES} * shard_size) AS words,
+    ('0x' || substr(md5(concat_ws(':', '{SEED}', z.shard::VARCHAR, z.source)), 1, 8))::BIGINT % shard_size AS starts
+  FROM z LEFT JOIN r ON z.source IS NOT DISTINCT FROM r.source AND z.shard = r.shard WHERE shard_size > 0),
+a AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY place, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins FROM h)
+SELECT doc_id, size, source_size, target, coalesce(
+    (words // shard_size) * size
+    + greatest(0, least(begins + size, starts + words % shard_size, shard_size) - greatest(begins, starts))
+    + greatest(0, least(begins + size, starts + words % shard_size - shard_size) - begins), 0)::BIGINT AS taken
+FROM a LEFT JOIN m ON a.source IS NOT DISTINCT FROM m.source AND a.shard = m.shard
+"""
+
+
+@query(SQL)
 def op2_mix_sources(spark, sf):
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")

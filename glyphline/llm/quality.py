@@ -156,7 +156,43 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     return rows.join(good, match, "left_semi")
 
 
-@query()
+SQL = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, regexp_extract_all(text, '{WORD}') AS words, string_split(text, chr(10)) AS lines FROM d),
+g AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)),
+rep AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words FROM (
+    SELECT r, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1)
+  GROUP BY r),
+l AS (
+  SELECT r, trim(regexp_replace(translate(lower(line), '123456789', '000000000'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS line
+  FROM (SELECT r, unnest(lines) AS line FROM w)),
+h AS (SELECT source, count(DISTINCT text) AS documents FROM d GROUP BY source),
+c AS (SELECT source, line, count(DISTINCT text) AS n FROM l JOIN d USING (r) WHERE line <> '' GROUP BY source, line),
+f AS (
+  SELECT c.source, c.line FROM c JOIN h ON c.source IS NOT DISTINCT FROM h.source
+  WHERE n > {MIN_DOCUMENTS} AND n > {MAX_SHARE} * documents),
+s AS (
+  SELECT r, sum(length(l.line)) AS total, coalesce(sum(length(l.line)) FILTER (f.line IS NOT NULL), 0) AS removed
+  FROM l JOIN d USING (r) LEFT JOIN f ON f.line = l.line AND f.source IS NOT DISTINCT FROM d.source GROUP BY r),
+b AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    (length(text) - length(translate(text, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
+    (len(list_filter(lines, lambda x: regexp_matches(x, '{WORD}')))
+      - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '{WORD}')))))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, total, removed
+  FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN s USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
+  NOT failed AND total - removed >= {MIN_LEFT} * total AS kept
+FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS failed FROM b)
+"""
+
+
+@query(SQL)
 def op7_quality_rules(spark, sf):
     return judge(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
