@@ -2,8 +2,8 @@
 
 Known licence texts and notices are normalised (case, punctuation, copyright lines and
 equivalent spellings) and digested. A document's whole text, its paragraphs and its lines
-are normalised by the same expressions and joined on the digest, each in full: a unit is a
-licence when all of it is, not when it mentions one.
+are joined on the digest, each in full: a unit is a licence when all of it is, not when it
+mentions one. A text is normalised once and its units are cut from the result.
 """
 
 from __future__ import annotations
@@ -70,7 +70,8 @@ SPELLINGS = [
     (r"\b(v|ver|version) ?([0-9])", "version $2"),
     (r"\bcopyright (owner|holder)\b", "copyright holder"),
 ]
-COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright\b|\(c\)|©)[^\n]*$"
+#: A line that names a holder: it goes with its line break.
+COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright[ \t:]*(\(c\)|©|[0-9]{4})|\(c\)|©)[^\n]*(\n|$)"
 
 
 def _when_mentioned(text: Column, words: tuple[str, ...], changed: Column) -> Column:
@@ -79,28 +80,37 @@ def _when_mentioned(text: Column, words: tuple[str, ...], changed: Column) -> Co
     return F.when(mentioned, changed).otherwise(text)
 
 
-def with_normalised(units: DataFrame, text_col: str) -> DataFrame:
-    """The units with ``text_col`` in lower case, without copyright lines, its words and digits
-    separated by one space, and (where it speaks of a licence or copyright) one spelling."""
+def with_plain_lines(texts: DataFrame, text_col: str) -> DataFrame:
+    """The texts in lower case and without copyright lines, with one space between words and
+    digits of a line, and line breaks as they are."""
     text = F.col(text_col)
-    spelled = reduce(lambda t, s: F.regexp_replace(t, *s), SPELLINGS, text)
     stages = [
         F.lower(text),
-        _when_mentioned(text, ("copyright", "(c)", "©"), F.regexp_replace(text, COPYRIGHT_LINE, " ")),
-        F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")),
-        _when_mentioned(text, ("licen", "copyright"), spelled),
+        _when_mentioned(text, ("copyright", "(c)", "©"), F.regexp_replace(text, COPYRIGHT_LINE, "")),
+        F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " "),
+        F.replace(F.replace(text, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")),
     ]
-    return reduce(lambda rows, stage: rows.withColumn(text_col, stage), stages, units)
+    return reduce(lambda rows, stage: rows.withColumn(text_col, stage), stages, texts)
+
+
+def digest(units: DataFrame, body: str) -> DataFrame:
+    """The units with ``digest`` for ``body``: its lines as one, one spelling where it speaks of a licence."""
+    text = F.col(body)
+    spelled = reduce(lambda t, s: F.regexp_replace(t, *s), SPELLINGS, text)
+    joined = units.withColumn(body, F.trim(F.regexp_replace(text, "\n+", " ")))
+    found = F.sha2(_when_mentioned(text, ("licen", "copyright"), spelled), 256)
+    # never null, so a join on it adds no null test that would compute all of this twice
+    return joined.withColumn("digest", F.coalesce(found, F.lit(""))).drop(body)
 
 
 def known_digests(spark: SparkSession, notices=NOTICES) -> DataFrame:
     """license, digest of every known text; as many rows as texts are given."""
     rows = spark.createDataFrame(list(notices), "license string, text string")
-    return with_normalised(rows, "text").select("license", F.sha2("text", 256).alias("known")).distinct()
+    return digest(with_plain_lines(rows, "text"), "text").withColumnRenamed("digest", "known").distinct()
 
 
 def scan(
-    docs: DataFrame, notices=NOTICES, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, notices=NOTICES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, license, unit (text, paragraph or line) and n, how many such units carry it.
 
@@ -110,17 +120,53 @@ def scan(
     digests are a fixed list given by the caller, broadcast for that reason.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"))
-    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit("line").alias("unit"), x.alias("body")))
-    parts = F.filter(F.split("text", r"\n[ \t]*\n\s*"), lambda x: F.contains(F.trim(x), F.lit("\n")))
-    paragraphs = F.transform(parts, lambda x: F.struct(F.lit("paragraph").alias("unit"), x.alias("body")))
-    entire = F.array(F.struct(F.lit("text").alias("unit"), F.col("text").alias("body")))
+    rows = with_plain_lines(rows, "text")
+    unit = lambda name, body: F.struct(F.lit(name).alias("unit"), body.alias("body"))
+    lines = F.transform(F.split("text", "\n"), lambda x: unit("line", x))
+    parts = F.filter(F.split("text", "\n\n+"), lambda x: F.contains(F.trim(x, F.lit("\n ")), F.lit("\n")))
+    none = F.array().cast("array<struct<unit:string,body:string>>")
+    blank = F.contains("text", F.lit("\n\n"))
+    paragraphs = F.when(blank, F.transform(parts, lambda x: unit("paragraph", x))).otherwise(none)
+    entire = F.array(unit("text", F.col("text")))
     units = rows.select("doc_id", F.explode(F.concat(entire, paragraphs, lines)).alias("u")).select("doc_id", "u.*")
-    digests = with_normalised(units, "body").select("doc_id", "unit", F.sha2("body", 256).alias("digest"))
+    digests = digest(units, "body")
     known = known_digests(docs.sparkSession, notices)
     hits = digests.join(F.broadcast(known), F.col("digest") == F.col("known"))
     return hits.groupBy("doc_id", "license", "unit").agg(F.count("*").alias("n"))
 
 
-@query()
+def _sql() -> str:
+    """The scan in SQL, with the normalisation written out once as a macro of nested expressions."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+
+    def plain(text: str) -> str:
+        kept = f"regexp_replace(lower({text}), {quoted(COPYRIGHT_LINE)}, '', 'g')"
+        spaced = f"regexp_replace({kept}, {quoted(r'[^\p{L}\p{N}\n]+')}, ' ', 'g')"
+        return f"replace(replace({spaced}, ' ' || chr(10), chr(10)), chr(10) || ' ', chr(10))"
+
+    def digest_of(body: str) -> str:
+        joined = f"trim(regexp_replace({body}, {quoted(r'\n+')}, ' ', 'g'))"
+        spelled = joined
+        for pattern, word in SPELLINGS:
+            spelled = f"regexp_replace({spelled}, {quoted(pattern)}, {quoted(word.replace('$', chr(92)))}, 'g')"
+        return f"sha256(CASE WHEN contains({joined}, 'licen') OR contains({joined}, 'copyright') THEN {spelled} ELSE {joined} END)"
+
+    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in NOTICES)
+    return f"""
+    WITH k AS (SELECT DISTINCT license, {digest_of("plain")} AS digest
+      FROM (SELECT license, {plain("text")} AS plain FROM (VALUES {known}) AS t(license, text))),
+    p AS (SELECT doc_id, {plain("coalesce(text, '')")} AS plain FROM documents),
+    u AS (
+      SELECT doc_id, 'text' AS unit, plain AS body FROM p
+      UNION ALL SELECT doc_id, 'line', unnest(string_split(plain, chr(10))) FROM p
+      UNION ALL SELECT doc_id, 'paragraph', body FROM (
+        SELECT doc_id, unnest(string_split_regex(plain, {quoted(r'\n\n+')})) AS body FROM p WHERE contains(plain, chr(10) || chr(10)))
+        WHERE contains(trim(body, chr(10) || ' '), chr(10)))
+    SELECT doc_id, license, unit, count(*)::BIGINT AS n
+    FROM (SELECT doc_id, unit, {digest_of("body")} AS digest FROM u) JOIN k USING (digest) GROUP BY ALL
+    """
+
+
+@query(_sql())
 def op5_license_scan(spark, sf):
     return scan(table(spark, sf, "documents"))
