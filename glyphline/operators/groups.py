@@ -90,6 +90,17 @@ def top_symbols_per_group(
     )
 
 
+def with_expected(cells: DataFrame, group: str) -> DataFrame:
+    """The cells with their symbol's and group's totals (``_row``, ``_col``) and the count
+    expected if symbol and group were independent."""
+    every = Window.partitionBy()
+    return (
+        cells.withColumn("_row", F.sum("n").over(Window.partitionBy("symbol")))
+        .withColumn("_col", F.sum("n").over(Window.partitionBy(group)))
+        .withColumn("expected", F.col("_row").cast("double") * F.col("_col") / F.sum("n").over(every))
+    )
+
+
 def chi2_from_cells(cells: DataFrame, group: str, min_support: int = 10) -> DataFrame:
     """Sum over groups of (observed - expected)^2 / expected for each symbol.
 
@@ -98,20 +109,13 @@ def chi2_from_cells(cells: DataFrame, group: str, min_support: int = 10) -> Data
     expectations sum to the symbol's total minus the expectations of observed cells,
     so no zero cell and no cross join is needed.
     """
-    every = Window.partitionBy()
-    totals = (
-        cells.withColumn("_row", F.sum("n").over(Window.partitionBy("symbol")))
-        .withColumn("_col", F.sum("n").over(Window.partitionBy(group)))
-        .withColumn("_all", F.sum("n").over(every))
-        .withColumn("_exp", F.col("_row").cast("double") * F.col("_col") / F.col("_all"))
-    )
-    missing = F.greatest(F.first("_row") - F.sum("_exp"), F.lit(0.0))
+    missing = F.greatest(F.first("_row") - F.sum("expected"), F.lit(0.0))
     return (
-        totals.filter(F.col("_row") >= min_support)
+        with_expected(cells, group).filter(F.col("_row") >= min_support)
         .groupBy("symbol")
         .agg(
             F.first("_row").alias("total"),
-            (F.sum((F.col("n") - F.col("_exp")) ** 2 / F.col("_exp")) + missing).alias("chi2"),
+            (F.sum((F.col("n") - F.col("expected")) ** 2 / F.col("expected")) + missing).alias("chi2"),
         )
     )
 

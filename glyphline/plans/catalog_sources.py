@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from glyphline.functions.symbols import extract_symbols
 from glyphline.operators import emotion as em
@@ -16,24 +16,33 @@ from glyphline.sources import audit, csv, tables
 PATH_LABEL = r"/grp=([^/]+)/"
 
 
+CHUNK = 200
+
+
+def _chunked(docs):
+    """Documents with the number of the file that holds them, each file's documents in order in one task."""
+    numbered = docs.withColumn("chunk", F.floor(F.col("doc_id") / CHUNK))
+    return numbered.repartition("lang", "chunk").sortWithinPartitions("lang", "chunk", "doc_id")
+
+
 def _accented_latin1(spark, sf):
     """Documents as CSV folders: English as UTF-8, the rest in a single-byte encoding."""
-    docs = b.documents(spark, sf, "doc_id", "lang", "text")
+    docs = _chunked(b.documents(spark, sf, "doc_id", "lang", "text")).withColumnRenamed("lang", "grp")
     root = scratch_path(spark, "mixed")
-    utf8 = docs.filter(F.col("lang") == "en").withColumnRenamed("lang", "grp")
-    other = docs.filter(F.col("lang") != "en").withColumnRenamed("lang", "grp")
+    utf8 = docs.filter(F.col("grp") == "en")
+    other = docs.filter(F.col("grp") != "en")
     # another column order on purpose: columns are found by name
-    tables.write_rows(utf8.select("grp", "doc_id", "text"), f"{root}/utf8", "csv", ("grp",))
+    tables.write_rows(utf8.select("grp", "chunk", "doc_id", "text"), f"{root}/utf8", "csv", ("grp", "chunk"))
     tables.write_rows(
-        other.select("grp", "text", "doc_id"), f"{root}/latin", "csv", ("grp",), encoding="ISO-8859-1"
+        other.select("grp", "chunk", "text", "doc_id"), f"{root}/latin", "csv", ("grp", "chunk"), encoding="ISO-8859-1"
     )
-    return [f"{root}/utf8/*/*.csv", f"{root}/latin/*/*.csv"]
+    return [f"{root}/utf8/*/*/*.csv", f"{root}/latin/*/*/*.csv"]
 
 
 def _ragged(spark, sf):
     """Documents as raw CSV lines under the header ``User,Text``: fr one field short, de
-    one too many, es two empty ones too many, en as it should be."""
-    docs = b.documents(spark, sf, "doc_id", "lang", "text")
+    one too many, es two empty ones too many, en as it should be. A file holds a chunk."""
+    docs = b.documents(spark, sf, "doc_id", "lang", "text").withColumn("chunk", F.floor(F.col("doc_id") / CHUNK))
     fields = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), F.regexp_replace("text", '"', '""'), F.lit('"'))
     line = (
         F.when(F.col("lang") == "fr", F.col("doc_id").cast("string"))
@@ -41,12 +50,11 @@ def _ragged(spark, sf):
         .when(F.col("lang") == "es", F.concat(fields, F.lit(",,")))
         .otherwise(fields)
     )
-    # the first row of a task starts its file, so it brings the header along
-    first = (F.monotonically_increasing_id() % F.lit(1 << 33)) == 0
-    rows = docs.select(F.when(first, F.concat(F.lit("User,Text\n"), line)).otherwise(line).alias("value"))
+    first = F.row_number().over(Window.partitionBy("chunk").orderBy("doc_id")) == 1
+    headed = docs.select("chunk", F.when(first, F.concat(F.lit("User,Text\n"), line)).otherwise(line).alias("value"))
     path = scratch_path(spark, "ragged")
-    rows.write.text(path)
-    return path
+    headed.write.partitionBy("chunk").text(path)
+    return f"{path}/*/*.txt"
 
 
 @query("SELECT doc_id AS review_id, quality::DOUBLE AS rating, lang, md5(text) AS digest FROM documents LEFT JOIN labels USING (doc_id)")
@@ -107,33 +115,47 @@ def s3_read_csv_robust(spark, sf):
 
 @query("SELECT doc_id, CASE WHEN lang = 'en' THEN md5(text) END AS digest FROM documents WHERE lang IN ('en', 'fr')")
 def s4_skip_long_rows(spark, sf):
-    read = csv.read_csv_robust(spark, f"{_ragged(spark, sf)}/*.txt", ["User", "Text"])
+    read = csv.read_csv_robust(spark, _ragged(spark, sf), ["User", "Text"])
     return read.select(F.col("User").cast("bigint").alias("doc_id"), F.md5("Text").alias("digest"))
 
 
 @query(
-    """SELECT lang AS label, CASE WHEN lang = 'en' THEN 0 ELSE sum(CASE WHEN regexp_matches(line, '[^\\x00-\\x7F]') THEN 1 ELSE 0 END) END::BIGINT
-      AS bad_lines, count(*)::BIGINT AS lines FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY lang"""
+    f"""WITH r AS (SELECT lang, doc_id, doc_id // {CHUNK} AS chunk,
+        '"' || replace(text, '"', '""') || '"' AS field, '"' || doc_id || '"' AS id FROM documents),
+      l AS (SELECT lang, chunk, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM (SELECT *,
+        string_split(CASE lang WHEN 'en' THEN id || ',' || field ELSE field || ',' || id END, chr(10)) AS lines FROM r)),
+      n AS (SELECT *, row_number() OVER (PARTITION BY lang, chunk ORDER BY doc_id, i) + 1 AS number,
+        lang <> 'en' AND regexp_matches(line, '[^\\x00-\\x7F]') AS bad FROM l),
+      f AS (SELECT lang, chunk, count(*) + 1 AS lines, count(*) FILTER (bad) AS bad_lines, min(number) FILTER (bad) AS first_bad_line,
+        arg_min(line, number) FILTER (bad) AS line FROM n GROUP BY lang, chunk),
+      o AS (SELECT *, length(regexp_extract(line, '^[\\x00-\\x7F]*')) AS byte_offset FROM f)
+    SELECT lang AS label, chunk::BIGINT AS chunk, lines::BIGINT AS lines, bad_lines::BIGINT AS bad_lines,
+      first_bad_line::BIGINT AS first_bad_line, byte_offset::BIGINT AS byte_offset,
+      CASE WHEN line IS NOT NULL THEN array_to_string(list_transform(string_split(substr(line, byte_offset + 1, 10), ''),
+        lambda c: printf('%02X', unicode(c))), '') END AS bad_bytes FROM o"""
 )
 def q1_audit_encoding(spark, sf):
     per_file = audit.audit_encoding(spark, _accented_latin1(spark, sf))
-    labelled = per_file.withColumn("label", csv.label_from_file(PATH_LABEL, F.col("file")))
-    # every file has one header line
-    return labelled.groupBy("label").agg(
-        F.sum("bad_lines").alias("bad_lines"), (F.sum("lines") - F.count(F.lit(1))).alias("lines")
+    return per_file.select(
+        csv.label_from_file(PATH_LABEL, F.col("file")).alias("label"),
+        csv.label_from_file(r"/chunk=([0-9]+)/", F.col("file")).cast("bigint").alias("chunk"),
+        "lines", "bad_lines", "first_bad_line", F.col("byte_offset").cast("bigint").alias("byte_offset"), "bad_bytes",
     )
 
 
 @query(
-    """SELECT n_fields, 2::BIGINT AS expected, count(*)::BIGINT AS n, count(DISTINCT preview)::BIGINT AS previews FROM (
-      SELECT CASE lang WHEN 'fr' THEN 1 WHEN 'de' THEN 3 ELSE 4 END::BIGINT AS n_fields, left(doc_id || CASE lang
-        WHEN 'fr' THEN '' ELSE ',"' || replace(text, '"', '""') || '"' END, 120) AS preview
-      FROM documents WHERE lang <> 'en') GROUP BY n_fields"""
+    f"""WITH r AS (SELECT *, doc_id // {CHUNK} AS chunk, doc_id || CASE lang WHEN 'fr' THEN '' ELSE ',"' || replace(text, '"', '""') || '"' END
+        || CASE lang WHEN 'de' THEN ',extra' WHEN 'es' THEN ',,' ELSE '' END AS raw FROM documents),
+      n AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id) + 1 AS record FROM r)
+    SELECT chunk::BIGINT AS chunk, record::BIGINT AS record, CASE lang WHEN 'fr' THEN 1 WHEN 'de' THEN 3 ELSE 4 END::BIGINT AS n_fields,
+      2::BIGINT AS expected, md5(left(raw, 120)) AS preview FROM n WHERE lang <> 'en'"""
 )
 def q2_audit_columns(spark, sf):
-    found = audit.audit_columns(spark, f"{_ragged(spark, sf)}/*.txt")
-    return found.groupBy(F.col("n_fields").cast("bigint").alias("n_fields"), F.col("expected").cast("bigint").alias("expected")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("preview").alias("previews")
+    found = audit.audit_columns(spark, _ragged(spark, sf))
+    return found.select(
+        csv.label_from_file(r"/chunk=([0-9]+)/", F.col("file")).cast("bigint").alias("chunk"), "record",
+        F.col("n_fields").cast("bigint").alias("n_fields"), F.col("expected").cast("bigint").alias("expected"),
+        F.md5("preview").alias("preview"),
     )
 
 

@@ -94,13 +94,8 @@ def f7_numeric_functions(spark, sf):
     FROM cells JOIN r USING (symbol) JOIN c USING (lang)"""
 )
 def f10_expected_counts(spark, sf):
-    from pyspark.sql import Window
-
     cells = gr.group_profile(b.symbol_rows(spark, sf, "lang"), "lang", 4)
-    row = F.sum("n").over(Window.partitionBy("symbol")).cast("double")
-    col = F.sum("n").over(Window.partitionBy("lang"))
-    total = F.sum("n").over(Window.partitionBy())
-    return _rounded(cells.select("symbol", "lang", (row * col / total).alias("expected")), "expected")
+    return _rounded(gr.with_expected(cells, "lang").select("symbol", "lang", "expected"), "expected")
 
 
 @query(f"SELECT doc_id, array_to_string({_cloud()}, ' ') AS tokens FROM documents")

@@ -110,10 +110,34 @@ def test_landing_drops_runs_of_a_title(spark, tmp_path):
     assert sorted(r["review_id"] for r in kept.collect()) == [1, 5, 6]
 
 
+def test_landing_distinct_rows(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "A", "🔥"), (2, "A", "🔥"), (3, "🇫🇷", "none"), (4, "B", "none"), (5, "A", "😂"), (6, None, "😂"), (7, None, "😂")],
+        "review_id bigint, title string, text string",
+    ).withColumn("tags", F.array(F.lit("t")))
+    (counter,) = flows.land_distinct(df, f"{tmp_path}/distinct").collect()
+    assert (counter["kept"], counter["total"]) == (4, 7)
+    kept = spark.read.option("header", True).csv(f"{tmp_path}/distinct")
+    assert sorted(r["review_id"] for r in kept.collect()) == ["1", "3", "5", "6"]
+
+
+def test_usual_exclusions(spark, reviews, rows):
+    found = flows.group_association(reviews, VOCAB, min_support=1).collect()
+    assert {r["symbol"] for r in found} == set("😂😭🔥👍")
+    assert "['Movies & TV'" not in {r["grp"] for r in found}
+    model = spark.createDataFrame([("joy", "👍", 9), ("joy", "🏽", 8), ("joy", "🔥", 1)], "emotion string, symbol string, n bigint")
+    texts = spark.createDataFrame([(1, "joy")], "review_id bigint, emotion string")
+    assert rows(flows.suggestions(texts, model), "symbol") == [("🔥",)]
+    assert rows(flows.suggestions(texts, model, k=1, without_tones=False), "symbol") == [("🏽",)]
+    assert rows(flows.suggestions(texts, model, k=1, exclude=()), "symbol") == [("👍",)]
+
+
 def test_symbol_map(spark, sf_dir):
     found = flows.symbol_map(b.rated_symbol_rows(spark, sf_dir)).collect()
-    assert len({r["cluster"] for r in found}) == 5
-    assert all(r["pca1"] is not None and r["pca2"] is not None for r in found)
+    rated = [r for r in found if r["avg_rating"] is not None]
+    assert len({r["cluster"] for r in rated}) == 5
+    assert all((r["pca1"] is None) == (r["avg_rating"] is None) == (r["cluster"] is None) for r in found)
+    assert all(r["labelled"] == (r["n"] > 10) for r in found)
 
 
 def test_matrix_of_labelled_posts(spark, sf_dir):
