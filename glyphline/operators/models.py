@@ -131,7 +131,10 @@ def fit_symbol_classifier(
     """Random forest from symbol counts to a label; rows without a label are left out of the
     fit. ``depth`` is the depth of a tree, at most 30; ``memory_mb`` bounds the statistics of the
     nodes that are split in one pass over the rows, so more of it means fewer passes."""
-    known = df.filter(F.col(label).isNotNull())
+    known = df.select("symbols", label).filter(F.col(label).isNotNull())
+    # every tree passes over the rows again and again: over all cores, not over the few
+    # partitions that adaptive execution leaves of a small aggregate
+    known = known.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return Pipeline(
         stages=[
             CountVectorizer(inputCol="symbols", outputCol="features", vocabSize=_vocabulary_size(known)),

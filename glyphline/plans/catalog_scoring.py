@@ -455,8 +455,9 @@ def m4_symbol_vectors(spark, sf):
 )
 def m5_symbol_classifier(spark, sf):
     """Every row with or without a label is predicted, and no prediction is null."""
-    rows = b.symbol_rows(spark, sf, "doc_id", "text")
-    labelled = checkpointed(em.labelled(rows, b.emotions(spark), "text", "doc_id", "symbols"))
+    # the symbols, with repeats, join by id: carried through the labelling, every token would hold them
+    rows = b.symbol_rows(spark, sf, "doc_id")
+    labelled = checkpointed(rows.join(_texts(spark, sf), "doc_id"))
     model = ml.fit_symbol_classifier(labelled)
     found = ml.predicted_labels(model, labelled)
     return found.groupBy("emotion").agg(F.count(F.lit(1)).alias("rows"), F.count("predicted").alias("predicted"))
