@@ -80,7 +80,8 @@ def raw_cloud_tokens(text: Column | str) -> Column:
 def cloud_word(token: Column) -> Column:
     """A raw token without a final 's; null for a pure number."""
     cut = F.when(token.endswith("'s"), F.left(token, F.length(token) - F.lit(2))).otherwise(token)
-    return F.when(cut.rlike(r"\P{Nd}"), cut)
+    # a token that starts with a-z is no number; the pattern is for the few others
+    return F.when(F.ascii(cut).between(97, 122) | cut.rlike(r"\P{Nd}"), cut)
 
 
 def cloud_tokens(text: Column | str) -> Column:
