@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from glyphline.llm.common import query, table, written
 
 SAMPLE = 20_000
-#: The square root of the number of vectors is the number of lists, up to what is kept in memory.
+#: Half the square root of the number of vectors is the number of lists, up to what is kept in memory.
 MAX_LISTS = 1024
 #: Lists of a boundary vector: so many at most, not farther than this ratio of the nearest.
 COPIES = 4
@@ -166,7 +166,7 @@ class Index:
 def _fit(vectors: DataFrame, dim: int, count: int, neighbours: int) -> Index:
     rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()
     sample = _unit(_clean([r[0] for r in rows], dim))
-    index = Index(balanced_centroids(sample, max(1, min(MAX_LISTS, isqrt(count), len(sample)))))
+    index = Index(balanced_centroids(sample, max(1, min(MAX_LISTS, isqrt(count) // 2, len(sample)))))
     index.calibrate(sample, neighbours)
     return index
 
