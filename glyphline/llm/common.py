@@ -38,6 +38,19 @@ def text_key(text: str | Column) -> Column:
     return F.xxhash64(whole(text))
 
 
+def as_text(column: str) -> Column:
+    """An id on its way through pandas, which would turn long integers beside a null to doubles."""
+    return F.col(column).cast("string")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: lineage ends here, and a lost executor
     costs a read instead of the work before."""

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from glyphline.llm.common import WORD, query, same, table, whole
+from glyphline.llm.common import WORD, fresh, query, same, table, whole
 from glyphline.session import checkpointed
 
 BLOCK_WORDS = 32
@@ -183,14 +183,15 @@ def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     plan = plan.filter("taken > 0").select(
         "doc_id", "source", "digest", "size", "passes", "first", "extra", F.row_number().over(numbered).alias("copy")
     ).alias("p")
-    rows = docs.withColumn("_digest", F.xxhash64(whole(text_col)))
-    keys = [F.col(id_col), F.col(source_col), F.col("_digest")]
-    rows = rows.withColumn("_copy", F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(0)))).alias("d")
+    digest, copy, drawn_text = fresh(docs, "_digest"), fresh(docs, "_copy"), fresh(docs, "_drawn")
+    rows = docs.withColumn(digest, F.xxhash64(whole(text_col)))
+    keys = [F.col(id_col), F.col(source_col), F.col(digest)]
+    rows = rows.withColumn(copy, F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(0)))).alias("d")
     match = (
         same(F.col(f"d.`{id_col}`"), F.col("p.doc_id"))
         & same(F.col(f"d.`{source_col}`"), F.col("p.source"))
-        & (F.col("d._digest") == F.col("p.digest"))
-        & (F.col("d._copy") == F.col("p.copy"))
+        & (F.col(f"d.{digest}") == F.col("p.digest"))
+        & (F.col(f"d.{copy}") == F.col("p.copy"))
     )
     text = whole(F.col(f"d.`{text_col}`"))
     words = F.regexp_extract_all(text, F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
@@ -200,8 +201,10 @@ def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     whole_rows = F.array_repeat(text, F.col("p.passes").cast("int"))
     drawn = F.concat(whole_rows, F.when(extra > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
     kept = [F.col(f"d.`{c}`") for c in docs.columns]
-    out = rows.join(plan, match).select(*kept, F.explode(drawn).alias("_drawn"))
-    changed = {text_col: F.col("_drawn")} | ({"n_chars": F.length("_drawn").cast("bigint")} if "n_chars" in docs.columns else {})
+    out = rows.join(plan, match).select(*kept, F.explode(drawn).alias(drawn_text))
+    changed = {text_col: F.col(drawn_text)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length(drawn_text).cast("bigint")
     return out.withColumns(changed).select(*docs.columns)
 
 

@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window as W, functions as F
 from tokenizers import Tokenizer
 
-from glyphline.llm.common import query, table
+from glyphline.llm.common import as_text, query, table
 from glyphline.session import checkpointed
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,7 +69,7 @@ def encode(text: str, path: str) -> np.ndarray:
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int, end_token: int) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: all but the first piece of a document are full."""
+    """doc_id (as text), piece, start, length, ids_crc32: all but the first piece of a document are full."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -82,12 +82,11 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int
                     ids.append(doc_id)
                     rows.append((piece, start, stop - start, zlib.crc32(tokens[start:stop].tobytes())))
             out = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
-            out.insert(0, "doc_id", pd.Series(ids, dtype=batch["doc_id"].dtype if ids else "object"))
+            out.insert(0, "doc_id", pd.Series(ids, dtype="object"))
             yield out
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    rows = docs.select(as_text(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(run, "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def _best_values(price: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -261,11 +260,11 @@ def pack(
                 sequence[rows], offset[rows] = first[k] + rank - low[k], at[k]
             yield batch.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
-    id_type = ranked.schema["doc_id"].dataType.simpleString()
-    return ranked.mapInPandas(
+    seated = ranked.mapInPandas(
         seat,
-        f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+        "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     )
+    return seated.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 @query()

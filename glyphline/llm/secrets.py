@@ -20,7 +20,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, functions as F
 
-from glyphline.llm.common import query, table
+from glyphline.llm.common import as_text, query, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Decimal logarithm of guesses from which a value counts as a secret.
@@ -190,11 +190,11 @@ def scan(
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(
-        run, f"doc_id {id_type}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
+    rows = docs.select(as_text(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = rows.mapInPandas(
+        run, "doc_id string, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
     )
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 def redacted(text: str | Column, vocabulary: str | None = None, min_guesses: float = MIN_GUESSES, mark: str = "[SECRET]") -> Column:

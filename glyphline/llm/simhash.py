@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from glyphline.llm.common import query, same, table, written
+from glyphline.llm.common import as_text, query, same, table, text_key, written
 from glyphline.llm.components import connected_components
 
 WORDS_IN_SHINGLE = 3
@@ -65,12 +65,9 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> Dat
             found = np.array([fingerprint(t, words) for t in batch["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "fp": found})
 
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"),
-        F.col(text_col).alias("text"),
-    )
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {id_type}, digest bigint, fp bigint")
+    rows = docs.select(as_text(id_col).alias("doc_id"), text_key(text_col).alias("digest"), F.col(text_col).alias("text"))
+    found = rows.mapInPandas(run, "doc_id string, digest bigint, fp bigint")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 def _near(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
@@ -200,12 +197,13 @@ def keep_one(
         .agg(F.min(F.struct("kept_digest", "n")).alias("kept"))
         .select("kept_id", "kept.*")
     )
-    rows = docs.withColumn("_digest", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).alias("d")
-    match = same(F.col(f"d.`{id_col}`"), F.col("c.kept_id")) & (F.col("d._digest") == F.col("c.kept_digest"))
+    rows = docs.alias("d")
+    own = text_key(F.col(f"d.`{text_col}`"))
+    match = same(F.col(f"d.`{id_col}`"), F.col("c.kept_id")) & (own == F.col("c.kept_digest"))
     single, repeated = chosen.filter("n = 1").alias("c"), chosen.filter("n > 1").alias("c")
     once = rows.join(single, match, "left_semi")
-    first = rows.join(repeated, match, "left_semi").dropDuplicates([id_col, "_digest"])
-    return once.unionByName(first).drop("_digest")
+    first = rows.join(repeated, match, "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(first)
 
 
 @query()

@@ -17,7 +17,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from glyphline.llm.common import query, table, whole, written
+from glyphline.llm.common import as_text, query, table, whole, written
 
 #: Labelled rows the classifier is fitted on at most, and the features it keeps at most.
 FIT_ROWS = 20_000
@@ -264,9 +264,9 @@ def score(
             out = batch[["doc_id", "held_out"]].assign(score=scores)
             yield out.assign(predicted=(out["score"] >= threshold).astype("int32"))
 
-    tested = rows.withColumnRenamed("doc_id", "id").select(F.col("id").alias("doc_id"), rule.alias("held_out"), "text")
-    id_type = tested.schema["doc_id"].dataType.simpleString()
-    return tested.mapInPandas(run, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+    tested = rows.withColumnRenamed("doc_id", "id").select(as_text("id").alias("doc_id"), rule.alias("held_out"), "text")
+    found = tested.mapInPandas(run, "doc_id string, held_out boolean, score double, predicted int")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 @query()

@@ -21,7 +21,7 @@ from glyphline.llm import (  # noqa: E402
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns that operators use inside, to clash with.
-CLASHING = ["size", "uid", "host", "digest", "fp", "fingerprint", "words", "lines", "row", "place", "of", "key", "list"]
+CLASHING = ["size", "uid", "host", "digest", "fp", "fingerprint", "words", "lines", "row", "place", "of", "key", "list", "_digest", "_copy", "_drawn"]
 
 
 def _prose(rng, n):
@@ -457,6 +457,22 @@ def test_neighbours_of_few_vectors(spark):
     assert neighbours.nearest(lone).count() == 0
 
 
+def test_long_ids_beside_a_null_one(spark):
+    big = (1 << 62) + 1
+    docs = spark.createDataFrame(
+        [(big, "some words here", "en", "a", 0), (None, "other words", "en", "a", 0), (big + 2, None, "en", None, 0)], SCHEMA
+    ).coalesce(1)
+    labels = spark.createDataFrame([(big, 1), (None, 0)], "doc_id bigint, toxic int")
+    ids = {big, None, big + 2}
+    for result in (
+        simhash.near_duplicates(docs), simhash.keep_one(docs), mixing.mix(docs), suffixes.remove_repeats(docs), packing.pack(docs),
+        quality.judge(docs), secrets.scan(docs), secrets.redact(docs), toxicity.score(docs, labels),
+    ):
+        assert {r["doc_id"] for r in result.select("doc_id").collect()} == ids
+    pages = spark.createDataFrame([(big, "u", "x" * 200), (None, "u", "x" * 200), (big + 2, "u", "x" * 200)], "page_id bigint, url string, html string")
+    assert {r["page_id"] for r in warc.records(pages).collect()} == ids
+
+
 def test_empty_tables(nothing, spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
