@@ -22,13 +22,15 @@ from glyphline.llm.common import as_text, query, table, whole, written
 #: Labelled rows the classifier is fitted on at most, and the features it keeps at most.
 FIT_ROWS = 20_000
 MAX_FEATURES = 20_000
-#: Families of texts that must have a feature, and how clearly it must point to toxic texts.
+#: Families of texts that must have a word, words that must have a beginning, and how clearly a word
+#: must point to toxic texts.
 MIN_FAMILIES = 3
+MIN_WORDS = 8
 MIN_Z = 3.0
 #: A feature whose texts are toxic less often says nothing of a text that is short of other signs.
 MIN_SHARE = 0.4
 PREFIXES = (4, 5)
-#: Clean texts that every feature is taken to have been seen in besides.
+#: Clean texts that every word is taken to have been seen in besides, and clean words of a beginning.
 PRIOR = 8
 #: How much the worst words of a text count, in order: long texts are no worse for their length.
 SHARES = (1.0, 1 / 3, 1 / 6, 1 / 12, 1 / 24)
@@ -160,9 +162,8 @@ class _Words(dict):
         return words
 
 
-def features(word: str) -> list[str]:
-    """The word, and its beginnings where it is longer."""
-    return [word, *(word[:n] + "-" for n in PREFIXES if len(word) > n)]
+def beginnings(word: str) -> list[str]:
+    return [word[:n] + "-" for n in PREFIXES if len(word) > n]
 
 
 def _family(text: str) -> int:
@@ -173,7 +174,7 @@ def _family(text: str) -> int:
 
 
 def _examples(docs: DataFrame, labels: DataFrame, held: Column, model) -> DataFrame:
-    """label, features of one text of each family among the rows to fit on."""
+    """label, words of one text of each family among the rows to fit on."""
     known = labels.filter(F.col("label").isNotNull() & F.col("id").isNotNull() & ~held)
     known = known.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
 
@@ -181,36 +182,59 @@ def _examples(docs: DataFrame, labels: DataFrame, held: Column, model) -> DataFr
         words = _Words(model.value)
         for batch in batches:
             rows = [
-                (_family(text), label, sorted({f for t in _tokens(text) for w in words[t] for f in features(w)}))
+                (_family(text), label, sorted({w for t in _tokens(text) for w in words[t]}))
                 for text, label in zip(batch["text"], batch["label"])
             ]
-            yield pd.DataFrame(rows, columns=["family", "label", "features"])
+            yield pd.DataFrame(rows, columns=["family", "label", "words"])
 
     # FIT_ROWS rows of two numbers, so this side is sent to every task
     rows = docs.join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("text", "label")
-    found = rows.mapInPandas(run, "family bigint, label int, features array<string>")
+    found = rows.mapInPandas(run, "family bigint, label int, words array<string>")
     return found.dropDuplicates(["family", "label"])
 
 
 def _weights(examples: DataFrame) -> dict[str, float]:
-    """For features that clearly point to toxic texts, the share of toxic ones among texts with them,
-    drawn towards zero by PRIOR texts, so that a rare feature proves little."""
+    """Chances of words and of beginnings of words.
+
+    A word's chance is the share of toxic texts among the texts with it, drawn towards zero by
+    PRIOR texts, so that a rare word proves little. A beginning, for words that are new, is
+    judged by the *different* words with it: those that are mostly in toxic texts, against the
+    others. One frequent word says nothing of words that merely begin alike; words seen often
+    enough under a kept beginning keep their own chance, if only none.
+    """
     totals = examples.groupBy("label").agg(F.count("*").alias("n")).collect()
     n = {r["label"]: r["n"] for r in totals}
     toxic, clean = n.get(1, 0), n.get(0, 0)
-    counts = examples.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
+    words = examples.select("label", F.explode("words").alias("feature")).groupBy("feature").agg(
         F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
     )
+    words = written(words, "words")
     odds = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (clean + 1))
     z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
     share = F.col("a") / (F.col("a") + F.col("b") + PRIOR)
-    clear = counts.filter(F.col("a") >= MIN_FAMILIES).select("feature", share.alias("weight"), z.alias("z"))
-    kept = clear.filter((F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_SHARE)).orderBy(F.desc("z"), "feature").limit(MAX_FEATURES)
-    return {r["feature"]: r["weight"] for r in kept.collect()}
+    judged = words.select("feature", share.alias("weight"), z.alias("z"), (F.col("a") + F.col("b")).alias("seen"))
+    telling = (F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_SHARE)
+    kept = judged.filter(telling & (F.col("seen") >= MIN_FAMILIES)).orderBy(F.desc("z"), "feature").limit(MAX_FEATURES)
+    starts = [F.when(F.length("feature") > k, F.concat(F.left("feature", F.lit(k)), F.lit("-"))) for k in PREFIXES]
+    begun = words.select("feature", "a", "b", F.explode(F.array_compact(F.array(*starts))).alias("start"))
+    mostly = F.col("a") > F.col("b")
+    by_start = begun.groupBy("start").agg(F.count_if(mostly).alias("a"), F.count_if(~mostly).alias("b"))
+    by_start = by_start.select("start", "a", (F.col("a") / (F.col("a") + F.col("b") + PRIOR)).alias("weight"))
+    by_start = by_start.filter((F.col("weight") >= MIN_SHARE) & (F.col("a") >= MIN_WORDS))
+    by_start = by_start.orderBy(F.desc("weight"), "start").limit(MAX_FEATURES)
+    # beginnings are MAX_FEATURES at most, so they are sent to every task
+    known = begun.filter(F.col("a") + F.col("b") >= MIN_FAMILIES).join(F.broadcast(by_start.select("start")), "start", "left_semi")
+    known = known.select("feature", "a", "b").distinct().orderBy(F.desc("b"), "feature").limit(MAX_FEATURES)
+    weights = {r["start"]: r["weight"] for r in by_start.collect()}
+    weights |= {r["feature"]: 0.0 for r in known.collect()}
+    return weights | {r["feature"]: r["weight"] for r in kept.collect()}
 
 
 def _best(word: str, weights: dict[str, float]) -> float:
-    return max((weights.get(f, 0.0) for f in features(word)), default=0.0)
+    """The word's own chance, or for a word without one that of its beginnings."""
+    if word in weights:
+        return weights[word]
+    return max((weights.get(f, 0.0) for f in beginnings(word)), default=0.0)
 
 
 def combined(found: list[float]) -> float:
