@@ -21,7 +21,6 @@ TOKEN_PATTERN = "[a-zA-Z']+"
 URL_PATTERN = f"http{NOT_SPACE}+|www{NOT_SPACE}+|https{NOT_SPACE}+"
 NOT_LETTER_PATTERN = rf"[[^a-z\s]&&[!-~[^{SPACE}]]]+"
 NOT_SPACE_PATTERN = f"{NOT_SPACE}+"
-SPACES_PATTERN = f"[{SPACE}]+"
 EDGE_SPACES_PATTERN = f"^[{SPACE}]+|[{SPACE}]+$"
 CLOUD_TOKEN_PATTERN = f"[{WORD}][{WORD}']+"
 CLEAN_WORD_PATTERN = "[a-z]+"

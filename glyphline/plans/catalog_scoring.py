@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from glyphline.functions.text import argmax_label, max_pair, tokenize
+from glyphline.functions.text import argmax_label, max_pair
 from glyphline.operators import dedup as dd
 from glyphline.operators import emotion as em
 from glyphline.operators import models as ml

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from glyphline.functions.symbols import extract_symbols
 from glyphline.operators import emotion as em
 from glyphline.plans import bindings as b
 from glyphline.plans.catalog_scoring import _emotion

@@ -8,7 +8,7 @@ from glyphline.functions import text as tx
 from glyphline.operators import polarity as po
 from glyphline.operators import terms as tm
 from glyphline.plans import bindings as b
-from glyphline.plans.catalog_symbols import CLS, D, PAIR_COUNTS, S, _cells, _rounded
+from glyphline.plans.catalog_symbols import D, PAIR_COUNTS, S, _cells, _rounded
 from glyphline.plans.registry import query
 from glyphline.operators import groups as gr
 from glyphline.operators import pairs as pr
