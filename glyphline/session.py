@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import atexit
-import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_scratch: list[tuple[SparkSession, str]] = []
+#: File system and path of every scratch table.
+_scratch: list[tuple] = []
 
 
 def build_session(app: str = "glyphline", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,20 +50,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if not _scratch:
         atexit.register(remove_scratch)
-    _scratch.append((spark, path))
+    # the file system is looked up now: when the driver ends, the session may have ended before
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _scratch.append((where.getFileSystem(spark._jsc.hadoopConfiguration()), where))
     return path
 
 
 def remove_scratch() -> None:
     """Delete the scratch tables of this driver, through the file system that holds them."""
     while _scratch:
-        spark, path = _scratch.pop()
+        files, where = _scratch.pop()
         try:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001  the session has ended and its connection with it
-            if "://" not in path:
-                shutil.rmtree(path, ignore_errors=True)
+            files.delete(where, True)
+        except Exception:  # noqa: BLE001  the connection to the session's process is gone: nothing can be done
+            return
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
