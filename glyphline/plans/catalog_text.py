@@ -223,10 +223,10 @@ SCORE = """
     - (CASE WHEN c2 - c12 > 0 THEN (c2 - c12) * ln(p2) ELSE 0 END)
     - (CASE WHEN nn - c1 - (c2 - c12) > 0 THEN (nn - c1 - (c2 - c12)) * ln(1 - p2) ELSE 0 END)) END AS score FROM y)"""
 
-NEIGHBOURS = f"""WITH l AS (SELECT {_cloud()} AS ws FROM documents),
-  u AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM l) WHERE word NOT IN {STOP} GROUP BY word),
-  g AS (SELECT unnest(list_zip(ws[:-2], ws[2:])) AS p FROM l WHERE len(ws) > 1),
-  c AS (SELECT p[1] AS w1, p[2] AS w2, count(*) AS c12 FROM g
+NEIGHBOURS = f"""WITH l AS MATERIALIZED (SELECT {_cloud()} AS ws FROM documents),
+  u AS MATERIALIZED (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM l) WHERE word NOT IN {STOP} GROUP BY word),
+  g AS MATERIALIZED (SELECT unnest(list_zip(ws[:-2], ws[2:])) AS p FROM l WHERE len(ws) > 1),
+  c AS MATERIALIZED (SELECT p[1] AS w1, p[2] AS w2, count(*) AS c12 FROM g
     WHERE p[1] NOT IN {STOP} AND p[2] NOT IN {STOP} GROUP BY ALL)"""
 
 COLLOCATIONS = f"""{NEIGHBOURS},
@@ -244,17 +244,17 @@ def a19_bigram_collocations(spark, sf):
 
 
 @query(
-    f"""{NEIGHBOURS}, f AS (SELECT u.word, coalesce(b.word, u.word) AS std FROM u LEFT JOIN u b
+    f"""{NEIGHBOURS}, f AS MATERIALIZED (SELECT u.word, coalesce(b.word, u.word) AS std FROM u LEFT JOIN u b
       ON u.word = b.word || 's' AND u.word NOT LIKE '%ss'),
-    m AS (SELECT std, sum(n) AS n FROM f JOIN u USING (word) GROUP BY std),
-    b AS (SELECT w1, w2, w1 || ' ' || w2 AS s, c12 FROM c),
-    bm AS (SELECT coalesce(o.w1, b.w1) AS w1, coalesce(o.w2, b.w2) AS w2, sum(b.c12) AS c12 FROM b LEFT JOIN b o
+    m AS MATERIALIZED (SELECT std, sum(n) AS n FROM f JOIN u USING (word) GROUP BY std),
+    b AS MATERIALIZED (SELECT w1, w2, w1 || ' ' || w2 AS s, c12 FROM c),
+    bm AS MATERIALIZED (SELECT coalesce(o.w1, b.w1) AS w1, coalesce(o.w2, b.w2) AS w2, sum(b.c12) AS c12 FROM b LEFT JOIN b o
       ON b.s = o.s || 's' AND b.s NOT LIKE '%ss' GROUP BY 1, 2),
-    x AS (SELECT w1, w2, f1.std AS s1, f2.std AS s2, c12::DOUBLE AS c12, m1.n::DOUBLE AS c1, m2.n::DOUBLE AS c2,
+    x AS MATERIALIZED (SELECT w1, w2, f1.std AS s1, f2.std AS s2, c12::DOUBLE AS c12, m1.n::DOUBLE AS c1, m2.n::DOUBLE AS c2,
         (SELECT sum(n) FROM u)::DOUBLE AS nn
       FROM bm JOIN f f1 ON f1.word = w1 JOIN f f2 ON f2.word = w2 JOIN m m1 ON m1.std = f1.std JOIN m m2 ON m2.std = f2.std),
-    {SCORE}, hit AS (SELECT * FROM z WHERE score > 30),
-    taken AS (SELECT word, sum(c12) AS n FROM (SELECT s1 AS word, c12 FROM hit UNION ALL SELECT s2, c12 FROM hit) GROUP BY word)
+    {SCORE}, hit AS MATERIALIZED (SELECT * FROM z WHERE score > 30),
+    taken AS MATERIALIZED (SELECT word, sum(c12) AS n FROM (SELECT s1 AS word, c12 FROM hit UNION ALL SELECT s2, c12 FROM hit) GROUP BY word)
     SELECT std AS word, (m.n - coalesce(taken.n, 0))::BIGINT AS n FROM m LEFT JOIN taken ON std = word
     WHERE m.n > coalesce(taken.n, 0) UNION ALL SELECT w1 || ' ' || w2, c12::BIGINT FROM hit"""
 )
