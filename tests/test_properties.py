@@ -183,10 +183,7 @@ PYTHON_ALLOWED = {"e6_label_with"}
 
 
 def test_plans_have_no_cross_join_and_no_python(spark, sf_dir):
-    writes_files = ("s", "q", "m", "g6_score", "a19", "t6", "w4")
     for name, (run, _) in CATALOG.items():
-        if name.startswith(writes_files) and name != "m1_standardize":
-            continue
         plan = run(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         if name not in PYTHON_ALLOWED:
