@@ -1,12 +1,13 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised and hashed, and for each host the distinct documents with a line are
-counted. Lines of too many documents of a host are removed, and a document that loses most
-of its characters with them is rejected. Copies of one text count as one document, so a
-text is not rejected for having been copied.
+counted. Lines of too many documents of a host are removed from the texts, and a document that
+loses most of its characters with them is rejected. Copies of one text count as one document,
+so a text is not rejected for having been copied.
 
-Everything is DataFrame functions; the texts are read once, and what follows works on line
-hashes and counts.
+Everything is DataFrame functions. A first pass over the texts keeps line hashes and counts
+them; a second has the list of its host beside each text, so no text is shuffled while the
+lists are small enough for Spark to broadcast.
 """
 
 from __future__ import annotations
@@ -47,42 +48,12 @@ def _covered(placed: Column) -> Column:
     return F.size(F.array_distinct(words)).cast("bigint")
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per document: row key, base counts, and its lines as hash and length."""
-    text = whole(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text.alias("text")).select(
-        "doc_id", "host", "text",
-        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
-        F.split("text", "\n").alias("lines"),
-    )
-    at = lambda k: F.get("words", k)
-    last = F.size("words") - 3
-    grams = F.when(
-        last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2)))
-    ).otherwise(F.array().cast("array<bigint>"))
-    counted = rows.select(
-        "doc_id", "host", "lines",
-        text_key("text").alias("digest"),
-        F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.translate("text", SPACES, "")).cast("bigint").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        F.filter("lines", lambda x: F.length(F.translate(x, SPACES, "")) > 0).alias("full"),
-        grams.alias("grams"),
-    )
-    # a stage of its own: a column read inside a lambda is then computed once for a row
-    counted = counted.withColumn("placed", _placed(F.col("grams")))
-    return counted.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id", "host", "digest", "n_words", "word_chars", "n_symbols",
-        (F.size("full") - F.size(F.array_distinct("full"))).cast("bigint").alias("n_dup_lines"),
-        _covered(F.col("placed")).alias("n_repeat_words"),
-        F.filter(
-            F.transform(
-                F.transform("lines", normalised_line),
-                lambda n: F.struct(F.xxhash64(n).alias("h"), F.length(n).cast("bigint").alias("n")),
-            ),
-            lambda s: s["n"] > 0,
-        ).alias("lines"),
+def line_hashes(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
+    """host, digest of the text, and the distinct hashes of its lines that have letters or digits."""
+    plain = F.filter(F.transform(F.split(whole(text_col), "\n"), normalised_line), lambda n: F.length(n) > 0)
+    return docs.select(
+        F.col(host_col).alias("host"), text_key(text_col).alias("digest"),
+        F.array_distinct(F.transform(plain, lambda n: F.xxhash64(n))).alias("lines"),
     )
 
 
@@ -92,7 +63,7 @@ def boilerplate(rows: DataFrame, min_documents: int, max_share: float) -> DataFr
     Document and line are grouped first, so a line that a third of all documents have is
     spread over them and only counts meet.
     """
-    seen = rows.select("host", "digest", F.explode(F.array_distinct(F.col("lines.h"))).alias("h")).distinct()
+    seen = rows.select("host", "digest", F.explode("lines").alias("h")).distinct()
     counts = seen.groupBy("host", "h").agg(F.count("*").alias("n")).filter(F.col("n") > min_documents)
     hosts = rows.groupBy("host").agg(F.countDistinct("digest").alias("documents"))
     return (
@@ -103,6 +74,69 @@ def boilerplate(rows: DataFrame, min_documents: int, max_share: float) -> DataFr
     )
 
 
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def _cleaned(
+    docs: DataFrame, id_col: str, text_col: str, host_col: str, min_documents: int, max_share: float, min_left: float
+) -> DataFrame:
+    """One row per input row: ``own`` (its other columns), counts, verdict, and ``text`` without its flagged lines.
+
+    With a share of s a host's list has at most 1/s times as many lines as its documents have on average.
+    """
+    lines = written(line_hashes(docs, text_col, host_col), "quality")
+    common = boilerplate(lines, min_documents, max_share).groupBy("host").agg(F.collect_list("h").alias("flagged"))
+    common = written(common, "boilerplate").alias("b")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    rows = docs.select(
+        own.alias("own"), F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("given")
+    ).alias("d")
+    rows = rows.join(common, same(F.col("d.host"), F.col("b.host")), "left").select(
+        "own", "doc_id", "d.host", "given", whole("given").alias("text"), "flagged"
+    )
+    rows = rows.select(
+        "*", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"), F.split("text", "\n").alias("lines")
+    )
+    at = lambda k: F.get("words", k)
+    last = F.size("words") - 3
+    grams = F.when(
+        last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2)))
+    ).otherwise(F.array().cast("array<bigint>"))
+    counted = rows.select(
+        "own", "doc_id", "host", "given", "lines", "flagged",
+        text_key("text").alias("digest"),
+        F.size("words").cast("bigint").alias("n_words"),
+        F.length(F.translate("text", SPACES, "")).cast("bigint").alias("word_chars"),
+        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        F.filter("lines", lambda x: F.length(F.translate(x, SPACES, "")) > 0).alias("full"),
+        grams.alias("grams"),
+        F.transform(
+            F.transform("lines", normalised_line),
+            lambda n: F.struct(F.xxhash64(n).alias("h"), F.length(n).cast("bigint").alias("n")),
+        ).alias("marks"),
+    )
+    # stages of their own: a column read inside a lambda is then computed once for a row
+    counted = counted.withColumns({
+        "placed": _placed(F.col("grams")), "bad": F.array_intersect(F.col("marks.h"), F.col("flagged")),
+    })
+    some = F.size(F.coalesce("bad", F.array().cast("array<bigint>"))) > 0
+    length = lambda marks: F.aggregate(marks, F.lit(0).cast("bigint"), lambda a, m: a + m["n"])
+    stay = F.filter("lines", lambda x, i: ~F.array_contains("bad", F.get("marks", i)["h"]))
+    judged = counted.select(
+        "own", "doc_id", "host", "digest", "n_words", "word_chars", "n_symbols",
+        (F.size("full") - F.size(F.array_distinct("full"))).cast("bigint").alias("n_dup_lines"),
+        _covered(F.col("placed")).alias("n_repeat_words"),
+        length("marks").alias("line_chars"),
+        F.when(some, length(F.filter("marks", lambda m: F.array_contains("bad", m["h"])))).otherwise(0).alias("removed_chars"),
+        some.alias("cut"),
+        F.when(some, F.array_join(stay, "\n")).otherwise(F.col("given")).alias("text"),
+    )
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    left = F.col("line_chars") - F.col("removed_chars")
+    judged = judged.withColumn("base_failed", failed)
+    return judged.withColumn("kept", ~F.col("base_failed") & (left >= min_left * F.col("line_chars")))
+
+
 def judge(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -112,48 +146,25 @@ def judge(
     max_share: float = MAX_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
-    """One row per input row with its counts and verdict.
+    """One row per input row with its counts, its verdict and its ``text`` without the flagged lines.
 
-    A null text has no words and fails the base rules; a null host is a host of its own;
-    a null or repeated id is carried through; an empty table gives an empty result. Columns
-    beside the three named ones are not read, so their names cannot clash. ``host``,
-    ``digest``, ``line_chars`` and ``removed_chars`` explain the verdict.
+    The counts are those of the whole text. A null text has no words, fails the base rules and
+    stays null; a null host is a host of its own; a null or repeated id is carried through; an
+    empty table gives an empty result. Columns beside the three named ones are not read, so
+    their names cannot clash. ``host``, ``digest``, ``line_chars`` and ``removed_chars`` explain
+    the verdict.
     """
-    rows = written(features(docs, id_col, text_col, host_col), "quality")
-    common = boilerplate(rows, min_documents, max_share).alias("b")
-    lines = rows.select("row", "host", F.explode("lines").alias("line")).alias("l")
-    removed = (
-        lines.join(common, same(F.col("l.host"), F.col("b.host")) & (F.col("l.line.h") == F.col("b.h")), "left_semi")
-        .groupBy("row")
-        .agg(F.sum("line.n").alias("removed"))
-    )
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    total = F.aggregate("lines", F.lit(0).cast("bigint"), lambda a, s: a + s["n"])
-    left = F.col("line_chars") - F.col("removed_chars")
-    return (
-        rows.join(removed, "row", "left")
-        .withColumns({
-            "line_chars": total, "removed_chars": F.coalesce("removed", F.lit(0)), "base_failed": failed,
-        })
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-            (~F.col("base_failed") & (left >= min_left * F.col("line_chars"))).alias("kept"),
-            "host", "digest", "line_chars", "removed_chars",
-        )
-    )
+    found = _cleaned(docs, id_col, text_col, host_col, min_documents, max_share, min_left)
+    return found.select("doc_id", *COUNTS, "base_failed", "kept", "host", "digest", "line_chars", "removed_chars", "text")
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    good = judge(docs, id_col, text_col, host_col).filter("kept")
-    good = good.select("doc_id", "host", "digest").distinct().alias("good")
-    rows = docs.alias("docs")
-    match = (
-        same(F.col(f"docs.`{id_col}`"), F.col("good.doc_id"))
-        & same(F.col(f"docs.`{host_col}`"), F.col("good.host"))
-        & (text_key(F.col(f"docs.`{text_col}`")) == F.col("good.digest"))
-    )
-    return rows.join(good, match, "left_semi")
+    """The documents that the rules keep, without their flagged lines, with all columns of ``docs``."""
+    found = _cleaned(docs, id_col, text_col, host_col, MIN_DOCUMENTS, MAX_SHARE, MIN_LEFT).filter("kept")
+    changed = {text_col: F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("cut"), F.length("text").cast("bigint")).otherwise(F.col("own.n_chars"))
+    return found.select(*[changed.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns])
 
 
 SQL = rf"""
