@@ -23,12 +23,13 @@ import tiktoken
 from pyspark.sql import DataFrame, Window as W, functions as F
 from tokenizers import Tokenizer
 
-from glyphline.llm.common import as_text, query, table
-from glyphline.session import checkpointed
+from glyphline.llm.common import as_text, query, table, written
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END = 2
+#: Tokens that leave a Python worker together.
+CHUNK = 1 << 20
 #: Rounds of price updates, their learning rate, how many rounds' share a length may run ahead,
 #: and the weight of the random tie-break, all in parts of what one token is worth.
 ROUNDS = 40
@@ -69,24 +70,35 @@ def encode(text: str, path: str) -> np.ndarray:
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int, end_token: int) -> DataFrame:
-    """doc_id (as text), piece, start, length, ids_crc32: all but the first piece of a document are full."""
+    """doc_id (as text), piece, start, length, ids_crc32, row, ids: all but the first piece of a document are full."""
+    fields = ["doc_id", "piece", "start", "length", "ids_crc32", "row", "ids"]
+
+    def framed(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=fields)
+        return out.assign(doc_id=out["doc_id"].astype("object"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
         for batch in batches:
-            ids, rows = [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, text, row in zip(batch["doc_id"], batch["text"], batch["row"]):
                 tokens = np.append(encode(text or "", path), np.uint32(end_token)).astype("<u4")
                 first = len(tokens) % capacity or capacity
                 cuts = [0, *range(first, len(tokens) + 1, capacity)]
                 for piece, (start, stop) in enumerate(zip(cuts, cuts[1:])):
-                    ids.append(doc_id)
-                    rows.append((piece, start, stop - start, zlib.crc32(tokens[start:stop].tobytes())))
-            out = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
-            out.insert(0, "doc_id", pd.Series(ids, dtype="object"))
-            yield out
-
-    rows = docs.select(as_text(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint")
+                    ids = tokens[start:stop]
+                    rows.append((doc_id, piece, start, stop - start, zlib.crc32(ids.tobytes()), row, ids.astype(np.int32)))
+                held += len(tokens)
+                if held >= CHUNK:
+                    yield framed(rows)
+                    rows, held = [], 0
+        if rows:
+            yield framed(rows)
+
+    rows = docs.select(
+        as_text(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")
+    )
+    kinds = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, row bigint, ids array<int>"
+    return rows.mapInPandas(run, kinds)
 
 
 def _best_values(price: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -221,9 +233,10 @@ def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
     capacity: int = CAPACITY, end_token: int = END,
 ) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece.
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset, row, ids: one row per piece.
 
-    A null or empty text is the end token alone; rows that repeat an id are documents of their
+    ``ids`` are the tokens of the piece, so a sequence is its pieces' ids by ``offset``. ``row`` is a
+    number of the input row, which tells the copies of an id apart. A null or empty text is the end token alone; rows that repeat an id are documents of their
     own; a null id is carried through; an empty table gives an empty result; other columns are not
     read. The rank of a piece among those of its length comes from two levels, chunks of about
     the square root of all pieces and sums over chunks, so a length that a third of all pieces
@@ -232,7 +245,7 @@ def pack(
     """
     spark = docs.sparkSession
     path = tokenizer or public_tokenizers.path(TOKENIZER)
-    cut = checkpointed(pieces(docs, id_col, text_col, path, capacity, end_token))
+    cut = written(pieces(docs, id_col, text_col, path, capacity, end_token), "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     chunks = max(1, int(sum(histogram.values()) ** 0.5))
     fields = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -246,27 +259,29 @@ def pack(
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
     )
     match = (F.col("length") == F.col("of_length")) & (F.col("chunk") == F.col("of_chunk"))
-    ranked = numbered.join(sums, match).select(*fields, (F.col("before") + F.col("inside")).alias("rank"))
+    ranked = numbered.join(sums, match).select(*fields, "row", "ids", (F.col("before") + F.col("inside")).alias("rank"))
     plan = places(solve(histogram, capacity)).sort_values(["length", "low"], ignore_index=True)
     held = spark.sparkContext.broadcast({n: g.drop(columns="length").to_numpy() for n, g in plan.groupby("length")})
 
-    def seat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sequence, offset = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
-            for length, rows in batch.groupby("length").indices.items():
-                low, _, first, at = held.value[length].T
-                rank = batch["rank"].to_numpy()[rows]
-                k = np.searchsorted(low, rank, side="right") - 1
-                sequence[rows], offset[rows] = first[k] + rank - low[k], at[k]
-            yield batch.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
-
-    seated = ranked.mapInPandas(
-        seat,
-        "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
-    )
+    @F.pandas_udf("sequence_id bigint, offset bigint")
+    def seat(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+        for n, rows in length.groupby(length).indices.items():
+            low, _, first, at = held.value[n].T
+            own = rank.to_numpy()[rows]
+            k = np.searchsorted(low, own, side="right") - 1
+            sequence[rows], offset[rows] = first[k] + own - low[k], at[k]
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+
+    seated = ranked.withColumn("seat", seat("length", "rank")).select(*fields, "seat.*", "row", "ids")
     return seated.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 @query()
 def op6_pack_sequences(spark, sf):
-    return pack(table(spark, sf, "documents"))
+    @F.pandas_udf("bigint")
+    def digest(ids: pd.Series) -> pd.Series:
+        return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in ids], dtype="int64")
+
+    packed = pack(table(spark, sf, "documents")).withColumn("ids_crc32", digest("ids"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
