@@ -302,7 +302,7 @@ def removed_runs(first: np.ndarray, number: np.ndarray, depth: int) -> tuple[np.
 
 
 def _without(texts: DataFrame, repeats: DataFrame, depth: int) -> DataFrame:
-    """uid, n_removed, n_spans, kept (the remaining bytes), kept_sha256 of texts with repeats."""
+    """of (the uid), kept (the remaining bytes), starts and stops (of the removed spans) of texts with repeats."""
     listed = repeats.groupBy(F.col("uid").alias("of")).agg(F.collect_set(F.struct("first", "number")).alias("parts"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -313,11 +313,11 @@ def _without(texts: DataFrame, repeats: DataFrame, depth: int) -> DataFrame:
                 spans = np.array([(p["first"], p["number"]) for p in parts], np.int64)
                 starts, ends = removed_runs(spans[:, 0], spans[:, 1], depth)
                 kept = b"".join(raw[s:e] for s, e in zip([0, *ends.tolist()], [*starts.tolist(), len(raw)]))
-                rows.append((uid, len(raw) - len(kept), len(starts), hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(rows, columns=["of", "n_removed", "n_spans", "kept_sha256"])
+                rows.append((uid, kept, starts, ends))
+            yield pd.DataFrame(rows, columns=["of", "kept", "starts", "stops"])
 
     joined = texts.join(listed, F.col("uid") == F.col("of")).select("uid", "text", "parts")
-    return joined.mapInPandas(run, "of bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return joined.mapInPandas(run, "of bigint, kept binary, starts array<bigint>, stops array<bigint>")
 
 
 def repeated_suffixes(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -342,27 +342,32 @@ def _distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, gram: int = GRAM, hot: int = HOT
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row.
-
-    Every byte under a ``depth``-byte string that also starts elsewhere, in any text, is removed;
-    copies of a text repeat each other. A null text is empty; texts shorter than ``depth`` keep
-    all; ids are carried through, null or repeated; an empty table gives an empty result; other
-    columns are not read. Texts are told apart by a 64-bit key.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, spans: one row per input row.
+
+    ``kept`` holds the bytes that remain, ``spans`` the removed ones as (start, stop) in bytes; the
+    numbers and the digest come from them. Every byte under a ``depth``-byte string that also
+    starts elsewhere, in any text, is removed; copies of a text repeat each other. A null text is
+    empty; texts shorter than ``depth`` keep all; ids are carried through, null or repeated; an
+    empty table gives an empty result; other columns are not read. Texts are told apart by a
+    64-bit key. What remains need not be valid UTF-8 where a repeat begins inside a character.
     """
     repeats = repeated_suffixes(docs, text_col, depth, gram, hot)
     cleaned = _without(_distinct_texts(docs, text_col), repeats, depth)
-    zero = F.lit(0).cast("bigint")
     text = whole(text_col)
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("uid"),
-        F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("sha"),
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("uid"), text.cast("binary").alias("raw"))
+    span = F.transform("starts", lambda s, i: F.struct(s.alias("start"), F.get("stops", i).alias("stop")))
+    none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+    rows = rows.join(cleaned, F.col("uid") == F.col("of"), "left").select(
+        "doc_id", F.octet_length("raw").cast("bigint").alias("n_bytes"),
+        F.coalesce("kept", "raw").alias("kept"), F.coalesce(span, none).alias("spans"),
     )
-    return rows.join(cleaned, F.col("uid") == F.col("of"), "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
-        F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
+    return rows.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "kept", "spans",
     )
 
 
 @query()
 def op3_suffix_dedup(spark, sf):
-    return remove_repeats(table(spark, sf, "documents"))
+    cleaned = remove_repeats(table(spark, sf, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
