@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from glyphline.llm import (  # noqa: F401
-    licenses, mixing, neighbours, packing, quality, secrets, simhash, suffixes, toxicity, warc,
+    jaccard, licenses, mixing, neighbours, packing, periods, quality, secrets, simhash, suffixes, toxicity, warc, whitening,
 )
 from glyphline.llm.common import CATALOG
 

@@ -23,6 +23,6 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
