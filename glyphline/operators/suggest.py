@@ -57,9 +57,17 @@ def suggest_topk(
     texts: DataFrame, model: DataFrame, id_col: str, k: int = 3, seed: int = 42, exclude: Iterable[str] = ()
 ) -> DataFrame:
     """An even, seeded choice among the k most frequent symbols."""
+    return _scored(texts, model, _even_choice(id_col, k, seed), exclude)
+
+
+def _even_choice(id_col: str, k: int, seed: int) -> Column:
     choices = F.least(F.lit(k), F.size("_symbols"))
-    index = (seeded_uniform(seed, F.col(id_col)) % choices).cast("int")
-    return _scored(texts, model, F.get("_symbols", index), exclude)
+    return F.get("_symbols", (seeded_uniform(seed, F.col(id_col)) % choices).cast("int"))
+
+
+def suggest_from_lines(texts: DataFrame, lines: DataFrame, id_col: str, k: int = 3, seed: int = 42) -> DataFrame:
+    """``suggest_topk`` on a model that was folded before; ``texts`` may be a stream and ``lines`` its static side."""
+    return texts.join(lines, "emotion", "left").select(*texts.columns, _even_choice(id_col, k, seed).alias("symbol"))
 
 
 def suggest_damped(texts: DataFrame, model: DataFrame) -> DataFrame:
@@ -78,6 +86,49 @@ def suggest_weighted(texts: DataFrame, model: DataFrame, id_col: str, seed: int
     return _scored(texts, model, F.get("_symbols", index))
 
 
+def race_key(seed: int, row_id: Column, symbol: Column, n: Column) -> Column:
+    """Finishing time of a symbol in an exponential race (Efraimidis and Spirakis, 2006): -ln(u) / n.
+
+    u is drawn from seed, row and symbol alone. The least of several times belongs to a symbol
+    with chance n / sum(n), and the next ones are draws without replacement from the rest.
+    """
+    u = (seeded_uniform(seed, row_id, symbol) + F.lit(0.5)) / F.lit(float(1 << 52))
+    return -F.ln(u) / n
+
+
+def _race(seed: int, id_col: str) -> Column:
+    """(time, symbol) of every symbol of the text's model line; symbols without weight do not start."""
+    times = F.zip_with(
+        "_symbols", "_counts", lambda s, n: F.when(n > 0, F.struct(race_key(seed, F.col(id_col), s, n).alias("t"), s.alias("s")))
+    )
+    return F.filter(times, lambda e: e.isNotNull())
+
+
+def suggest_race(texts: DataFrame, model: DataFrame, id_col: str, seed: int = 42, exclude: Iterable[str] = ()) -> DataFrame:
+    """A seeded choice weighted by count: the first symbol home.
+
+    Adding or dropping a symbol changes the choice only where that symbol wins or won, as every
+    symbol has a draw of its own. An unknown emotion, or one without symbols, keeps its row with a null.
+    """
+    return _scored(texts, model, F.array_min(_race(seed, id_col))["s"], exclude)
+
+
+def suggest_picks(
+    texts: DataFrame, model: DataFrame, id_col: str, k: int = 3, seed: int = 42, exclude: Iterable[str] = ()
+) -> DataFrame:
+    """Up to k different symbols per text, drawn by count without replacement, in the order they come home."""
+    first = F.transform(F.slice(F.array_sort(_race(seed, id_col)), 1, k), lambda e: e["s"])
+    return _scored(texts, model, first, exclude).withColumnRenamed("symbol", "symbols")
+
+
+def race_by_aggregate(texts: DataFrame, model: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
+    """The same choice as ``suggest_race`` for a model too long to fold: texts meet the model's rows and the
+    least time wins by a partial and a final aggregate, so no list of symbols is held."""
+    times = texts.join(model.filter(F.col("n") > 0), "emotion", "left")
+    order = F.struct(race_key(seed, F.col(id_col), F.col("symbol"), F.col("n")), F.col("symbol"))
+    return times.groupBy(*texts.columns).agg(F.min_by("symbol", F.when(F.col("symbol").isNotNull(), order)).alias("symbol"))
+
+
 def ranked_model(model: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
     """The model in long form with a rank per emotion."""
     excluded = list(exclude)

@@ -18,7 +18,7 @@ from glyphline.plans.catalog_text import TOKENS
 from glyphline.plans.flows import land_reviews
 from glyphline.plans.registry import query
 from glyphline.session import checkpointed, scratch_path
-from glyphline.streaming.score import lookup_literal, score_batches, valence_in_row
+from glyphline.streaming.score import append_to, emotion_in_row, lookup_literal, score_batches, score_stream, valence_in_row
 
 # ---------------------------------------------------------------- valence
 
@@ -261,6 +261,30 @@ def g4_suggest_weighted(spark, sf):
     return sg.suggest_weighted(_texts(spark, sf), _model(spark, sf), "doc_id")
 
 
+RACE = f"""{MODEL}, ra AS (SELECT doc_id, te.emotion, symbol, row_number() OVER (PARTITION BY doc_id ORDER BY
+      -ln((('0x' || substr(md5('42|' || doc_id || '|' || symbol), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / n,
+      symbol) AS place FROM te LEFT JOIN mo ON mo.emotion = te.emotion)"""
+
+
+@query(f"WITH {RACE} SELECT doc_id, emotion, symbol FROM ra WHERE place = 1")
+def g4_weighted_race(spark, sf):
+    return sg.suggest_race(_texts(spark, sf), _model(spark, sf), "doc_id")
+
+
+@query(f"WITH {RACE} SELECT doc_id, emotion, symbol FROM ra WHERE place = 1")
+def g4_race_by_aggregate(spark, sf):
+    return sg.race_by_aggregate(_texts(spark, sf), _model(spark, sf), "doc_id")
+
+
+@query(
+    f"""WITH {RACE} SELECT doc_id, emotion, CASE WHEN emotion IS NOT NULL THEN string_agg(symbol, ' ' ORDER BY place) END AS picks
+    FROM ra WHERE place <= 3 GROUP BY doc_id, emotion"""
+)
+def g4_weighted_picks(spark, sf):
+    found = sg.suggest_picks(_texts(spark, sf), _model(spark, sf), "doc_id", k=3)
+    return found.select("doc_id", "emotion", F.array_join("symbols", " ").alias("picks"))
+
+
 @query(
     f"""WITH {MODEL}, {_ranked("emotion <> 'joy'")} SELECT doc_id, te.emotion, symbol
     FROM te LEFT JOIN rk ON rk.emotion = te.emotion AND rnk = 1"""
@@ -294,6 +318,30 @@ def g6_score_stream(spark, sf):
     return spark.read.parquet(out).select("doc_id", "emotion", "symbol")
 
 
+@query(
+    f"""WITH {MODEL}, {_ranked()} SELECT doc_id, te.emotion, symbol FROM te LEFT JOIN rk
+      ON rk.emotion = te.emotion AND rnk = {DRAW} % least(3, size) + 1"""
+)
+def g6_append_stream(spark, sf):
+    """The documents as a stream of several micro-batches, scored in the row and appended to a folder."""
+    docs = b.documents(spark, sf, "doc_id", "text")
+    landed, lines, out = (scratch_path(spark, name) for name in ("landed", "lines", "appended"))
+    docs.repartition(4).write.parquet(landed)
+    sg.folded_model(_model(spark, sf)).write.parquet(lines)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+    scored = score_stream(stream, b.EMOTIONS, spark.read.parquet(lines), "text", "doc_id", k=3)
+    run = append_to(scored.drop("text"), out, scratch_path(spark, "append-state")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query(f"WITH {_emotion('documents')} SELECT doc_id, emotion FROM documents LEFT JOIN dom USING (doc_id)")
+def g6_emotion_in_row(spark, sf):
+    look_up = lookup_literal(b.EMOTIONS, "string")
+    docs = b.documents(spark, sf, "doc_id", "text")
+    return emotion_in_row(docs, look_up, "text").select("doc_id", "emotion")
+
+
 @query(f"WITH {_totals('documents')} SELECT doc_id, total FROM v")
 def g6_valence_in_row(spark, sf):
     look_up = lookup_literal(b.VALENCE)

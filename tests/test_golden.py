@@ -358,6 +358,47 @@ def test_suggest_weighted_follows_the_counts(texts, model):
     assert 125 < joy.count("😂") < 210
 
 
+def test_race_follows_the_counts(spark, model):
+    """Shares of many draws lie within five deviations of the counts' shares, for the first and for the second pick."""
+    n = 6000
+    texts = spark.range(n).select("id", F.lit("joy").alias("emotion"))
+    weights = {r["symbol"]: r["n"] for r in model.filter("emotion = 'joy'").collect()}
+    total = sum(weights.values())
+    picks = [r["symbols"] for r in suggest.suggest_picks(texts, model, "id", k=2).collect()]
+    assert len(picks) == n and all(len(set(p)) == 2 for p in picks)
+    for symbol, weight in weights.items():
+        chance = weight / total
+        spread = 5 * (n * chance * (1 - chance)) ** 0.5
+        assert abs(sum(p[0] == symbol for p in picks) - n * chance) < spread
+        # without replacement: the second is drawn from what the first leaves
+        second = sum(w / total * weight / (total - w) for s, w in weights.items() if s != symbol)
+        assert abs(sum(p[1] == symbol for p in picks) - n * second) < 5 * (n * second * (1 - second)) ** 0.5
+
+
+def test_race_and_its_aggregate_agree(spark, texts, model, rows):
+    once = rows(suggest.suggest_race(texts, model, "id"), "id", "emotion", "symbol")
+    assert once == rows(suggest.suggest_race(texts.repartition(5), model, "id"), "id", "emotion", "symbol")
+    assert once == rows(suggest.race_by_aggregate(texts, model, "id"), "id", "emotion", "symbol")
+    assert once != rows(suggest.suggest_race(texts, model, "id", seed=7), "id", "emotion", "symbol")
+    first = suggest.suggest_picks(texts, model, "id", k=1).select("id", "emotion", F.get("symbols", F.lit(0)).alias("symbol"))
+    assert once == rows(first)
+
+
+def test_race_changes_only_where_a_dropped_symbol_won(texts, model):
+    before = {r["id"]: r["symbol"] for r in suggest.suggest_race(texts, model, "id").collect()}
+    after = {r["id"]: r["symbol"] for r in suggest.suggest_race(texts, model, "id", exclude=["🔥"]).collect()}
+    assert all(after[i] == s for i, s in before.items() if s != "🔥")
+    assert any(s == "🔥" for s in before.values()) and "🔥" not in after.values()
+
+
+def test_race_without_weight(spark, rows):
+    model = spark.createDataFrame([("joy", "a", 0), ("joy", "b", 2), ("fear", "c", 0)], "emotion string, symbol string, n bigint")
+    texts = spark.createDataFrame([(1, "joy"), (2, "fear"), (3, None), (4, "none")], "id bigint, emotion string")
+    expected = [(1, "joy", "b"), (2, "fear", None), (3, None, None), (4, "none", None)]
+    assert rows(suggest.suggest_race(texts, model, "id")) == expected
+    assert rows(suggest.race_by_aggregate(texts, model, "id")) == expected
+
+
 def test_first_present(spark, rows):
     df = spark.createDataFrame([(None, "x"), ("a", "y")], "a string, b string")
     assert rows(df.select(tx.first_present(df, ["missing", "a", "b"]))) == [("a",), (None,)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from glyphline.operators import emotion, models, profile, suggest
 from glyphline.plans import bindings as b
-from glyphline.streaming.score import score_batches
+from glyphline.streaming.score import append_to, emotion_in_row, lookup_literal, score_batches, score_stream
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +96,72 @@ def test_stream_equals_batch(spark, landed, model, tmp_path, rows):
     direct = suggest.suggest_topk(labelled, model, "doc_id").select("doc_id", "emotion", "symbol")
     found = spark.read.parquet(f"{tmp_path}/out").select("doc_id", "emotion", "symbol")
     assert rows(found) == rows(direct)
+
+
+@pytest.fixture(scope="module")
+def lines(spark, model, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("model") / "lines")
+    suggest.folded_model(model).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _run(spark, landed, lines, root, **options):
+    path, docs = landed
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    scored = score_stream(stream, b.EMOTIONS, lines, "text", "doc_id").drop("text")
+    run = append_to(scored, f"{root}/out", f"{root}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return run
+
+
+def _direct(spark, landed, model):
+    labelled = emotion.labelled(landed[1], b.emotions(spark), "text", "doc_id")
+    return suggest.suggest_topk(labelled, model, "doc_id").select("doc_id", "emotion", "symbol")
+
+
+def test_append_stream_equals_batch(spark, landed, model, lines, tmp_path, rows):
+    run = _run(spark, landed, lines, tmp_path)
+    assert run.lastProgress.batchId >= 2
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), "doc_id", "emotion", "symbol") == rows(_direct(spark, landed, model))
+
+
+def test_append_stream_has_no_state(spark, landed, lines, tmp_path):
+    run = _run(spark, landed, lines, tmp_path)
+    assert run.lastProgress.stateOperators == []
+    assert not (tmp_path / "state" / "state").exists()
+    plan = run._jsq.explainInternal(True)
+    assert "StateStore" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("logged", [True, False])
+def test_a_killed_batch_loses_and_doubles_nothing(spark, landed, model, lines, tmp_path, rows, logged):
+    """The last batch is killed before it is reported as done, after or before its files are logged."""
+    _run(spark, landed, lines, tmp_path)
+    last = max(int(p.name) for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit())
+    killed = [tmp_path / "state" / "commits"] + ([] if logged else [tmp_path / "out" / "_spark_metadata"])
+    for folder in killed:
+        for name in (f"{last}", f".{last}.crc"):
+            (folder / name).unlink(missing_ok=True)
+    before = rows(spark.read.parquet(f"{tmp_path}/out"), "doc_id")
+    assert (len(before) == landed[1].count()) == logged
+    _run(spark, landed, lines, tmp_path)
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), "doc_id", "emotion", "symbol") == rows(_direct(spark, landed, model))
+
+
+def test_new_files_are_appended(spark, landed, model, lines, tmp_path, rows):
+    docs = spark.createDataFrame(landed[1].limit(7).collect(), landed[1].schema)
+    path = str(tmp_path / "in")
+    docs.write.parquet(path)
+    _run(spark, (path, docs), lines, tmp_path)
+    more = spark.createDataFrame([(-1, None), (-2, ""), (-3, "and la que")], docs.schema)
+    more.write.mode("append").parquet(path)
+    _run(spark, (path, docs), lines, tmp_path)
+    found = {r["doc_id"]: (r["emotion"], r["symbol"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert len(found) == 10 and found[-1] == found[-2] == (None, None) and found[-3][0] == "joy"
+
+
+def test_emotion_in_row_breaks_ties_by_name(spark):
+    look_up = lookup_literal([("x", "joy"), ("y", "fear"), ("y", "joy"), ("z", "anger")], "string")
+    df = spark.createDataFrame([("x z",), ("y",), ("x y",), ("z z y",), ("none",), (None,)], "text string")
+    found = [r["emotion"] for r in emotion_in_row(df, look_up, "text").collect()]
+    assert found == ["anger", "fear", "joy", "anger", None, None]
