@@ -159,8 +159,15 @@ def judge(
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The documents that the rules keep, without their flagged lines, with all columns of ``docs``."""
-    found = _cleaned(docs, id_col, text_col, host_col, MIN_DOCUMENTS, MAX_SHARE, MIN_LEFT).filter("kept")
+    """The documents that the rules keep, without their flagged lines, with all columns of ``docs``.
+
+    A null text fails the base rules and goes; a null or repeated id, a null host and further columns of
+    any name are carried through; rows that repeat all columns each stay; an empty table stays empty.
+    """
+    found = _cleaned(docs, id_col, text_col, host_col, MIN_DOCUMENTS, MAX_SHARE, MIN_LEFT)
+    # judged rows are written before they are filtered: pushed below, the filter would repeat every
+    # expression that the verdict is made of, and compute the words of a text once for each word
+    found = written(found.select("own", "text", "cut", "kept"), "judged").filter("kept")
     changed = {text_col: F.col("text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("cut"), F.length("text").cast("bigint")).otherwise(F.col("own.n_chars"))

@@ -56,7 +56,7 @@ def repeats(texts, depth):
 
 
 def quality(rows, min_documents, max_share, min_left=0.5):
-    """rows of (text, host) -> (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)."""
+    """rows of (text, host) -> (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, text left)."""
 
     def normal(line):
         line = re.sub(r"[1-9]", "0", line.lower())
@@ -71,7 +71,7 @@ def quality(rows, min_documents, max_share, min_left=0.5):
                 holders[host, x].add(t or "")
     out = []
     for (t, host), own in zip(rows, lines):
-        t = t or ""
+        given, t = t, t or ""
         words = WORD.findall(t)
         grams = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
         inside = {i + k for i in range(len(words) - 2) if grams[tuple(words[i : i + 3])] > 1 for k in range(3)}
@@ -85,6 +85,7 @@ def quality(rows, min_documents, max_share, min_left=0.5):
         out.append((
             len(words), sum(map(len, words)), sum(t.count(c) for c in "#*$%&|<>"), len(full) - len(set(full)),
             len(inside), failed, not failed and total - removed >= min_left * total,
+            "\n".join(x for x, n in zip(t.split("\n"), own) if n not in bad) if bad else given,
         ))
     return out
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import sys
 from pathlib import Path
 
@@ -17,6 +18,28 @@ from glyphline.llm.common import written  # noqa: E402
 FIELDS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+NOTICE = "Read all 12 comments on this page"
+
+
+@pytest.fixture(scope="module")
+def sf_dir(spark, tmp_path_factory):
+    """The given documents, and some on one host that all have a line, some of them little else."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=rng.randint(3, 9)))
+    line = lambda: " ".join(word() for _ in range(9))
+    planted, shared = [], [line() for _ in range(14)]
+    for i in range(36):
+        lines = [line() for _ in range(8)]
+        lines[2:2] = [NOTICE.replace("12", str(i + 10))] if i < 24 else shared
+        text = "\n".join(lines)
+        planted.append((2 * 10**6 + i, text, "en", "planted", len(text)))
+    path = tmp_path_factory.mktemp("planted")
+    more = spark.createDataFrame(planted, docs.select(*FIELDS).schema)
+    docs.select(*FIELDS).unionByName(more).write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
 @pytest.fixture(scope="module")
 def stages(spark, sf_dir):
     """The input and what each stage returned, as rows."""
@@ -37,8 +60,21 @@ def _plain(rows):
 def test_quality_stage(stages):
     before, after = stages[:2]
     verdicts = brute.quality([(r["text"], r["source"]) for r in before], quality.MIN_DOCUMENTS, quality.MAX_SHARE)
-    assert _plain(after) == _plain(r for r, v in zip(before, verdicts) if v[-1])
+    expected = [
+        (r["doc_id"], v[-1], r["lang"], r["source"], r["n_chars"] if v[-1] == r["text"] else len(v[-1]))
+        for r, v in zip(before, verdicts) if v[-2]
+    ]
+    assert _plain(after) == _plain(expected)
     assert len(after) < len(before)
+    given = {r["doc_id"]: r["text"] for r in before}
+    assert sum(r["text"] != given[r["doc_id"]] for r in after) >= 24
+    assert any(not v[-2] and not v[-3] for v in verdicts), "no document fell for its lines alone"
+
+
+def test_quality_verdicts_are_read_before_they_filter(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plan = quality.keep_good(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "regexp" not in plan
 
 
 def test_dedup_stage(stages):
