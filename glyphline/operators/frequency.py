@@ -22,6 +22,29 @@ def with_symbols(df: DataFrame, vocab: str, *text_cols: str, keep: Iterable[str]
     return df.filter(has_symbol(text, vocab)).select(*kept, extract_symbols(text, vocab).alias("symbols"))
 
 
+def symbols_by_table(
+    df: DataFrame, vocab: DataFrame, *text_cols: str, keep: Iterable[str], symbol: str = "symbol"
+) -> DataFrame:
+    """Every row with its ``symbols`` by a vocabulary held as a table: in reading order, repeats kept.
+
+    The code points of a text are unfolded with their places, joined to the vocabulary and folded in order
+    again; code points outside the vocabulary end at the join, in the task that read the text, and texts do not
+    move. Entries of more or less than one code point are no symbols. Of those with one Unicode has
+    1,114,112, which bounds what the join broadcasts, however long the table is. A null or empty text, and one
+    without a symbol, has an empty list; rows that are equal in all columns each stay.
+    """
+    known = vocab.select(F.col(symbol).alias("_c")).filter(F.char_length("_c") == 1).distinct()
+    points = F.regexp_extract_all(combined_text(*text_cols), F.lit("(?s)."), F.lit(0))
+    kept = list(keep)
+    rows = df.select(*kept, F.monotonically_increasing_id().alias("_row"), points.alias("_points"))
+    # place 0 holds no code point: it carries the row through the join
+    unfolded = rows.select(*kept, "_row", F.posexplode(F.concat(F.array(F.lit("")), "_points")).alias("_p", "_c"))
+    found = unfolded.join(F.broadcast(known.withColumn("_known", F.lit(True))), "_c", "left")
+    found = found.filter((F.col("_p") == 0) | F.col("_known"))
+    listed = F.collect_list(F.when(F.col("_p") > 0, F.struct("_p", "_c")))
+    return found.groupBy("_row", *kept).agg(F.sort_array(listed).alias("_s")).select(*kept, F.col("_s._c").alias("symbols"))
+
+
 def distinct_symbols(symbols: Column | str = "symbols") -> Column:
     return F.array_distinct(F.col(symbols) if isinstance(symbols, str) else symbols)
 

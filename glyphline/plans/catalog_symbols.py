@@ -12,6 +12,7 @@ from glyphline.functions.symbols import (
     sequence_regex,
     symbol_seq_count,
     symbols_string,
+    trie_from_table,
 )
 from glyphline.functions.text import combined_text, first_present, primary_category
 from glyphline.operators import frequency as fq
@@ -96,6 +97,52 @@ def p6_symbol_seq_count(spark, sf):
     return docs.select("doc_id", count.cast("bigint").alias("n"))
 
 
+LETTERS = "[A-Za-zéèêçäöüßñíó]"
+#: Beginnings of the words of one table, longest first: some thousand sequences, many the beginning of others.
+BEGINNINGS = f"""q AS (SELECT DISTINCT left(w, k) AS s FROM (SELECT unnest(regexp_extract_all(text, '{LETTERS}+')) AS w FROM benchmark),
+    (SELECT unnest(range(3, 9)) AS k) WHERE length(w) >= k),
+  p AS (SELECT string_agg(s, '|' ORDER BY length(s) DESC, s) AS p FROM q)"""
+
+
+def _beginnings(spark, sf):
+    words = b.table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(f"{LETTERS}+"), F.lit(0))).alias("w"))
+    cut = words.select("w", F.explode(F.sequence(F.lit(3), F.lit(8))).alias("k")).filter(F.length("w") >= F.col("k"))
+    return cut.select(F.substring("w", F.lit(1), F.col("k")).alias("sequence")).distinct()
+
+
+@query(f"WITH {BEGINNINGS} SELECT conv_id, turn FROM conversations WHERE regexp_matches(text, (SELECT p FROM p))")
+def p5_sequences_by_table(spark, sf):
+    pattern = trie_from_table(_beginnings(spark, sf))
+    return b.conversations(spark, sf).filter(has_symbol_seq(pattern, "text")).select("conv_id", "turn")
+
+
+@query(
+    f"""WITH {BEGINNINGS}, f AS (SELECT doc_id, regexp_extract_all(text, (SELECT p FROM p)) AS x FROM documents)
+    SELECT doc_id, len(x)::BIGINT AS n, md5(array_to_string(x, ' ')) AS found FROM f"""
+)
+def p6_sequences_by_table(spark, sf):
+    pattern = trie_from_table(_beginnings(spark, sf))
+    docs = b.documents(spark, sf, "doc_id", "text")
+    found = docs.select(
+        "doc_id", symbol_seq_count("text", pattern).cast("bigint").alias("n"), extract_symbols("text", pattern).alias("x")
+    )
+    return found.select("doc_id", "n", F.md5(F.array_join("x", " ")).alias("found"))
+
+
+@query(
+    """WITH v AS (SELECT DISTINCT c FROM (SELECT unnest(string_split(text, '')) AS c FROM benchmark) WHERE c > 'z'),
+      x AS (SELECT doc_id, unnest(string_split(text, '')) AS c, unnest(range(length(text))) AS i FROM documents),
+      f AS (SELECT doc_id, string_agg(c, '' ORDER BY i) AS symbols, count(*)::BIGINT AS n FROM x JOIN v USING (c) GROUP BY doc_id)
+    SELECT doc_id, coalesce(symbols, '') AS symbols, coalesce(n, 0)::BIGINT AS n FROM documents LEFT JOIN f USING (doc_id)"""
+)
+def p2_symbols_by_table(spark, sf):
+    """The vocabulary is a table: the characters beyond z of another corpus."""
+    points = F.regexp_extract_all("text", F.lit("(?s)."), F.lit(0))
+    vocab = b.table(spark, sf, "benchmark").select(F.explode(points).alias("symbol")).filter("symbol > 'z'").distinct()
+    found = fq.symbols_by_table(b.documents(spark, sf, "doc_id", "text"), vocab, "text", keep=["doc_id"])
+    return found.select("doc_id", F.array_join("symbols", "").alias("symbols"), F.size("symbols").cast("bigint").alias("n"))
+
+
 @query(f"SELECT doc_id, regexp_matches(text, '{CLS}') AS found FROM documents")
 def p7_any_symbol(spark, sf):
     return b.documents(spark, sf, "doc_id", "text").select("doc_id", has_symbol("text", b.VOCAB).alias("found"))
