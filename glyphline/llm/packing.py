@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window as W, functions as F
 from tokenizers import Tokenizer
@@ -58,47 +60,64 @@ def _encoders(path: str):
     return exact, fast, tuple(special)
 
 
-def encode(text: str, path: str) -> np.ndarray:
-    """Token ids of a text, without special tokens added."""
+def encode(text: str, path: str) -> array:
+    """Token ids of a text as unsigned 32-bit integers, without special tokens added."""
     exact, fast, special = _encoders(path)
     if not any(s in text for s in special):
         try:
-            return np.array(fast.encode_ordinary(text), "<u4")
+            return array("I", fast.encode_ordinary(text))
         except Exception:  # noqa: BLE001  the pattern engine gives up on some very long runs of one kind
             pass
-    return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
+    return array("I", exact.encode(text, add_special_tokens=False).ids)
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int, end_token: int) -> DataFrame:
-    """doc_id (as text), piece, start, length, ids_crc32, row, ids: all but the first piece of a document are full."""
-    fields = ["doc_id", "piece", "start", "length", "ids_crc32", "row", "ids"]
+    """doc_id (as text), piece, start, length, ids_crc32, row, task, number, ids: all but the first piece of a document are full.
 
-    def framed(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=fields)
-        return out.assign(doc_id=out["doc_id"].astype("object"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, held = [], 0
+    ``number`` counts the pieces of one length that a task makes.
+    """
+    fields = {
+        "doc_id": pa.string(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(),
+        "row": pa.int64(), "task": pa.int64(), "number": pa.int64(),
+    }
+
+    def framed(rows: list[tuple], tokens: array) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), fields.values())]
+        ends = np.concatenate([[0], np.cumsum([r[3] for r in rows])]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(tokens, np.int32)))
+        return pa.RecordBatch.from_arrays([*columns, ids], [*fields, "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = [0] * (capacity + 1)
+        rows, held = [], array("I")
         for batch in batches:
-            for doc_id, text, row in zip(batch["doc_id"], batch["text"], batch["row"]):
-                tokens = np.append(encode(text or "", path), np.uint32(end_token)).astype("<u4")
+            for doc_id, text, row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "row"))):
+                tokens = encode(text or "", path)
+                tokens.append(end_token)
+                view = memoryview(tokens)
                 first = len(tokens) % capacity or capacity
-                cuts = [0, *range(first, len(tokens) + 1, capacity)]
-                for piece, (start, stop) in enumerate(zip(cuts, cuts[1:])):
-                    ids = tokens[start:stop]
-                    rows.append((doc_id, piece, start, stop - start, zlib.crc32(ids.tobytes()), row, ids.astype(np.int32)))
-                held += len(tokens)
-                if held >= CHUNK:
-                    yield framed(rows)
-                    rows, held = [], 0
+                start = 0
+                for piece, stop in enumerate(range(first, len(tokens) + 1, capacity)):
+                    length = stop - start
+                    # the upper bits of a row's number are its task's
+                    rows.append((doc_id, piece, start, length, zlib.crc32(view[start:stop]), row, row >> 33, made[length]))
+                    made[length] += 1
+                    start = stop
+                held += tokens
+                if len(held) >= CHUNK:
+                    yield framed(rows, held)
+                    rows, held = [], array("I")
         if rows:
-            yield framed(rows)
+            yield framed(rows, held)
 
     rows = docs.select(
-        as_text(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")
+        as_text(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row")
     )
-    kinds = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, row bigint, ids array<int>"
-    return rows.mapInPandas(run, kinds)
+    kinds = (
+        "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, row bigint, task bigint, number bigint, "
+        "ids array<int>"
+    )
+    return rows.mapInArrow(run, kinds)
 
 
 def _best_values(price: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,28 +257,25 @@ def pack(
     ``ids`` are the tokens of the piece, so a sequence is its pieces' ids by ``offset``. ``row`` is a
     number of the input row, which tells the copies of an id apart. A null or empty text is the end token alone; rows that repeat an id are documents of their
     own; a null id is carried through; an empty table gives an empty result; other columns are not
-    read. The rank of a piece among those of its length comes from two levels, chunks of about
-    the square root of all pieces and sums over chunks, so a length that a third of all pieces
-    have is no single group. The plan's size is bounded by the number of configurations
+    read. The rank of a piece among those of its length is its number in its task and the pieces that
+    tasks before have of that length, so ids are neither sorted nor grouped, and a length that a third
+    of all pieces have is no group. The plan's size is bounded by the number of configurations
     (at most rounds times ``capacity``, and best fit on a histogram of ``capacity`` entries), not by the data.
     """
     spark = docs.sparkSession
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     cut = written(pieces(docs, id_col, text_col, path, capacity, end_token), "pieces")
-    histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    chunks = max(1, int(sum(histogram.values()) ** 0.5))
-    fields = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    cut = cut.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(chunks)))
-    inside = W.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32")
-    numbered = cut.withColumn("inside", F.row_number().over(inside) - 1)
-    before = W.partitionBy("length").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    sums = cut.groupBy("length", "chunk").agg(F.count("*").alias("n"))
-    sums = sums.select(
-        F.col("length").alias("of_length"), F.col("chunk").alias("of_chunk"),
+    tasks = written(cut.groupBy("length", "task").agg(F.count("*").alias("n")), "tasks")
+    histogram = {r["length"]: r["n"] for r in tasks.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    sums = tasks.select(
+        F.col("length").alias("of_length"), F.col("task").alias("of_task"),
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
     )
-    match = (F.col("length") == F.col("of_length")) & (F.col("chunk") == F.col("of_chunk"))
-    ranked = numbered.join(sums, match).select(*fields, "row", "ids", (F.col("before") + F.col("inside")).alias("rank"))
+    # one line per task and length; Spark broadcasts it while it is small, and moves the pieces where it is not
+    match = (F.col("length") == F.col("of_length")) & (F.col("task") == F.col("of_task"))
+    fields = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    ranked = cut.join(written(sums, "before"), match).select(*fields, "row", "ids", (F.col("before") + F.col("number")).alias("rank"))
     plan = places(solve(histogram, capacity)).sort_values(["length", "low"], ignore_index=True)
     held = spark.sparkContext.broadcast({n: g.drop(columns="length").to_numpy() for n, g in plan.groupby("length")})
 
@@ -279,9 +295,6 @@ def pack(
 
 @query()
 def op6_pack_sequences(spark, sf):
-    @F.pandas_udf("bigint")
-    def digest(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in ids], dtype="int64")
-
-    packed = pack(table(spark, sf, "documents")).withColumn("ids_crc32", digest("ids"))
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(table(spark, sf, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+from hypothesis import given, settings, strategies as st
+
 from glyphline.llm import packing
 
 SCHEMA = "doc_id bigint, text string"
@@ -27,3 +29,14 @@ def test_sequences_and_documents_come_back_from_the_pieces(spark):
             assert offset == at
             at += len(ids)
         assert at <= 32
+
+
+PATH = packing.public_tokenizers.path(packing.TOKENIZER)
+EXACT = packing.Tokenizer.from_file(PATH)
+ODD = st.sampled_from(["  ", " \n", "\u00a0", "\u3000", "\x1c", "\x85", "'s", "'LL", "\u200d", "\ufeff", "e\u0301", "１２", "½", "<|endoftext|>", "🇫🇷"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=12), ODD, st.text(st.characters(min_codepoint=32, max_codepoint=126), max_size=12))).map("".join))
+def test_ids_are_those_of_the_tokenizer(text):
+    assert packing.encode(text, PATH).tolist() == EXACT.encode(text, add_special_tokens=False).ids
