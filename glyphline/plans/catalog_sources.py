@@ -18,6 +18,17 @@ PATH_LABEL = r"/grp=([^/]+)/"
 CHUNK = 200
 
 
+def in_small_blocks(spark, read, size: str = "64k"):
+    """What ``read`` gives, as a written table, its files read in small blocks, so that small files have many."""
+    kept, path = spark.conf.get("spark.sql.files.maxPartitionBytes"), scratch_path(spark, "blocks")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        read().write.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    return spark.read.parquet(path)
+
+
 def _chunked(docs):
     """Documents with the number of the file that holds them, each file's documents in order in one task."""
     numbered = docs.withColumn("chunk", F.floor(F.col("doc_id") / CHUNK))
@@ -66,6 +77,19 @@ def s1_read_reviews(spark, sf):
     return csv.read_reviews(spark, path, types).select("review_id", "rating", "lang", F.md5("text").alias("digest"))
 
 
+@query(
+    r"""SELECT doc_id AS review_id, lang, md5('"' || text || chr(10) || chr(10) || '"' || chr(10) || ',"",') AS digest FROM documents"""
+)
+def s1_reviews_by_blocks(spark, sf):
+    """One file with quotes, empty lines and commas inside its fields, read in blocks of 64 KB."""
+    docs = b.documents(spark, sf, "doc_id", "lang", "text").withColumnRenamed("doc_id", "review_id")
+    body = F.concat(F.lit('"'), "text", F.lit('\n\n"\n,"",'))
+    path = scratch_path(spark, "one-file")
+    tables.write_rows(docs.select("review_id", body.alias("text"), "lang").coalesce(1), path, "csv")
+    read = in_small_blocks(spark, lambda: csv.read_reviews(spark, path, {"review_id": "bigint"}, by_blocks=True))
+    return read.select("review_id", "lang", F.md5("text").alias("digest"))
+
+
 @query(
     """SELECT doc_id AS review_id, lang, CASE WHEN lang IN ('de', 'es') THEN NULL ELSE md5(text) END AS digest FROM documents
     WHERE lang <> 'de'"""
@@ -158,6 +182,22 @@ def q2_audit_columns(spark, sf):
     )
 
 
+@query(
+    f"""WITH r AS (SELECT *, doc_id // {CHUNK} AS chunk, doc_id || CASE lang WHEN 'fr' THEN '' ELSE ',"' || replace(text, '"', '""') || '"' END
+        || CASE lang WHEN 'de' THEN ',extra' WHEN 'es' THEN ',,' ELSE '' END AS raw FROM documents),
+      n AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id) + 1 AS record FROM r)
+    SELECT chunk::BIGINT AS chunk, record::BIGINT AS record, CASE lang WHEN 'fr' THEN 1 WHEN 'de' THEN 3 ELSE 4 END::BIGINT AS n_fields,
+      2::BIGINT AS expected, md5(left(raw, 120)) AS preview FROM n WHERE lang <> 'en'"""
+)
+def q2_audit_by_blocks(spark, sf):
+    found = in_small_blocks(spark, lambda: audit.audit_columns(spark, _ragged(spark, sf), by_blocks=True))
+    return found.select(
+        csv.label_from_file(r"/chunk=([0-9]+)/", F.col("file")).cast("bigint").alias("chunk"), F.col("record").cast("bigint").alias("record"),
+        F.col("n_fields").cast("bigint").alias("n_fields"), F.col("expected").cast("bigint").alias("expected"),
+        F.md5("preview").alias("preview"),
+    )
+
+
 @query("SELECT DISTINCT lower(trim(p_name)) AS word FROM part")
 def s5_read_wordlist(spark, sf):
     path = scratch_path(spark, "words")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
-from glyphline.sources.csv import _options, field_count
+from glyphline.sources.csv import _FILE, _RAW, _RECORD, _options, _parsed_records, field_count
 from glyphline.sources.files import files_by_layout, raw_lines
 
 PREVIEW_CHARS = 120
@@ -51,39 +51,36 @@ def audit_encoding(spark: SparkSession, glob: str | list[str]) -> DataFrame:
     )
 
 
-def audit_columns(spark: SparkSession, glob: str | list[str]) -> DataFrame:
+def audit_columns(spark: SparkSession, glob: str | list[str], by_blocks: bool = False) -> DataFrame:
     """Records whose field count differs from the header: file, record number (the
     header is 1), fields found, fields expected, and a preview. Blank lines are not
-    records."""
+    records. With ``by_blocks`` many tasks read one file, and the numbers come from the
+    sums that place its records."""
     parts = []
-    for (names, utf8), files in sorted(files_by_layout(spark, glob).items()):
+    for (names, utf8, crlf), files in sorted(files_by_layout(spark, glob).items()):
         schema = T.StructType(
-            [*[T.StructField(f"c{i}", T.StringType()) for i in range(len(names))], T.StructField("_raw", T.StringType())]
-        )
-        rows = (
-            _options(spark, "UTF-8" if utf8 else "ISO-8859-1")
-            .schema(schema)
-            .option("columnNameOfCorruptRecord", "_raw")
-            .csv(sorted(files))
+            [*[T.StructField(f"c{i}", T.StringType()) for i in range(len(names))], T.StructField(_RAW, T.StringType())]
         )
+        if by_blocks:
+            rows = _parsed_records(spark, schema, sorted(files), utf8, crlf)
+            place = F.col(_RECORD)
+        else:
+            rows = _options(spark, "UTF-8" if utf8 else "ISO-8859-1").schema(schema).option("columnNameOfCorruptRecord", _RAW)
+            rows = rows.csv(sorted(files)).withColumn(_FILE, F.col("_metadata.file_path"))
+            place = F.monotonically_increasing_id()
         # Spark refuses to read the raw-record column alone, hence the first cell beside it
-        bad = F.when(F.col("_raw").isNotNull(), F.rtrim(F.coalesce("_raw", "c0"), F.lit("\r\n")))
-        parts.append(
-            rows.select(
-                F.col("_metadata.file_path").alias("file"),
-                F.monotonically_increasing_id().alias("_at"),
-                bad.alias("_raw"),
-                F.lit(len(names)).alias("expected"),
-            )
-        )
-    # a file with quoted line breaks is read by one task, so _at is consecutive in it; one
-    # number per file is joined to the records that are reported, and no others are shuffled
+        bad = F.when(F.col(_RAW).isNotNull(), F.rtrim(F.coalesce(_RAW, "c0"), F.lit("\r\n")))
+        parts.append(rows.select(F.col(_FILE).alias("file"), place.alias("_at"), bad.alias("_raw"), F.lit(len(names)).alias("expected")))
     records = reduce(DataFrame.unionByName, parts)
-    first = records.groupBy("file").agg(F.min("_at").alias("_first"))
-    return records.filter(F.col("_raw").isNotNull()).join(first, "file").select(
-        "file",
-        (F.col("_at") - F.col("_first") + F.lit(2)).alias("record"),
-        field_count(F.col("_raw")).alias("n_fields"),
-        "expected",
+    found = records.filter(F.col("_raw").isNotNull())
+    if by_blocks:
+        found = found.withColumn("record", F.col("_at"))
+    else:
+        # the reader gives a file with quoted line breaks to one task, so _at is consecutive in it; one
+        # number per file is joined to the records that are reported, and no others are shuffled
+        first = records.groupBy("file").agg(F.min("_at").alias("_first"))
+        found = found.join(first, "file").withColumn("record", F.col("_at") - F.col("_first") + F.lit(2))
+    return found.select(
+        "file", "record", field_count(F.col("_raw")).alias("n_fields"), "expected",
         F.left("_raw", F.lit(PREVIEW_CHARS)).alias("preview"),
     )

@@ -6,8 +6,9 @@
   first, and such files are read in a fallback encoding.
 * Rows with too many fields are skipped, rows with too few are padded with null.
 
-Quoted line breaks make a file unsplittable: one task reads one file. Land the data as
-Parquet once (``write_rows``) and run everything else on that.
+To Spark's reader quoted line breaks make a file unsplittable: one task reads one file. With
+``by_blocks`` the borders of records are found first (``records``), so many tasks read one file, at the
+price of one shuffle of its lines. Land the data as Parquet once (``write_rows``) and run everything else on that.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from glyphline.sources.files import files_by_layout
+from glyphline.sources.records import csv_records
 
 REVIEW_TYPES = {"rating": "double"}
 
@@ -29,7 +31,7 @@ NA_STRINGS = (
 
 STEM_PATTERN = r"([^/]*)\.csv$"
 
-_EXTRA, _RAW, _FILE = "__extra", "__raw", "__file"
+_EXTRA, _RAW, _FILE, _RECORD = "__extra", "__raw", "__file", "__record"
 
 
 def label_from_file(pattern: str = STEM_PATTERN, path: Column | None = None) -> Column:
@@ -69,8 +71,27 @@ def _options(spark: SparkSession, encoding: str):
     )
 
 
+def _parsed_records(spark: SparkSession, schema: T.StructType, files: list[str], utf8: bool, crlf: bool) -> DataFrame:
+    """What the reader gives, with the file in a column and the record's number, from blocks of files.
+
+    ``crlf`` says that lines end in carriage return and line feed: a break inside a cell then is a line feed.
+    """
+    records = csv_records(spark, files).filter(F.col("record") > 1)
+    if not utf8:
+        records = records.withColumn("raw", F.decode(F.col("raw").cast("binary"), "ISO-8859-1"))
+    raw = F.regexp_replace("raw", "\r(\n|$)", "$1") if crlf else F.col("raw")
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
+    kinds = ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema.fields)
+    cells = [F.col(f"_r.`{f.name}`") for f in schema.fields if f.name != _RAW]
+    given = F.when(F.col(f"_r.{_RAW}").isNotNull(), F.col("raw")).alias(_RAW)
+    return records.select(F.from_csv(raw, kinds, options).alias("_r"), "raw", "file", "record").select(
+        *cells, given, F.col("file").alias(_FILE), F.col("record").alias(_RECORD)
+    )
+
+
 def read_layout(
-    spark: SparkSession, names: list[str], files: list[str], utf8: bool, fallback: str, bad_rows: str
+    spark: SparkSession, names: list[str], files: list[str], utf8: bool, fallback: str, bad_rows: str,
+    by_blocks: bool = False, crlf: bool = False,
 ) -> DataFrame:
     """Files that share a header and an encoding, all columns as strings plus the path.
 
@@ -83,12 +104,11 @@ def read_layout(
     schema = T.StructType(
         [*strings, T.StructField(_EXTRA, T.StringType()), T.StructField(_RAW, T.StringType())]
     )
-    rows = (
-        _options(spark, "UTF-8" if utf8 else "ISO-8859-1")
-        .schema(schema)
-        .option("columnNameOfCorruptRecord", _RAW)
-        .csv(files)
-    )
+    if by_blocks:
+        rows = _parsed_records(spark, schema, files, utf8, crlf)
+    else:
+        rows = _options(spark, "UTF-8" if utf8 else "ISO-8859-1").schema(schema).option("columnNameOfCorruptRecord", _RAW)
+        rows = rows.csv(files).withColumn(_FILE, F.col("_metadata.file_path"))
     if bad_rows == "skip_long":
         raw = F.rtrim(F.col(_RAW), F.lit("\r\n"))
         short = F.when(raw.endswith(",,"), field_count(raw) <= len(names)).otherwise(True)
@@ -96,7 +116,7 @@ def read_layout(
     elif bad_rows == "fail":
         raw = F.rtrim(F.col(_RAW), F.lit("\r\n"))
         surplus = F.col(_EXTRA).isNotNull() | F.coalesce(field_count(raw) > len(names), F.lit(True))
-        complaint = F.concat(F.lit("a row with more fields than the header in "), F.col("_metadata.file_path"))
+        complaint = F.concat(F.lit("a row with more fields than the header in "), F.col(_FILE))
         rows = rows.withColumn(_RAW, F.when(surplus, F.raise_error(complaint).cast("string")).otherwise(F.col(_RAW)))
         # the test is read, so no column pruning can take it away
         rows = rows.filter(F.col(_RAW).isNotNull())
@@ -105,7 +125,7 @@ def read_layout(
     columns = [F.col(f"`{n}`") for n in names]
     if not utf8:
         columns = [_decoded(c, fallback).alias(n) for c, n in zip(columns, names)]
-    return rows.select(*columns, F.col("_metadata.file_path").alias(_FILE))
+    return rows.select(*columns, _FILE)
 
 
 def missing_as_null(column: Column) -> Column:
@@ -119,6 +139,7 @@ def read_csv_robust(
     fallback: str | None = "windows-1252",
     bad_rows: str = "skip_long",
     na_strings: bool = True,
+    by_blocks: bool = False,
 ) -> DataFrame:
     """The named columns of every file, as strings, plus the file path in ``file``.
 
@@ -127,7 +148,7 @@ def read_csv_robust(
     """
     parts = []
     exactly = False
-    for (names, utf8), files in sorted(files_by_layout(spark, glob).items()):
+    for (names, utf8, crlf), files in sorted(files_by_layout(spark, glob).items()):
         if columns is None:
             columns, exactly = list(names), True
         if exactly and set(names) != set(columns):
@@ -137,7 +158,7 @@ def read_csv_robust(
         absent = [c for c in columns if c not in names]
         if absent:
             raise ValueError(f"no column {absent} in {files[0]} (has {list(names)})")
-        rows = read_layout(spark, list(names), sorted(files), utf8, fallback, bad_rows)
+        rows = read_layout(spark, list(names), sorted(files), utf8, fallback, bad_rows, by_blocks, crlf)
         parts.append(rows.select(F.col(_FILE).alias("file"), *[F.col(f"`{c}`") for c in columns]))
     if not parts:
         raise ValueError(f"no files in {glob}")
@@ -155,9 +176,10 @@ def read_labelled_dir(
     fallback: str = "windows-1252",
     bad_rows: str = "skip_long",
     others: tuple[str, ...] = (),
+    by_blocks: bool = False,
 ) -> DataFrame:
     """Posts (label, text) from a folder; the label comes from the file path."""
-    rows = read_csv_robust(spark, glob, [text, *others], fallback, bad_rows)
+    rows = read_csv_robust(spark, glob, [text, *others], fallback, bad_rows, by_blocks=by_blocks)
     return rows.select(
         label_from_file(label_pattern, F.col("file")).alias("label"), F.col(f"`{text}`").alias("text"), *others
     )
@@ -170,15 +192,16 @@ def read_reviews(
     na_strings: bool = True,
     bad_rows: str = "fail",
     fallback: str | None = None,
+    by_blocks: bool = False,
 ) -> DataFrame:
     """One review CSV, or a folder of part files with the same columns in any order.
 
     Column names come from each file's header line, types from ``types`` (string
     otherwise); a cell that does not convert is null. Reading is strict: a row with more
     fields than the header, or a file that is not valid UTF-8, is an error, unless
-    ``bad_rows`` or ``fallback`` say what to do with it.
+    ``bad_rows`` or ``fallback`` say what to do with it. ``by_blocks`` is for files that one task should not read alone.
     """
-    rows = read_csv_robust(spark, path, None, fallback, bad_rows, na_strings=False).drop("file")
+    rows = read_csv_robust(spark, path, None, fallback, bad_rows, na_strings=False, by_blocks=by_blocks).drop("file")
     types = REVIEW_TYPES if types is None else types
 
     def typed(name: str) -> Column:

@@ -60,11 +60,11 @@ def column_names(header: str) -> list[str]:
     return names
 
 
-def files_by_layout(spark: SparkSession, glob: str | list[str]) -> dict[tuple[tuple[str, ...], bool], list[str]]:
-    """(column names, is UTF-8) -> files. The driver sees one line per file, which is
-    what it lists anyway to plan the read."""
-    layouts: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
+def files_by_layout(spark: SparkSession, glob: str | list[str]) -> dict[tuple[tuple[str, ...], bool, bool], list[str]]:
+    """(column names, is UTF-8, header ends in a carriage return) -> files. The driver sees one line per file,
+    which is what it lists anyway to plan the read."""
+    layouts: dict[tuple[tuple[str, ...], bool, bool], list[str]] = defaultdict(list)
     rows = profile_files(spark, glob).select("file", F.make_valid_utf8("header").alias("header"), "utf8")
     for row in rows.toLocalIterator():
-        layouts[(tuple(column_names(row["header"])), row["utf8"])].append(escaped(unquote(row["file"])))
+        layouts[(tuple(column_names(row["header"])), row["utf8"], row["header"].endswith("\r"))].append(escaped(unquote(row["file"])))
     return layouts
