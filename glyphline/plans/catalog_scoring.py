@@ -9,6 +9,7 @@ from glyphline.operators import dedup as dd
 from glyphline.operators import emotion as em
 from glyphline.operators import models as ml
 from glyphline.operators import profile as pf
+from glyphline.operators import scorer as sc
 from glyphline.operators import sentiment as st
 from glyphline.operators import suggest as sg
 from glyphline.operators.frequency import symbol_counts_by
@@ -166,6 +167,30 @@ def e6_label_with(spark, sf):
     return em.label_with(docs, length_scorer, "text").select("doc_id", "emotion")
 
 
+@query(
+    r"""SELECT doc_id, n > 200 AS truncated, CASE WHEN n < 5 THEN 'ValueError: too short' WHEN n = 60 THEN 'no label' END AS reason,
+      CASE WHEN n < 5 OR n = 60 THEN NULL WHEN n >= 200 THEN 'long' WHEN n > 60 THEN 'middle' ELSE 'brief' END AS emotion
+    FROM (SELECT doc_id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM documents)"""
+)
+def e6_label_batches(spark, sf):
+    # defined here, so that it travels with the plan and workers need not import this module
+    def batch_scorer():
+        def one(n):
+            rest = 0.5 if 60 < n < 200 else 0.0
+            return [] if n == 60 else [("brief", 0.4 if n < 60 else 0.1), ("middle", rest), ("long", 0.9 if n >= 200 else 0.2)]
+
+        def score(texts):
+            sizes = [len(t.split()) for t in texts]
+            if min(sizes) < 5:
+                raise ValueError("too short")
+            return [one(n) for n in sizes]
+
+        return score
+
+    docs = b.documents(spark, sf, "doc_id", "text")
+    return sc.label_batches(docs, batch_scorer, "text", limit=200).select("doc_id", "emotion", "reason", "truncated")
+
+
 @query(
     f"""WITH {_emotion('documents')} SELECT doc_id, max(n)::BIGINT AS n,
       (list(emotion ORDER BY n DESC, emotion))[1] AS emotion FROM ec GROUP BY doc_id"""

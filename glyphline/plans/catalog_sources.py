@@ -11,6 +11,8 @@ from glyphline.plans.catalog_symbols import CLS
 from glyphline.plans.registry import query
 from glyphline.session import scratch_path
 from glyphline.sources import audit, csv, tables
+from glyphline.sources.contract import read_parts
+from glyphline.sources.publish import Published
 
 PATH_LABEL = r"/grp=([^/]+)/"
 
@@ -224,6 +226,22 @@ def s6_read_dataset(spark, sf):
     return tables.read_dataset(spark, f"{sf}/documents.parquet").select("doc_id", "source", "n_chars")
 
 
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN source END AS source, n_chars,
+      CASE WHEN doc_id % 3 = 2 THEN n_chars / 4 ELSE n_chars % 7 END::DOUBLE AS score FROM documents"""
+)
+def s6_read_parts(spark, sf):
+    """Parts with an added column, a widened integer, and a column that turned from integers to doubles."""
+    docs = b.documents(spark, sf, "doc_id", "source", "n_chars")
+    root = scratch_path(spark, "dataset")
+    part = lambda k: docs.filter(F.col("doc_id") % 3 == k)
+    score = (F.col("n_chars") % 7).cast("int").alias("score")
+    part(0).select(F.col("doc_id").cast("int").alias("doc_id"), F.col("n_chars").cast("int").alias("n_chars"), score).write.parquet(f"{root}/a")
+    part(1).select("source", "doc_id", F.col("n_chars").cast("int").alias("n_chars"), score).write.parquet(f"{root}/b")
+    part(2).select("doc_id", "source", "n_chars", (F.col("n_chars") / 4).alias("score")).write.parquet(f"{root}/c")
+    return read_parts(spark, root, "doc_id bigint, source string, n_chars bigint, score double")
+
+
 @query(
     f"""SELECT doc_id, text, to_json(regexp_extract_all(text, '{CLS}'))::VARCHAR AS symbols
     FROM documents WHERE regexp_matches(text, '{CLS}')"""
@@ -247,3 +265,23 @@ def s8_labelled_or_compute(spark, sf):
     tables.labelled_or_compute(spark, path, compute)
     cached = tables.labelled_or_compute(spark, path, lambda: spark.sql("SELECT raise_error('computed twice')"))
     return cached.groupBy("emotion").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""WITH {_emotion('documents')} SELECT emotion, count(*)::BIGINT AS n, 'all' AS version FROM dom GROUP BY emotion
+    UNION ALL SELECT emotion, count(*)::BIGINT, 'even' FROM dom WHERE doc_id % 2 = 0 GROUP BY emotion"""
+)
+def s8_published(spark, sf):
+    """The labels of two inputs, each computed once and found again by its key."""
+    cache = Published(spark, scratch_path(spark, "published"))
+    docs = b.documents(spark, sf, "doc_id", "text")
+
+    def labels(rows):
+        return em.labelled(rows, b.emotions(spark), "text", "doc_id").filter(F.col("emotion").isNotNull())
+
+    parts = []
+    for version, rows in (("all", docs), ("even", docs.filter("doc_id % 2 = 0"))):
+        cache.get(lambda rows=rows: labels(rows), rows, lexicon=b.EMOTIONS)
+        again = cache.get(lambda: spark.sql("SELECT raise_error('computed twice')"), rows.repartition(3), lexicon=b.EMOTIONS)
+        parts.append(again.groupBy("emotion").agg(F.count(F.lit(1)).alias("n")).withColumn("version", F.lit(version)))
+    return parts[0].unionByName(parts[1])

@@ -19,11 +19,13 @@ from glyphline.operators import frequency as fq
 from glyphline.operators import groups as gr
 from glyphline.operators import pairs as pr
 from glyphline.operators import profile as pf
+from glyphline.operators import reach as rc
 from glyphline.operators.polarity import restrict_labels
 from glyphline.operators.sentiment import symbol_sentiment
 from glyphline.operators.suggest import ranked_model
 from glyphline.plans import bindings as b
 from glyphline.plans.registry import query
+from glyphline.session import scratch_path
 
 CLS = "[éèêçäöüßñíóÉÈÊÇÄÖÜÑÍÓ|%*&$#!+=@-]"
 SEQUENCES = ["!", "!!", "é", "éè", "ß", "%%", "ü"]
@@ -314,6 +316,25 @@ def a5_items_per_symbol(spark, sf):
     return pf.symbol_reach(rows).select("symbol", "items")
 
 
+@query(f"WITH {D} SELECT symbol, count(*)::BIGINT AS reviews, count(DISTINCT source)::BIGINT AS items FROM d GROUP BY symbol")
+def a5_items_by_sketch(spark, sf):
+    rows = b.symbol_rows(spark, sf, "source").withColumnRenamed("source", "item_id")
+    return rc.reach(rc.reach_sketches(rows))
+
+
+@query(f"WITH {D} SELECT symbol, count(*)::BIGINT AS reviews, true AS within FROM d GROUP BY symbol")
+def a5_sketches_of_batches(spark, sf):
+    """Documents per symbol from the sketches of three batches, one of which comes twice, against the exact number."""
+    rows = b.symbol_rows(spark, sf, "doc_id")
+    path = scratch_path(spark, "reach")
+    for batch in (0, 1, 2, 1):
+        rc.update_reach(rows.filter(F.col("doc_id") % 3 == batch), path, batch, "doc_id")
+    found = rc.reach(rc.read_reach(spark, path))
+    exact = fq.exploded(rows, "doc_id", once_per_row=True).groupBy("symbol").agg(F.count_distinct("doc_id").alias("n"))
+    within = F.abs(F.col("items") - F.col("n")) <= F.greatest(F.lit(1.0), rc.error_bound() * F.col("n"))
+    return found.join(exact, "symbol").select("symbol", "reviews", within.alias("within"))
+
+
 COMPANY = """x AS (SELECT doc_id, count(*) - 1 AS others FROM d GROUP BY doc_id),
   y AS (SELECT a.symbol, count(DISTINCT z.symbol) AS partners FROM d a JOIN d z ON a.doc_id = z.doc_id AND a.symbol <> z.symbol GROUP BY a.symbol)"""
 

@@ -179,7 +179,7 @@ def test_a_matrix_loses_no_cell_in_silence(spark, rows):
     assert rows(pairs.to_matrix(cells, "symbol", "lang", "n", ["de", "en"], checked=False)) == [("s", 1, 0)]
 
 
-PYTHON_ALLOWED = {"e6_label_with"}
+PYTHON_ALLOWED = {"e6_label_with", "e6_label_batches"}
 
 
 def test_plans_have_no_cross_join_and_no_python(spark, sf_dir):
