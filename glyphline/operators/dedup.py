@@ -84,11 +84,14 @@ def _firsts(df: DataFrame, columns: list[str], order: str) -> DataFrame:
     """The rows with the least order of each combination of the columns.
 
     Digests and orders are aggregated, which hashes and never sorts a text; a row copied a
-    billion times is folded by every task before the shuffle. The rows themselves are
-    picked by their order afterwards.
+    billion times is folded by every task before the shuffle. Only combinations that occur again go
+    on: the orders of their later rows are looked up by digest, and those rows leave by an anti join. While
+    copies are few, Spark broadcasts both short sides and no text moves.
     """
-    least = df.groupBy(row_digest(df, columns).alias("_digest")).agg(F.min(order).alias(order))
-    return df.join(least.select(order), order, "left_semi")
+    digests = df.select(row_digest(df, columns).alias("_digest"), F.col(order).alias("_order"))
+    repeated = digests.groupBy("_digest").agg(F.min("_order").alias("_least"), F.count(F.lit(1)).alias("_n"))
+    later = digests.join(repeated.filter(F.col("_n") > 1), "_digest").filter(F.col("_order") > F.col("_least"))
+    return df.join(later.select(F.col("_order").alias(order)), order, "left_anti")
 
 
 def dedup_scalar(df: DataFrame, order: str) -> DataFrame:

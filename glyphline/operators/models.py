@@ -9,7 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, CountVectorizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from glyphline.operators.profile import FEATURES
 
@@ -42,7 +42,8 @@ def _with_vector(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
 def fit_clusters(profile: DataFrame, k: int = 5, seed: int = 42, cols: list[str] = FEATURES):
     """(rows with a cluster number, fitted model); a row that lacks a feature has a null cluster."""
     ready, rest = _with_vector(profile, cols)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(ready)
+    # to a fixed point: a profile has few rows, and a centre then is the mean of its members
+    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", maxIter=200, tol=0.0).fit(ready)
     return model.transform(ready).unionByName(rest, allowMissingColumns=True), model
 
 
@@ -67,6 +68,29 @@ def distance_to_centres(profile: DataFrame, k: int = 5, seed: int = 42, cols: li
     return placed.select("symbol", "cluster", (own <= F.array_min(away) + 1e-9).alias("nearest"))
 
 
+def cluster_quality(profile: DataFrame, k: int = 5, seed: int = 42, cols: list[str] = FEATURES) -> DataFrame:
+    """One line: ``rated`` rows and ``clusters`` among them; ``centre_gap``, the largest distance in one feature
+    between a centre and the mean of its members (zero where the iteration has come to rest); and ``spread``,
+    the squared distances to the centres as a share of those to the mean of all rows."""
+    placed, model = fit_clusters(profile, k, seed, cols)
+    rows = placed.filter(F.col("cluster").isNotNull()).withColumn("_v", vector_to_array("features"))
+    centres = F.array(*[F.array(*map(F.lit, centre.tolist())) for centre in model.clusterCenters()])
+    cells = rows.select("cluster", F.posexplode("_v").alias("j", "x"))
+    cells = cells.withColumn("c", F.get(F.get(centres, F.col("cluster")), F.col("j")))
+    members = cells.groupBy("cluster", "j").agg(
+        F.abs(F.avg("x") - F.first("c")).alias("gap"), F.sum((F.col("x") - F.col("c")) ** 2).alias("own"),
+        F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") ** 2).alias("q"),
+    )
+    total = members.groupBy("j").agg(
+        F.max("gap").alias("gap"), F.sum("own").alias("own"), F.sum("n").alias("n"),
+        (F.sum("q") - F.sum("s") ** 2 / F.sum("n")).alias("all"), F.count(F.lit(1)).alias("clusters"),
+    )
+    return total.agg(
+        F.max("n").alias("rated"), F.max("clusters").alias("clusters"), F.max("gap").alias("centre_gap"),
+        (F.sum("own") / F.sum("all")).alias("spread"),
+    )
+
+
 def pca2(profile: DataFrame, cols: list[str] = FEATURES, components: int = 2) -> DataFrame:
     """All symbols with coordinates on the first components, null for symbols without any
     rating. The sign of a component is fixed: its largest loading is positive."""
@@ -147,6 +171,21 @@ def fit_symbol_classifier(
     ).fit(known)
 
 
+def held_out_accuracy(
+    df: DataFrame, test: Column, label: str = "emotion", trees: int = 100, seed: int = 42, depth: int = 5
+) -> DataFrame:
+    """One line on the labelled rows where ``test`` holds, by a forest fitted on the others: ``rows``, ``right``, and
+    ``majority``, how many have the label that is most frequent among the rows of the fit."""
+    known = df.filter(F.col(label).isNotNull())
+    fit, held = known.filter(~test), known.filter(test)
+    model = fit_symbol_classifier(fit, label, trees, seed, depth)
+    usual = fit.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.max_by(label, F.struct("_n", label))).scalar()
+    return predicted_labels(model, held).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("predicted") == F.col(label)).alias("right"),
+        F.count_if(F.col(label) == usual).alias("majority"),
+    )
+
+
 def predicted_labels(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:
     """Predict for rows with or without a known label."""
     vectors, indexer, forest = model.stages

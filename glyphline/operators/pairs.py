@@ -69,12 +69,16 @@ def to_matrix(
 ) -> DataFrame:
     """Wide, zero-filled form of a reduced long table.
 
-    Without ``columns`` every value that occurs has one, in order: the values of a reduced
-    table are as few as a wide table can have columns. With ``columns`` a cell outside them
-    is an error, or left out on purpose with ``checked=False``.
+    Without ``columns`` every value that occurs has one, in order; more values than a pivot may have
+    (spark.sql.pivotMaxValues) are an error, and no more than that reach the driver. With ``columns`` a
+    cell outside them is an error, or left out on purpose with ``checked=False``.
     """
     if columns is None:
-        columns = sorted(r[0] for r in long.select(col).distinct().collect() if r[0] is not None)
+        most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = long.select(col).filter(F.col(col).isNotNull()).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{col} has more than {most} values: reduce the table first")
+        columns = sorted(r[0] for r in found)
     if checked:
         outside = F.raise_error(F.concat(F.lit(f"a cell outside the columns of {col}: "), F.coalesce(F.col(col).cast("string"), F.lit("null"))))
         long = long.withColumn(col, F.when(F.col(col).isin(columns), F.col(col)).otherwise(outside.cast(long.schema[col].dataType)))

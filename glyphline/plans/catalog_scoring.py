@@ -491,6 +491,19 @@ def m2_cluster_symbols(spark, sf):
     return ml.distance_to_centres(_profile(spark, sf)).select("symbol", "nearest")
 
 
+@query(
+    PROFILE_SQL + """ SELECT count(*) FILTER (avg_rating IS NOT NULL)::BIGINT AS rated, 5::BIGINT AS clusters,
+      0.0::DOUBLE AS centre_gap, true AS apart FROM profile"""
+)
+def m2_cluster_centres(spark, sf):
+    """Five clusters, each centre the mean of its members, and most of the spread between the clusters."""
+    found = ml.cluster_quality(_profile(spark, sf))
+    return found.select(
+        "rated", F.col("clusters").cast("bigint").alias("clusters"), F.round("centre_gap", 6).alias("centre_gap"),
+        (F.col("spread") < 0.5).alias("apart"),
+    )
+
+
 @query(
     """SELECT * FROM (VALUES (1::BIGINT, 1::BIGINT, 1.0::DOUBLE, 0.0::DOUBLE), (1, 2, 0.0, 0.0), (2, 2, 1.0, 0.0))
     AS t(axis, other, product, residual)"""
@@ -534,3 +547,13 @@ def m5_symbol_classifier(spark, sf):
     model = ml.fit_symbol_classifier(labelled)
     found = ml.predicted_labels(model, labelled)
     return found.groupBy("emotion").agg(F.count(F.lit(1)).alias("rows"), F.count("predicted").alias("predicted"))
+
+
+@query(f"WITH {S} SELECT count(*)::BIGINT AS rows, true AS learned FROM s WHERE doc_id % 5 = 0")
+def m5_held_out(spark, sf):
+    """A planted label, whether é or ü is among a row's symbols, on rows that the forest has not seen:
+    better than always the most frequent label, by more than half of what that leaves."""
+    rows = checkpointed(b.symbol_rows(spark, sf, "doc_id"))
+    rows = rows.withColumn("emotion", F.when(F.arrays_overlap("symbols", F.array(F.lit("é"), F.lit("ü"))), "joy").otherwise("trust"))
+    found = ml.held_out_accuracy(rows, F.col("doc_id") % 5 == 0, trees=30)
+    return found.select("rows", (2 * F.col("right") > F.col("rows") + F.col("majority")).alias("learned"))

@@ -243,19 +243,42 @@ def a19_bigram_collocations(spark, sf):
     return found.withColumn("score", F.round("score", 4))
 
 
-@query(
-    f"""{NEIGHBOURS}, f AS MATERIALIZED (SELECT u.word, coalesce(b.word, u.word) AS std FROM u LEFT JOIN u b
-      ON u.word = b.word || 's' AND u.word NOT LIKE '%ss'),
-    m AS MATERIALIZED (SELECT std, sum(n) AS n FROM f JOIN u USING (word) GROUP BY std),
-    b AS MATERIALIZED (SELECT w1, w2, w1 || ' ' || w2 AS s, c12 FROM c),
-    bm AS MATERIALIZED (SELECT coalesce(o.w1, b.w1) AS w1, coalesce(o.w2, b.w2) AS w2, sum(b.c12) AS c12 FROM b LEFT JOIN b o
-      ON b.s = o.s || 's' AND b.s NOT LIKE '%ss' GROUP BY 1, 2),
-    x AS MATERIALIZED (SELECT w1, w2, f1.std AS s1, f2.std AS s2, c12::DOUBLE AS c12, m1.n::DOUBLE AS c1, m2.n::DOUBLE AS c2,
-        (SELECT sum(n) FROM u)::DOUBLE AS nn
-      FROM bm JOIN f f1 ON f1.word = w1 JOIN f f2 ON f2.word = w2 JOIN m m1 ON m1.std = f1.std JOIN m m2 ON m2.std = f2.std),
+# every join is by equality of two columns: the singular of a term that may be a plural is a column of its own
+SINGULAR = "CASE WHEN {0} LIKE '%s' AND {0} NOT LIKE '%ss' THEN left({0}, length({0}) - 1) END"
+MERGED = f"""{NEIGHBOURS},
+    us AS MATERIALIZED (SELECT word, n, {SINGULAR.format('word')} AS base FROM u),
+    f AS MATERIALIZED (SELECT us.word, us.n, coalesce(b.word, us.word) AS std FROM us LEFT JOIN u b ON b.word = us.base),
+    m AS MATERIALIZED (SELECT std, sum(n) AS n FROM f GROUP BY std),
+    b AS MATERIALIZED (SELECT w1, w2, w1 || ' ' || w2 AS s, c12, {SINGULAR.format("(w1 || ' ' || w2)")} AS base FROM c),
+    bm AS MATERIALIZED (SELECT coalesce(o.w1, b.w1) AS w1, coalesce(o.w2, b.w2) AS w2, sum(b.c12) AS c12
+      FROM b LEFT JOIN b o ON o.s = b.base GROUP BY 1, 2),
+    k AS MATERIALIZED (SELECT f.word, f.std, m.n FROM f JOIN m ON m.std = f.std),
+    nn AS MATERIALIZED (SELECT sum(n)::DOUBLE AS nn FROM u),
+    x AS MATERIALIZED (SELECT w1, w2, k1.std AS s1, k2.std AS s2, c12::DOUBLE AS c12, k1.n::DOUBLE AS c1, k2.n::DOUBLE AS c2, nn
+      FROM bm JOIN k k1 ON k1.word = w1 JOIN k k2 ON k2.word = w2, nn),
     {SCORE}, hit AS MATERIALIZED (SELECT * FROM z WHERE score > 30),
-    taken AS MATERIALIZED (SELECT word, sum(c12) AS n FROM (SELECT s1 AS word, c12 FROM hit UNION ALL SELECT s2, c12 FROM hit) GROUP BY word)
-    SELECT std AS word, (m.n - coalesce(taken.n, 0))::BIGINT AS n FROM m LEFT JOIN taken ON std = word
+    taken AS MATERIALIZED (SELECT word, sum(c12) AS n FROM (SELECT s1 AS word, c12 FROM hit UNION ALL SELECT s2, c12 FROM hit) GROUP BY word)"""
+
+
+@query(
+    f"""{MERGED} SELECT std AS word, (m.n - coalesce(taken.n, 0))::BIGINT AS n FROM m LEFT JOIN taken ON std = word
+    WHERE m.n > coalesce(taken.n, 0)"""
+)
+def a19_cloud_words(spark, sf):
+    """The single words of the cloud, without the occurrences that collocations take."""
+    found = tm.cloud_frequencies(b.documents(spark, sf, "text"), b.stopwords(spark), "text")
+    return found.filter(~F.contains("word", F.lit(" ")))
+
+
+@query(f"{MERGED} SELECT w1 || ' ' || w2 AS word, c12::BIGINT AS n FROM hit")
+def a19_cloud_pairs(spark, sf):
+    """The collocations of the cloud."""
+    found = tm.cloud_frequencies(b.documents(spark, sf, "text"), b.stopwords(spark), "text")
+    return found.filter(F.contains("word", F.lit(" ")))
+
+
+@query(
+    f"""{MERGED} SELECT std AS word, (m.n - coalesce(taken.n, 0))::BIGINT AS n FROM m LEFT JOIN taken ON std = word
     WHERE m.n > coalesce(taken.n, 0) UNION ALL SELECT w1 || ' ' || w2, c12::BIGINT FROM hit"""
 )
 def a19_cloud_terms(spark, sf):

@@ -165,3 +165,34 @@ def test_emotion_in_row_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("x z",), ("y",), ("x y",), ("z z y",), ("none",), (None,)], "text string")
     found = [r["emotion"] for r in emotion_in_row(df, look_up, "text").collect()]
     assert found == ["anger", "fear", "joy", "anger", None, None]
+
+
+def test_cluster_quality_finds_wrong_centres(spark, symbol_profile, monkeypatch):
+    good = models.cluster_quality(symbol_profile).first()
+    assert good["clusters"] == 5 and good["centre_gap"] < 1e-9 and good["spread"] < 0.5
+    fitted = models.fit_clusters
+
+    def shuffled(profile, k=5, seed=42, cols=profile.FEATURES):
+        placed, model = fitted(profile, k, seed, cols)
+        number = F.when(F.col("cluster").isNotNull(), F.pmod(F.xxhash64("symbol"), F.lit(k)).cast("int"))
+        return placed.withColumn("cluster", number), model
+
+    monkeypatch.setattr(models, "fit_clusters", shuffled)
+    bad = models.cluster_quality(symbol_profile).first()
+    assert bad["centre_gap"] > 0.1 and bad["spread"] > good["spread"]
+
+
+def test_held_out_accuracy(spark):
+    df = spark.range(400).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.array(F.lit("a"))).otherwise(F.array(F.lit("b"), F.lit("c"))).alias("symbols"),
+        F.when(F.col("id") % 50 == 1, None).when(F.col("id") % 3 == 0, "joy").otherwise("fear").alias("emotion"),
+    )
+    test = F.col("id") % 4 == 0
+    found = models.held_out_accuracy(df, test, trees=10).first()
+    held = df.filter(test & F.col("emotion").isNotNull())
+    assert found["rows"] == found["right"] == held.count()
+    assert found["majority"] == held.filter("emotion = 'fear'").count()
+    noise = df.withColumn("symbols", F.array(F.lit("x")))
+    found = models.held_out_accuracy(noise, test, trees=5).first()
+    assert found["right"] == found["majority"] < found["rows"]

@@ -206,3 +206,23 @@ def test_top_k_needs_no_full_sort(spark, sf_dir):
 def test_scans_read_only_what_is_needed(spark, sf_dir):
     plan = contract.queries()["a1_symbol_counts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<text:string>" in plan
+
+
+def test_a_matrix_has_a_bounded_width(spark, request):
+    spark.conf.set("spark.sql.pivotMaxValues", "3")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.pivotMaxValues"))
+    cells = spark.range(4).selectExpr("'s' AS symbol", "concat('c', id) AS lang", "1L AS n")
+    with pytest.raises(ValueError, match="more than 3 values"):
+        pairs.to_matrix(cells, "symbol", "lang", "n")
+    assert pairs.to_matrix(cells.filter("lang < 'c3'"), "symbol", "lang", "n").columns == ["symbol", "c0", "c1", "c2"]
+
+
+def test_few_copies_move_no_row(spark):
+    """Rows leave by a broadcast of the few later copies; nothing but digests is shuffled."""
+    df = spark.range(5000).select(F.col("id"), F.concat(F.lit("text "), F.least("id", F.lit(4990))).alias("text"))
+    kept = dedup.dedup_key(df, "text", "id")
+    assert kept.agg(F.count("*"), F.max("id")).first() == (4991, 4990)
+    rows = kept.collect()
+    assert len(rows) == 4991
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "SortMergeJoin" not in plan.split("Initial Plan")[0]
