@@ -129,8 +129,7 @@ def mix(
     sum, at most ``max_passes`` times the size. A null text has no words; the null source
     comes last; rows equal in id and size are told apart by nothing and share one place's
     words in any order; an empty table gives an empty result. Words taken of a source differ
-    from its target by less than a block, and at most a block for each shard when the
-    source is taken ``max_passes`` times.
+    from its target by less than a block; a source that is taken ``max_passes`` times is taken exactly so often.
     """
     sized = sizes(docs, id_col, text_col, source_col, seed)
     goal = targets(sized, weights, max_passes).withColumns({
@@ -144,17 +143,19 @@ def mix(
         "d.*", "s.source_size", "s.target", F.col("s.quota").alias("source_quota"),
         F.pmod(number, F.col("s.shards")).alias("shard"),
     )
+    # a source whose target is its cap is taken whole, whatever blocks its shards would get
+    capped = F.first(F.col("target") >= F.lit(max_passes) * F.col("source_size")).alias("capped")
     shards = dealt.groupBy("source", "shard").agg(
-        F.sum("size").alias("shard_size"), F.first("source_quota").alias("source_quota")
+        F.sum("size").alias("shard_size"), F.first("source_quota").alias("source_quota"), capped
     )
     quotas = sainte_lague(shards, ["source"], "shard", "shard_size", "source_quota")
     key = ["source", "shard"]
     start = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("q.shard"), F.col("q.source"))), 1, 8), 16, 10)
-    words = F.least(F.col("q.quota") * block_words, max_passes * F.col("q.shard_size"))
-    quotas = quotas.alias("q").filter("shard_size > 0").select(
-        *key, "shard_size",
-        F.expr(f"least(quota * {block_words}, {max_passes} * shard_size) div shard_size").alias("passes"),
-        F.pmod(words, F.col("q.shard_size")).alias("run"),
+    most = max_passes * F.col("q.shard_size")
+    words = F.when(F.col("q.capped"), most).otherwise(F.least(F.col("q.quota") * block_words, most))
+    quotas = quotas.alias("q").filter("shard_size > 0").withColumn("words", words).select(
+        *key, "shard_size", F.expr("words div shard_size").alias("passes"),
+        F.pmod(F.col("words"), F.col("shard_size")).alias("run"),
         F.pmod(start.cast("bigint"), F.col("q.shard_size")).alias("start"),
     )
     run_so_far = W.partitionBy(*key).orderBy("place", "doc_id").rowsBetween(W.unboundedPreceding, -1)
@@ -176,7 +177,10 @@ def mix(
 
 def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """The mixed table with the columns of ``docs``: a row for each whole pass over a document,
-    and one for the words of a partial pass, cut at words with the white space between."""
+    and one for the words of a partial pass, cut at words with the white space between.
+
+    A null or empty text has no words and gives no row; a null id or source is carried through; rows that are
+    equal in id, source and text are taken each by a plan of their own; an empty table stays empty."""
     plan = mix(docs, id_col, text_col, source_col, **settings)
     # repeated rows have equal plans but for the run, so each keeps its own plan by number
     numbered = W.partitionBy("doc_id", "source", "digest").orderBy("first", "extra")
@@ -237,14 +241,16 @@ h AS (
     ('0x' || substr(place, 1, 8))::BIGINT % t.shards AS shard
   FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source LEFT JOIN q ON p.source IS NOT DISTINCT FROM q.source),
 z AS (
-  SELECT source, shard, sum(size)::BIGINT AS shard_size, max(source_quota)::BIGINT AS source_quota FROM h GROUP BY source, shard),
+  SELECT source, shard, sum(size)::BIGINT AS shard_size, max(source_quota)::BIGINT AS source_quota,
+    bool_or(target >= {MAX_PASSES} * source_size) AS capped FROM h GROUP BY source, shard),
 r AS (
   SELECT source, shard, count(*)::BIGINT AS quota FROM (
     SELECT source, shard, source_quota, row_number() OVER (PARTITION BY source ORDER BY shard_size / (2 * k + 1) DESC, shard) AS place
     FROM (SELECT *, unnest(range(0, source_quota)) AS k FROM z WHERE shard_size > 0))
   WHERE place <= source_quota GROUP BY source, shard),
 m AS (
-  SELECT z.source, z.shard, shard_size, least(coalesce(quota, 0) * {BLOCK_WORDS}, {MAX_PASSES} * shard_size) AS words,
+  SELECT z.source, z.shard, shard_size,
+    CASE WHEN capped THEN {MAX_PASSES} * shard_size ELSE least(coalesce(quota, 0) * {BLOCK_WORDS}, {MAX_PASSES} * shard_size) END AS words,
     ('0x' || substr(md5(concat_ws(':', '{SEED}', z.shard::VARCHAR, z.source)), 1, 8))::BIGINT % shard_size AS starts
   FROM z LEFT JOIN r ON z.source IS NOT DISTINCT FROM r.source AND z.shard = r.shard WHERE shard_size > 0),
 a AS (

@@ -120,8 +120,7 @@ def test_mixing_stage(stages):
     was = {r["doc_id"]: r for r in before}
     for name, goal, size in zip(names, goals, sizes):
         own = [r for r in after if r["source"] == name]
-        shards = sum(r["source"] == name for r in before) ** 0.5 + 1
-        assert abs(sum(count(r["text"]) for r in own) - goal) <= mixing.BLOCK_WORDS * (1 + shards * (goal >= 3 * size))
+        assert abs(sum(count(r["text"]) for r in own) - goal) <= (0 if goal >= 3 * size else mixing.BLOCK_WORDS)
     for r in after:
         old = was[r["doc_id"]]["text"]
         assert r["text"] == old or r["text"].strip() in old + old
