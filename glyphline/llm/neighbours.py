@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 from math import isqrt
 
 import numpy as np
@@ -216,6 +217,11 @@ def _search(queries: DataFrame, lists: DataFrame, dim: int, neighbours: int) ->
     found = (
         asked.groupBy(*by).cogroup(rows.groupBy(*by)).applyInPandas(best, "query_id bigint, vec_id bigint, score double")
     )
+    return _ranked(found, neighbours)
+
+
+def _ranked(found: DataFrame, neighbours: int) -> DataFrame:
+    """The best of each query, each row once."""
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     nearest = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= neighbours).select(
@@ -230,7 +236,8 @@ def nearest(
     """query_id, rank, vec_id, score: neighbours by cosine of the rows whose id is divisible by ``every``.
 
     Vectors that are null or zero, or hold a null or a number that is not finite, and rows
-    without an id take no part; nor do vectors of another length than most. Rows that repeat
+    without an id take no part. Vectors of different lengths have no cosine: those of each length have
+    an index of their own, and a query's neighbours are among those of its length. Rows that repeat
     an id count once, with their best score; equal scores rank by the smaller id; an empty
     table gives an empty result. Only the two named columns are read.
     """
@@ -241,14 +248,17 @@ def nearest(
         .filter(F.col("vec_id").isNotNull() & vector.isNotNull())
         .filter(~F.exists(vector, bad) & F.exists(vector, lambda v: v != 0))
     )
-    shape = "query_id bigint, rank int, vec_id bigint, score double"
-    lengths = usable.groupBy(F.size(vector).alias("dim")).agg(F.count("*").alias("n"))
-    top = lengths.orderBy(F.desc("n"), "dim").first()
-    if top is None:
-        return vectors.sparkSession.createDataFrame([], shape)
-    dim, count = top["dim"], top["n"]
-    usable = usable.filter(F.size(vector) == dim)
-    index = vectors.sparkSession.sparkContext.broadcast(_fit(usable, dim, count, neighbours))
+    lengths = usable.groupBy(F.size(vector).alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").collect()
+    found = [_of_length(usable.filter(F.size(vector) == r["dim"]), r["dim"], r["n"], neighbours, every) for r in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    # an id may come with several lengths
+    return found[0] if len(found) == 1 else _ranked(reduce(DataFrame.unionByName, found), neighbours)
+
+
+def _of_length(usable: DataFrame, dim: int, count: int, neighbours: int, every: int) -> DataFrame:
+    """The neighbours among vectors of one length."""
+    index = usable.sparkSession.sparkContext.broadcast(_fit(usable, dim, count, neighbours))
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
