@@ -222,7 +222,10 @@ def redacted(text: str | Column, vocabulary: str | None = None, min_guesses: flo
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents with their secrets replaced; ``n_chars``, where there is one, follows the text."""
+    """The documents with their secrets replaced; ``n_chars``, where there is one, follows the text.
+
+    A null text stays null and has no characters; every row stays, repeated ones as well; an empty table stays empty.
+    """
     out = docs.withColumn(text_col, redacted(text_col))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length(text_col), F.lit(0)).cast("bigint"))

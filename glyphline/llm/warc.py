@@ -84,7 +84,9 @@ def write_archive(
 
     A payload is stored once: of the pages that share it, the row that is met first in the
     digest's group is written, whatever page it is from. The group is formed on map-side
-    combined rows, so copies of one payload do not meet in one task in full.
+    combined rows, so copies of one payload do not meet in one task in full. A null payload is stored as an empty
+    one; a null or repeated page_id has its header like any other; an empty table makes an empty archive; other
+    columns are not read.
     """
     heads = records(pages, id_col, url_col, payload_col, min_revisit)
     heads.select("page_id", "digest", "header").write.parquet(f"{path}/headers")
@@ -150,7 +152,11 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def import_files(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files as header block and payload; a file is read by one task."""
+    """Records of WARC files as header block and payload; a file is read by one task.
+
+    An empty file has no records; a record without payload has an empty one; records that repeat each stay. A file
+    whose last record is cut short, or has no Content-Length, is an error.
+    """
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInPandas(_parse, "header string, payload binary")
 
