@@ -19,9 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from glyphline.llm.common import as_text, query, table, whole, written
 
-#: Labelled rows the classifier is fitted on at most, and the features it keeps at most.
+#: Labelled rows the classifier is fitted on at most; that bounds the words that can become features.
 FIT_ROWS = 20_000
-MAX_FEATURES = 20_000
 #: Families of texts that must have a word, words that must have a beginning, and how clearly a word
 #: must point to toxic texts.
 MIN_FAMILIES = 3
@@ -32,8 +31,9 @@ MIN_SHARE = 0.4
 PREFIXES = (4, 5)
 #: Clean texts that every word is taken to have been seen in besides, and clean words of a beginning.
 PRIOR = 8
-#: How much the worst words of a text count, in order: long texts are no worse for their length.
-SHARES = (1.0, 1 / 3, 1 / 6, 1 / 12, 1 / 24)
+#: The worst word of a text counts in full, the second by this share, each further one half as much as the one before:
+#: long texts are no worse for their length.
+SECOND = 1 / 3
 THRESHOLD = 0.3
 CACHE = 300_000
 
@@ -45,6 +45,8 @@ LOOKS = {
 #: Channel costs, as log probabilities: a look-alike; a character dropped that looks like no letter, or
 #: that does; a repeated letter merged, or a repeated look-alike.
 LOOK, DROP, DROP_LOOK, MERGE, MERGE_LOOK = -0.7, -2.0, -10.0, -0.5, -4.0
+#: A look-alike dropped at either end of a token, where it may be punctuation; a word's end between letters spaced out.
+DROP_END, BREAK = -1.0, -0.5
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 SIZE = len(LETTERS) + 1  # 0 is the border of a word
 _NUMBER = {c: i + 1 for i, c in enumerate(LETTERS)}
@@ -55,7 +57,11 @@ _ENDS = ".,;:!?\"'`)]}>*$%&#|-_~…»”’"
 _STARTS = "\"'`([{<*%&#|-_~«“‘.,;:"
 _SPACED = re.compile(r"(?<!\S)\S(?:[ _.\-]\S){2,}(?!\S)")
 _LONG = re.compile(r"(.)\1\1")
-_SPLIT = re.compile(r"[-'’./_,;:?&=|]+")
+_DOUBLE = re.compile(r"(.)\1")
+_SPLIT = re.compile(r"[-'’./_,;:?&=]+")
+#: Marks at the ends of a token that look like letters; the others go.
+_MARKS = "".join(c for c in _ENDS + _STARTS if c in LOOKS)
+_PLAIN_ENDS, _PLAIN_STARTS = ("".join(c for c in marks if c not in LOOKS) for marks in (_ENDS, _STARTS))
 
 
 def _trigrams(texts: DataFrame) -> DataFrame:
@@ -92,60 +98,102 @@ def language_model(texts: DataFrame) -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def decode(token: str, model: np.ndarray) -> str:
-    """The likeliest word behind a token: Viterbi over the last two letters, one pass over the token."""
-    states = {(0, 0): (0.0, None)}
+def moves(token: str, at: int, state: tuple[int, int], model: np.ndarray, spaced: bool, inner: range):
+    """What the channel may do at one character: (next state, log probability, letter or 0, whether a word ended before).
+
+    A state is the last two letters. A letter stands for itself, or merges with the letter before it that it
+    repeats; another character stands for what it looks like, merges with the same one before it, or is dropped. In a
+    token of letters spaced out a word may end before each of them. ``inner`` are the places between the marks at the ends.
+    """
+    char, (a, b) = token[at], state
+    letter = _NUMBER.get(char)
+    options = [(letter, 0.0)] if letter else [(_NUMBER[c], LOOK) for c in LOOKS.get(char, "")]
+    repeated = at > 0 and token[at - 1] == char
+    for c, cost in options:
+        yield (b, c), cost + model[a][b][c], c, False
+        if spaced and b:
+            yield (0, c), cost + BREAK + model[a][b][0] + model[b][0][c], c, True
+    if letter:
+        if repeated:
+            yield state, MERGE, 0, False
+    else:
+        lost = (DROP_LOOK if at in inner else DROP_END) if options else DROP
+        yield state, max(lost, MERGE_LOOK) if options and repeated else lost, 0, False
+
+
+def _inner(token: str) -> range:
+    return range(len(token) - len(token.lstrip(_MARKS)), len(token.rstrip(_MARKS)))
+
+
+def decode(token: str, model: np.ndarray, spaced: bool = False) -> str:
+    """The likeliest word behind a token, or words with a space between them: Viterbi over the last two letters.
+
+    ``model`` is an array, or the same as lists, which are read faster one number at a time.
+    """
+    states = {(0, 0): 0.0}
     back = []
-    previous = ""
-    for char in token:
-        letter = _NUMBER.get(char)
-        options = [(letter, 0.0)] if letter else [(_NUMBER[c], LOOK) for c in LOOKS.get(char, "")]
+    inner = _inner(token)
+    for at, char in enumerate(token):
         reached: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for state, (score, _) in states.items():
-            a, b = state
-            moves = [((b, c), score + cost + float(model[a, b, c]), c) for c, cost in options]
-            if not letter:
-                lost = DROP_LOOK if options else DROP
-                moves.append((state, score + (MERGE_LOOK if options and char == previous else lost), 0))
-            elif char == previous:
-                moves.append((state, score + MERGE, 0))
-            for to, value, c in moves:
-                if to not in reached or value > reached[to][0]:
-                    reached[to] = (value, (state, c))
+        letter = _NUMBER.get(char)
+        if letter and not spaced and not (at and token[at - 1] == char):  # the only move: the letter stands for itself
+            for state, score in states.items():
+                a, b = state
+                value = score + model[a][b][letter]
+                if (b, letter) not in reached or value > reached[b, letter][0]:
+                    reached[b, letter] = (value, (state, letter, False))
+            back.append({to: how for to, (_, how) in reached.items()})
+            states = {to: value for to, (value, _) in reached.items()}
+            continue
+        for state, score in states.items():
+            for to, cost, c, broken in moves(token, at, state, model, spaced, inner):
+                if to not in reached or score + cost > reached[to][0]:
+                    reached[to] = (score + cost, (state, c, broken))
         back.append({to: how for to, (_, how) in reached.items()})
-        states = {to: (value, None) for to, (value, _) in reached.items()}
-        previous = char
-    state = max(states, key=lambda s: states[s][0] + float(model[s[0], s[1], 0]))
+        states = {to: value for to, (value, _) in reached.items()}
+    state = max(states, key=lambda s: states[s] + model[s[0]][s[1]][0])
     word = []
     for step in reversed(back):
-        state, c = step[state]
+        state, c, broken = step[state]
         if c:
-            word.append(LETTERS[c - 1])
+            word.append((" " if broken else "") + LETTERS[c - 1])
     return "".join(reversed(word))
 
 
 def restored(token: str, model: np.ndarray) -> list[str]:
-    """The words of one lower-case token without white space."""
-    token = token.lstrip(_STARTS).rstrip(_ENDS)
+    """The words of one lower-case token without white space; where marks at its ends or doubled letters may be
+    part of a disguise, the word as it stands and the restored one."""
+    token = token.lstrip(_PLAIN_STARTS).rstrip(_PLAIN_ENDS)
+    core = token.strip(_MARKS + _PLAIN_ENDS + _PLAIN_STARTS)
     if not token:
         return []
     if token.isalpha() and not _LONG.search(token):
-        return [token]
+        return [token, decode(token, model)] if _DOUBLE.search(token) else [token]
     pieces = [p for p in _SPLIT.split(token) if p]
     if len(pieces) > 2 and all(len(p) == 1 for p in pieces):
-        return restored("".join(pieces), model) if not "".join(pieces).isdigit() else []
+        return _spaced("".join(pieces), model)
     if len(pieces) > 1:
         return [w for p in pieces for w in restored(p, model)]
     if not any(c.isalpha() for c in token):
         return []
-    return [w] if (w := decode(token, model)) else []
+    found = [w] if (w := decode(token, model)) else []
+    if core != token and core.isalpha() and not _LONG.search(core):
+        found.append(core)
+    return found
+
+
+def _spaced(letters: str, model: np.ndarray) -> list[str]:
+    """The words behind letters that stood apart."""
+    if not any(c.isalpha() for c in letters):
+        return []
+    return [w for w in decode(letters, model, spaced=True).split(" ") if w]
 
 
 def _tokens(text: str) -> set[str]:
-    """The distinct lower-case tokens of a text; letters spaced out are one token, beside themselves."""
+    """The distinct lower-case tokens of a text; letters spaced out are one token, a space before it, beside themselves."""
     text = text.lower()
     found = set(text.split())
-    found.update(re.sub(r"[ _.\-]", "", m.group()) for m in _SPACED.finditer(text))
+    found.update(" " + re.sub(r"[ _.\-]", "", m.group()) for m in _SPACED.finditer(text))
     return found
 
 
@@ -153,12 +201,13 @@ class _Words(dict):
     """Token to its restored words, kept for tokens that come again."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model
+        self.model = model.tolist()
 
     def __missing__(self, token: str) -> tuple[str, ...]:
         if len(self) >= CACHE:
             self.clear()
-        words = self[token] = tuple(restored(token, self.model))
+        found = _spaced(token[1:], self.model) if token[0] == " " else restored(token, self.model)
+        words = self[token] = tuple(dict.fromkeys(found))
         return words
 
 
@@ -214,17 +263,15 @@ def _weights(examples: DataFrame) -> dict[str, float]:
     share = F.col("a") / (F.col("a") + F.col("b") + PRIOR)
     judged = words.select("feature", share.alias("weight"), z.alias("z"), (F.col("a") + F.col("b")).alias("seen"))
     telling = (F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_SHARE)
-    kept = judged.filter(telling & (F.col("seen") >= MIN_FAMILIES)).orderBy(F.desc("z"), "feature").limit(MAX_FEATURES)
+    kept = judged.filter(telling & (F.col("seen") >= MIN_FAMILIES))
     starts = [F.when(F.length("feature") > k, F.concat(F.left("feature", F.lit(k)), F.lit("-"))) for k in PREFIXES]
     begun = words.select("feature", "a", "b", F.explode(F.array_compact(F.array(*starts))).alias("start"))
     mostly = F.col("a") > F.col("b")
     by_start = begun.groupBy("start").agg(F.count_if(mostly).alias("a"), F.count_if(~mostly).alias("b"))
     by_start = by_start.select("start", "a", (F.col("a") / (F.col("a") + F.col("b") + PRIOR)).alias("weight"))
     by_start = by_start.filter((F.col("weight") >= MIN_SHARE) & (F.col("a") >= MIN_WORDS))
-    by_start = by_start.orderBy(F.desc("weight"), "start").limit(MAX_FEATURES)
-    # beginnings are MAX_FEATURES at most, so they are sent to every task
-    known = begun.filter(F.col("a") + F.col("b") >= MIN_FAMILIES).join(F.broadcast(by_start.select("start")), "start", "left_semi")
-    known = known.select("feature", "a", "b").distinct().orderBy(F.desc("b"), "feature").limit(MAX_FEATURES)
+    known = begun.filter(F.col("a") + F.col("b") >= MIN_FAMILIES).join(by_start.select("start"), "start", "left_semi")
+    known = known.select("feature").distinct()
     weights = {r["start"]: r["weight"] for r in by_start.collect()}
     weights |= {r["feature"]: 0.0 for r in known.collect()}
     return weights | {r["feature"]: r["weight"] for r in kept.collect()}
@@ -239,9 +286,10 @@ def _best(word: str, weights: dict[str, float]) -> float:
 
 def combined(found: list[float]) -> float:
     """The chance that a text is toxic, from its words: the worst counts in full, the next ones less."""
-    clean = 1.0
-    for p, part in zip(sorted(found, reverse=True), SHARES):
+    clean, part = 1.0, 1.0
+    for k, p in enumerate(sorted(found, reverse=True)):
         clean *= 1 - p * part
+        part = SECOND if k == 0 else part / 2
     return 1 - clean
 
 
