@@ -130,33 +130,28 @@ def decode(token: str, model: np.ndarray, spaced: bool = False) -> str:
 
     ``model`` is an array, or the same as lists, which are read faster one number at a time.
     """
-    states = {(0, 0): 0.0}
-    back = []
+    # a state's score, and its path as a chain of (what came before, letter, whether a word ended)
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     inner = _inner(token)
     for at, char in enumerate(token):
-        reached: dict[tuple[int, int], tuple[float, tuple]] = {}
+        reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         letter = _NUMBER.get(char)
         if letter and not spaced and not (at and token[at - 1] == char):  # the only move: the letter stands for itself
-            for state, score in states.items():
-                a, b = state
+            for (a, b), (score, path) in states.items():
                 value = score + model[a][b][letter]
                 if (b, letter) not in reached or value > reached[b, letter][0]:
-                    reached[b, letter] = (value, (state, letter, False))
-            back.append({to: how for to, (_, how) in reached.items()})
-            states = {to: value for to, (value, _) in reached.items()}
-            continue
-        for state, score in states.items():
-            for to, cost, c, broken in moves(token, at, state, model, spaced, inner):
-                if to not in reached or score + cost > reached[to][0]:
-                    reached[to] = (score + cost, (state, c, broken))
-        back.append({to: how for to, (_, how) in reached.items()})
-        states = {to: value for to, (value, _) in reached.items()}
-    state = max(states, key=lambda s: states[s] + model[s[0]][s[1]][0])
+                    reached[b, letter] = (value, (path, letter, False))
+        else:
+            for state, (score, path) in states.items():
+                for to, cost, c, broken in moves(token, at, state, model, spaced, inner):
+                    if to not in reached or score + cost > reached[to][0]:
+                        reached[to] = (score + cost, (path, c, broken) if c else path)
+        states = reached
+    _, (_, path) = max(states.items(), key=lambda item: item[1][0] + model[item[0][0]][item[0][1]][0])
     word = []
-    for step in reversed(back):
-        state, c, broken = step[state]
-        if c:
-            word.append((" " if broken else "") + LETTERS[c - 1])
+    while path:
+        path, c, broken = path
+        word.append((" " if broken else "") + LETTERS[c - 1])
     return "".join(reversed(word))
 
 
