@@ -8,17 +8,20 @@ record is its header block joined with its payload. ``export_files`` writes the
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from glyphline.llm.common import query, same, table, whole
+from glyphline.llm.common import query, same, table, whole, written
 from glyphline.session import scratch_path
 
 MIN_REVISIT_BYTES = 100
 CRLF = "\r\n"
 END = CRLF + CRLF
+GZIP = b"\x1f\x8b"
+RECORDS_PER_FILE = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -89,10 +92,10 @@ def write_archive(
     columns are not read.
     """
     heads = records(pages, id_col, url_col, payload_col, min_revisit)
-    heads.select("page_id", "digest", "header").write.parquet(f"{path}/headers")
+    heads.select("page_id", "digest", "header").write.option("compression", "zstd").parquet(f"{path}/headers")
     payload = whole(payload_col).cast("binary")
     stored = pages.select(F.sha2(payload, 256).alias("digest"), payload.alias("payload"))
-    stored.dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
+    stored.dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -129,23 +132,30 @@ def described(records_read: DataFrame) -> DataFrame:
     )
 
 
-def export_files(archive: DataFrame, path: str) -> None:
-    """Write records as WARC files: a response holds its payload, a revisit none."""
+def export_files(archive: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, compression: str = "gzip") -> None:
+    """Write records as WARC files, so many in a file at most: a response holds its payload, a revisit none."""
     is_response = header_field("header", "WARC-Type") == "response"
     body = F.when(is_response, F.col("payload").cast("string")).otherwise(F.lit(""))
-    archive.select(F.concat("header", body)).write.option("lineSep", END).text(path)
+    writer = archive.select(F.concat("header", body)).write.option("lineSep", END).option("compression", compression)
+    writer.option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for content in batch["content"]:
+            if content[:2] == GZIP:
+                content = gzip.decompress(content)
             found, at = [], 0
             while at < len(content):
-                end = content.index(END.encode(), at) + len(END)
+                if (end := content.find(END.encode(), at)) < 0:
+                    raise ValueError("a WARC file ends inside a record")
+                end += len(END)
                 header = content[at:end].decode()
                 length = next(
                     int(x.partition(":")[2]) for x in header.split(CRLF) if x.lower().startswith("content-length:")
                 )
+                if end + length + len(END) > len(content):
+                    raise ValueError("a WARC file ends inside a record")
                 found.append((header, content[end : end + length]))
                 at = end + length + len(END)
             yield pd.DataFrame(found, columns=["header", "payload"])
@@ -161,6 +171,33 @@ def import_files(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(_parse, "header string, payload binary")
 
 
+def resolved(files_read: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of records read from files.
+
+    A response's payload is digested again, and one that does not match its header ends the job; a revisit has the
+    length of the response with its digest, by a join of ids and digests. An id that is no number is null.
+    """
+    page = lambda name: F.regexp_extract(header_field("header", name), "^<urn:page:(.*)>$", 1).try_cast("bigint")
+    stated = F.regexp_replace(header_field("header", "WARC-Payload-Digest"), "^sha256:", "")
+    rows = files_read.select(
+        page("WARC-Record-ID").alias("page_id"), header_field("header", "WARC-Type").alias("record_type"), stated.alias("stated"),
+        page("WARC-Refers-To").alias("refers_to"), F.sha2("payload", 256).alias("digest"),
+        F.octet_length("payload").cast("bigint").alias("bytes"),
+    )
+    rows = written(rows, "records")
+    damaged = F.raise_error(F.concat(F.lit("damaged payload "), "stated")).cast("string")
+    responses = rows.filter("record_type = 'response'").select(
+        "page_id", F.col("bytes").alias("payload_bytes"),
+        F.when(F.col("stated") == F.col("digest"), F.col("digest")).otherwise(damaged).alias("payload_digest"),
+        "record_type", "refers_to",
+    )
+    lengths = responses.groupBy(F.col("payload_digest").alias("of")).agg(F.first("payload_bytes").alias("payload_bytes"))
+    revisits = rows.filter("record_type = 'revisit'").join(lengths, F.col("stated") == F.col("of"), "left")
+    return responses.unionByName(
+        revisits.select("page_id", "payload_bytes", F.col("stated").alias("payload_digest"), "record_type", "refers_to")
+    )
+
+
 @query(
     """
     WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -175,4 +212,5 @@ def import_files(spark: SparkSession, path: str) -> DataFrame:
 def op4_warc_archive(spark, sf):
     path = scratch_path(spark, "warc")
     write_archive(table(spark, sf, "pages"), path)
-    return described(read_archive(spark, path))
+    export_files(read_archive(spark, path), f"{path}/files")
+    return resolved(import_files(spark, f"{path}/files"))

@@ -280,6 +280,31 @@ def test_warc_round_trip(spark, tmp_path):
     is_response = warc.header_field("header", "WARC-Type") == "response"
     sent = records.select("header", F.when(is_response, F.col("payload")).otherwise(F.lit(b"")).alias("payload"))
     assert _by(back, "header", "payload") == _by(sent, "header", "payload")
+    # what the files say of themselves, several records in a file or one
+    assert _by(warc.resolved(back), *columns) == sorted(expected, key=repr)
+    warc.export_files(records, str(tmp_path / "single"), records_per_file=1, compression="none")
+    files = [p for p in (tmp_path / "single").iterdir() if p.name.startswith("part-")]
+    assert sum(p.read_bytes().startswith(b"WARC/1.1\r\n") for p in files) == len(pages)
+    assert _by(warc.resolved(warc.import_files(spark, str(tmp_path / "single"))), *columns) == sorted(expected, key=repr)
+
+
+def test_warc_files_notice_damage(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "page" * 50), (2, "u", "page" * 50)], "page_id bigint, url string, html string")
+    warc.write_archive(pages, str(tmp_path / "a"))
+    warc.export_files(warc.read_archive(spark, str(tmp_path / "a")), str(tmp_path / "w"), compression="none")
+    for part in (tmp_path / "w").glob("part-*"):
+        (tmp_path / "turned").mkdir(exist_ok=True)
+        (tmp_path / "cut").mkdir(exist_ok=True)
+        (tmp_path / "turned" / part.name).write_bytes(part.read_bytes().replace(b"pagepage", b"pageqage"))
+        (tmp_path / "cut" / part.name).write_bytes(part.read_bytes()[:-9])
+    with pytest.raises(Exception, match="damaged payload"):
+        warc.resolved(warc.import_files(spark, str(tmp_path / "turned"))).collect()
+    with pytest.raises(Exception, match="ends inside a record"):
+        warc.import_files(spark, str(tmp_path / "cut")).collect()
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    warc.write_archive(empty, str(tmp_path / "e"))
+    warc.export_files(warc.read_archive(spark, str(tmp_path / "e")), str(tmp_path / "ew"))
+    assert warc.resolved(warc.import_files(spark, str(tmp_path / "ew"))).collect() == []
 
 
 def test_warc_notices_damage(spark, tmp_path):
