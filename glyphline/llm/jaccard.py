@@ -23,6 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,11 +34,18 @@ WORDS = 4
 PERCENT = 85
 #: Cells of a part, and how many of them may differ.
 N2, K2 = 3, 1
-#: Shingles whose signatures are made together, words a task remembers, rows of a block of a bucket, and of a comparison.
+#: Shingles whose signatures are made together, bytes hashed together, rows of a block of a bucket, pairs compared together.
 CHUNK = 1 << 18
-MEMORY = 1 << 20
+PIECE = 1 << 16
 BLOCK = 4096
-ROWS = 128
+PAIRS = 1 << 18
+#: Documents whose sets are made together.
+DOCUMENTS = 256
+#: Bits of the short sketch, which goes along with a posting.
+SHORT = 512
+#: Ids are sent to every task while they are no more than this; beyond, what they pick moves to meet them.
+FEW = 1_000_000
+SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
 
 
@@ -46,31 +54,95 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     x *= _B
     x ^= x >> np.uint64(29)
     x *= _B
-    return x ^ (x >> np.uint64(32))
+    x ^= x >> np.uint64(32)
+    return x
 
 
-class Shingles:
-    """The set of shingles of a text, as sorted 64-bit hashes."""
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of lower-cased UTF-8, as arrays, some bytes at a time.
 
-    def __init__(self, words: int):
-        self.words = words
-        self._known: dict[bytes, int] = {}
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        parts = (text or b"").lower().split()
-        if not parts:
-            return np.zeros(0, np.uint64)
-        known = self._known
-        if len(known) > MEMORY:
-            known.clear()
-        for word in set(parts).difference(known):
-            known[word] = xxhash.xxh64_intdigest(word)
-        hashes = np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts))
-        width = min(self.words, len(parts))
-        rolled = hashes[: len(hashes) - width + 1]
-        for k in range(1, width):
-            rolled = _mixed(rolled * _A + hashes[k : len(hashes) - width + 1 + k])
-        return np.unique(rolled)
+    A word's hash is the sum of what its bytes are mixed to with their places in the word.
+    """
+    raw = np.frombuffer(data.lower(), np.uint8)
+    hashes, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    # a word that the bytes before have begun: its sum, length and first byte
+    total, length, first = np.zeros(1, np.uint64), 0, 0
+
+    def ended(sums: np.ndarray, lengths: np.ndarray, where: np.ndarray) -> None:
+        hashes.append(_mixed(sums + lengths.astype(np.uint64) * _C))
+        starts.append(where)
+
+    for at in range(0, len(raw), PIECE):
+        piece = raw[at : at + PIECE]
+        inside = ~SPACE[piece]
+        if length and not inside[0]:
+            ended(total, np.array([length]), np.array([first]))
+            length = 0
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        cuts = np.flatnonzero(begins)
+        if not len(cuts):
+            continue
+        # the piece begins with spaces or a word's first byte here, so the bytes before the first cut are spaces
+        ends = np.append(cuts[1:], len(piece))
+        place = np.arange(len(piece), dtype=np.uint64)
+        place[cuts[0] :] -= np.repeat(cuts.astype(np.uint64), ends - cuts)
+        place[: ends[0]] += np.uint64(length)
+        place <<= np.uint64(8)
+        place += piece
+        place += _A
+        mixed = _mixed(place)
+        mixed *= inside
+        sums = np.add.reduceat(mixed, cuts)
+        lengths = np.add.reduceat(inside.astype(np.int64), cuts)
+        where = cuts + at
+        if length:
+            sums[:1] += total
+            lengths[0] += length
+            where[0] = first
+            length = 0
+        if inside[-1]:
+            total, length, first = sums[-1:], int(lengths[-1]), int(where[-1])
+            sums, lengths, where = sums[:-1], lengths[:-1], where[:-1]
+        ended(sums, lengths, where)
+    if length:
+        ended(total, np.array([length]), np.array([first]))
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _rolled(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of so many words."""
+    out = hashes[: len(hashes) - words + 1]
+    for k in range(1, words):
+        out = _mixed(out * _A + hashes[k : len(hashes) - words + 1 + k])
+    return out
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
+
+
+def shingle_sets(texts: list[bytes | None], words: int) -> Iterator[np.ndarray]:
+    """The set of shingles of each text, as sorted 64-bit hashes; a text with fewer words is one shingle."""
+    at = 0
+    while at < len(texts):
+        size, to = 0, at
+        while to < len(texts) and (to == at or size < PIECE):
+            size += len(texts[to] or b"") + 1
+            to += 1
+        some = [t or b"" for t in texts[at:to]]
+        hashes, starts = word_hashes(b"\n".join(some))
+        rolled = _rolled(hashes, words) if len(hashes) >= words else hashes[:0]
+        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in some])).tolist()
+        low = 0
+        for high in ends:
+            if high - low >= words:
+                yield _distinct(rolled[low : high - words + 1])
+            else:
+                yield _rolled(hashes[low:high], high - low) if high > low else hashes[:0]
+            low = high
+        at = to
 
 
 def name(features: np.ndarray) -> str | None:
@@ -129,14 +201,19 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
             signature = key + np.uint64(choice)
             for c in chosen:
                 signature = _mixed(signature * _A + content[:, c])
-            found.append(signature)
+            # the last bit is the band's, so that a set knows which of its two bands a posting is for
+            found.append((signature & ~np.uint64(1)) | (band[owner] & 1).astype(np.uint64))
             of.append(owner)
     return np.concatenate(found).view(np.int64), np.concatenate(of)
 
 
-def sketch(features: np.ndarray, band: int, percent: int) -> bytes:
+def long_bits(band: int, percent: int) -> int:
+    """Bits of the long sketch, twice as many as sets of the band have shingles, so that it tells those just dissimilar."""
+    return 64 * max(2, int(2 * band_ends(percent)[band]) // 64)
+
+
+def sketch(features: np.ndarray, bits: int = SHORT) -> bytes:
     """Parities of the hashed shingles: two sets differ in at least as many places as their sketches."""
-    bits = 64 * max(2, int(2 * band_ends(percent)[band]) // 64)
     place = (_mixed(features + _C) >> np.uint64(32)) * np.uint64(bits) >> np.uint64(32)
     return np.packbits(np.bincount(place.astype(np.int64), minlength=bits) & 1).tobytes()
 
@@ -145,36 +222,48 @@ def _utf8(column: str):
     return as_text(column).cast("binary").alias("text")
 
 
+def _sized(ids: DataFrame) -> DataFrame:
+    """The ids, to be broadcast while their counted number allows."""
+    return F.broadcast(ids) if ids.count() <= FEW else ids
+
+
+def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """A few rows at a time, with their texts: a batch of long texts is not copied as a whole."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, DOCUMENTS):
+            part = batch.slice(at, DOCUMENTS)
+            yield part, part.column("text").to_pylist()
+
+
 def named_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """doc_id, digest of the text, n_shingles, node (the name of the set, null for the empty one)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles(words)
-        for batch in batches:
-            found = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "digest": batch["digest"], "n_shingles": [len(f) for f in found],
-                "node": pd.Series(map(name, found), dtype="object"),
-            })
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _some(batches):
+            sizes, names = [], []
+            for found in shingle_sets(texts, words):
+                sizes.append(len(found))
+                names.append(name(found))
+            columns = [part.column("doc_id"), part.column("digest"), pa.array(sizes, pa.int64()), pa.array(names, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "n_shingles", "node"])
 
     rows = docs.select(as_text(id_col).alias("doc_id"), text_key(text_col).alias("digest"), _utf8(text_col))
-    found = rows.mapInPandas(run, "doc_id string, digest bigint, n_shingles bigint, node string")
+    found = rows.mapInArrow(run, "doc_id string, digest bigint, n_shingles bigint, node string")
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 def postings(docs: DataFrame, text_col: str, words: int, percent: int) -> DataFrame:
     """signature, id (the locator of a set). A task signs for each set once, however many copies it reads."""
 
-    def framed(sets: list[np.ndarray], names: list[str]) -> pd.DataFrame:
+    def framed(sets: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
         signature, of = signatures(sets, percent)
-        return pd.DataFrame({"signature": signature, "id": locator(names)[of]})
+        return pa.RecordBatch.from_arrays([pa.array(signature), pa.array(locator(names)[of])], ["signature", "id"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, seen = Shingles(words), set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
         sets, names, held = [], [], 0
-        for batch in batches:
-            for text in batch["text"]:
-                found = shingles(text)
+        for _, texts in _some(batches):
+            for found in shingle_sets(texts, words):
                 own = name(found)
                 if own is None or own in seen:
                     continue
@@ -188,7 +277,7 @@ def postings(docs: DataFrame, text_col: str, words: int, percent: int) -> DataFr
         if sets:
             yield framed(sets, names)
 
-    return docs.select(_utf8(text_col)).mapInPandas(run, "signature bigint, id bigint")
+    return docs.select(_utf8(text_col)).mapInArrow(run, "signature bigint, id bigint")
 
 
 def buckets(rows: DataFrame) -> DataFrame:
@@ -217,7 +306,7 @@ def buckets(rows: DataFrame) -> DataFrame:
 
 
 def candidate_sets(docs: DataFrame, named: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """id, node, band, n, features and the sketches for the band (own) and the next (above), of sets in buckets.
+    """id, node, band, n, features, a short sketch, and long ones for the band (own) and the next (above), of sets in buckets.
 
     One document of each set is read again; several rows that repeat its id and text give the same set again.
     """
@@ -227,42 +316,44 @@ def candidate_sets(docs: DataFrame, named: DataFrame, ids: DataFrame, id_col: st
         .join(ids, F.col("at") == F.col("id"), "left_semi")
         .groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("first")).select("first.*")
     )
+    chosen = _sized(written(chosen, "chosen"))
     rows = docs.select(F.col(id_col).alias("own_id"), text_key(text_col).alias("own_digest"), _utf8(text_col))
     rows = rows.join(chosen, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_digest") == F.col("digest")), "left_semi")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles(words)
-        for batch in batches:
-            found = [shingles(t) for t in batch["text"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _some(batches):
+            found = list(shingle_sets(texts, words))
             names = [name(f) for f in found]
             band = band_of(np.array([len(f) for f in found], np.int64), percent)
-            yield pd.DataFrame({
-                "id": locator(names), "node": names, "band": band, "n": [len(f) for f in found],
-                "features": [f.tobytes() for f in found],
-                "own": [sketch(f, b, percent) for f, b in zip(found, band)],
-                "above": [sketch(f, b + 1, percent) for f, b in zip(found, band)],
+            yield pa.RecordBatch.from_pydict({
+                "id": pa.array(locator(names)), "node": pa.array(names, pa.string()), "band": pa.array(band, pa.int32()),
+                "n": pa.array([len(f) for f in found], pa.int64()),
+                "features": pa.array([f.tobytes() for f in found], pa.binary()),
+                "short": pa.array([sketch(f) for f in found], pa.binary()),
+                "own": pa.array([sketch(f, long_bits(b, percent)) for f, b in zip(found, band)], pa.binary()),
+                "above": pa.array([sketch(f, long_bits(b + 1, percent)) for f, b in zip(found, band)], pa.binary()),
             })
 
-    kinds = "id bigint, node string, band int, n bigint, features binary, own binary, above binary"
-    return rows.select("text").mapInPandas(run, kinds)
+    kinds = "id bigint, node string, band int, n bigint, features binary, short binary, own binary, above binary"
+    return rows.select("text").mapInArrow(run, kinds)
 
 
 def _matrix(sketches: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
 
 
-def sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b (nodes): the pairs of locators that sizes and sketches do not rule out."""
-    side = lambda s: sets.select(
-        F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("node", "band", "n", "own", "above")]
-    )
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    high = F.greatest("a_band", "b_band")
-    fit = lambda s: F.when(F.col(f"{s}_band") == high, F.col(f"{s}_own")).otherwise(F.col(f"{s}_above")).alias(f"{s}_sketch")
-    near = (F.abs(F.col("a_band") - F.col("b_band")) < 2) & (
-        100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
-    )
-    both = both.filter(near & (F.col("a_node") != F.col("b_node"))).select("a_node", "b_node", "a_n", "b_n", fit("a"), fit("b"))
+def _sides(pairs: DataFrame, sets: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The pairs with columns of both their sets. Sets that are in no pair stay where they are."""
+
+    def side(s: str) -> DataFrame:
+        wanted = sets.select(F.col(key).alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns])
+        return wanted.join(_sized(pairs.select(s).distinct()), s, "left_semi")
+
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def _close(pairs: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs of nodes whose sketches (a_sketch, b_sketch, of equal length) do not rule them out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -273,89 +364,106 @@ def sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 part = part[apart.sum(axis=1, dtype=np.int64) <= most[at]]
                 yield pd.DataFrame({"a": part["a_node"], "b": part["b_node"]})
 
-    found = both.mapInPandas(run, "a string, b string")
+    found = pairs.select("a_node", "b_node", "a_n", "b_n", "a_sketch", "b_sketch").mapInPandas(run, "a string, b string")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def by_short_sketch(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b (nodes): the pairs of locators that sizes and short sketches do not rule out."""
+    both = _sides(pairs, sets, "id", "node", "n", "short")
+    near = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    both = both.filter(near & (F.col("a_node") != F.col("b_node")))
+    return _close(both.withColumnsRenamed({"a_short": "a_sketch", "b_short": "b_sketch"}), percent)
+
+
+def by_long_sketch(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs of nodes that their long sketches do not rule out either."""
+    both = _sides(pairs, sets, "node", "band", "n", "own", "above")
+    high = F.greatest("a_band", "b_band")
+    fit = lambda s: F.when(F.col(f"{s}_band") == high, F.col(f"{s}_own")).otherwise(F.col(f"{s}_above"))
+    both = both.withColumnsRenamed({"a": "a_node", "b": "b_node"}).withColumns({"a_sketch": fit("a"), "b_sketch": fit("b")})
+    return _close(both, percent)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: the pairs of nodes whose sets are similar enough."""
-    side = lambda s: sets.select(F.col("node").alias(s), F.col("features").alias(f"{s}_features"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch["a_features"], batch["b_features"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
+            for x, y in zip(batch.column("a_features"), batch.column("b_features")):
+                # the sets are read where they lie in the batch
+                both = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)])
                 both.sort()
                 common = int(np.count_nonzero(both[1:] == both[:-1]))
                 keep.append(100 * common >= percent * (len(both) - common))
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a string, b string")
+    found = _sides(pairs, sets, "node", "features").select("a", "b", "a_features", "b_features")
+    return found.mapInArrow(run, "a string, b string")
 
 
 def crossing(open_buckets: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of nodes of one bucket and different components that their sketches do not rule out.
+    """a, b: pairs of locators of one bucket and different components that sizes and short sketches do not rule out.
 
-    A bucket of many sets is cut into blocks, and every two blocks meet in a task of their own.
+    A bucket of many sets is cut into blocks, and every two blocks meet in a group of their own.
     """
     sizes = open_buckets.groupBy("signature").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = open_buckets.join(sizes, "signature").withColumn("h", F.pmod(F.xxhash64("signature", "node"), F.col("blocks")).cast("int"))
+    rows = open_buckets.join(sizes, "signature").withColumn("h", F.pmod(F.xxhash64("signature", "id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "signature", F.least("h", "other").alias("low"), F.greatest("h", "other").alias("high"),
-        "h", "node", "component", "band", "n", "own", "above",
-    )
     keys = ["signature", "low", "high"]
+    rows = rows.select("signature", F.least("h", "other").alias("low"), F.greatest("h", "other").alias("high"), "h", "id", "component", "n", "short")
     placed = rows.repartition(*keys).sortWithinPartitions(*keys)
 
-    def compared(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        # a signature belongs to one band and the one below; a clash of signatures may bring others
-        for top in np.unique(group["band"]):
-            yield from in_band(group[group["band"].isin([top - 1, top])], top)
-
-    def in_band(group: pd.DataFrame, top: int) -> Iterator[pd.DataFrame]:
-        low, high = group["low"].iat[0], group["high"].iat[0]
-        band = group["band"].to_numpy()
-        parities = _matrix([o if b == top else a for b, o, a in zip(band, group["own"], group["above"])])
-        n, h, nodes = group["n"].to_numpy(), group["h"].to_numpy(), group["node"].to_numpy()
-        part = pd.factorize(group["component"])[0]
-        for at in range(0, len(group), ROWS):
-            x = slice(at, at + ROWS)
-            for to in range(at if low == high else 0, len(group), BLOCK):
-                y = slice(to, to + BLOCK)
-                near = (part[x, None] != part[None, y]) & (np.maximum(band[x, None], band[None, y]) == top)
-                near &= 100 * np.minimum(n[x, None], n[None, y]) >= percent * np.maximum(n[x, None], n[None, y])
-                if low != high:
-                    near &= (h[x, None] == low) & (h[None, y] == high)
-                i, j = np.nonzero(near)
-                for s in range(0, len(i), 1 << 16):
-                    p, q = at + i[s : s + (1 << 16)], to + j[s : s + (1 << 16)]
-                    apart = np.bitwise_count(parities[p] ^ parities[q]).sum(axis=1, dtype=np.int64)
-                    some = apart <= distance(n[p] + n[q], percent)
-                    first, second = nodes[p[some]], nodes[q[some]]
-                    yield pd.DataFrame({"a": np.minimum(first, second), "b": np.maximum(first, second)}).drop_duplicates()
+    def compared(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The pairs of all groups in the rows, some at a time: every row with those behind it in its group."""
+        low, high, h, n, ids = (rows[c].to_numpy() for c in ("low", "high", "h", "n", "id"))
+        parts, parities = pd.factorize(rows["component"])[0], _matrix(rows["short"].tolist())
+        new = np.concatenate([[True], ~_same(rows, keys), [True]])
+        ends = np.flatnonzero(new)
+        behind = np.repeat(ends[1:], np.diff(ends)) - np.arange(len(rows)) - 1
+        upto = np.cumsum(behind)
+        at = 0
+        while at < len(rows):
+            done = upto[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(upto, done + PAIRS, side="right")))
+            x = np.repeat(np.arange(at, to), behind[at:to])
+            y = np.arange(len(x)) - np.repeat(np.concatenate([[0], np.cumsum(behind[at:to])[:-1]]), behind[at:to]) + x + 1
+            some = (parts[x] != parts[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+            some &= (low[x] == high[x]) | (h[x] != h[y])
+            x, y = x[some], y[some]
+            apart = np.bitwise_count(parities[x] ^ parities[y]).sum(axis=1, dtype=np.int64)
+            some = apart <= distance(n[x] + n[y], percent)
+            first, second = ids[x[some]], ids[y[some]]
+            pairs = pd.DataFrame({"a": np.minimum(first, second), "b": np.maximum(first, second)})
+            yield pairs.drop_duplicates()
+            at = to
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for batch in batches:
             if not len(batch):
                 continue
-            key = list(zip(*(batch[k] for k in keys)))
-            cuts = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
-            if held and tuple(held[0][k].iat[0] for k in keys) != key[0]:
-                yield from compared(pd.concat(held))
-                held = []
-            for s, e in zip(cuts, cuts[1:]):
-                held.append(batch.iloc[s:e])
-                if e < len(key):
-                    yield from compared(pd.concat(held))
-                    held = []
+            whole = pd.concat([*held, batch], ignore_index=True) if held else batch.reset_index(drop=True)
+            # the last group may go on in the next batch
+            cut = np.flatnonzero(~_same(whole, keys))
+            cut = int(cut[-1]) + 1 if len(cut) else 0
+            if cut:
+                yield from compared(whole.iloc[:cut])
+            held = [whole.iloc[cut:]]
         if held:
-            yield from compared(pd.concat(held))
+            yield from compared(held[0])
+
+    return placed.mapInPandas(run, "a bigint, b bigint").distinct()
+
 
-    return placed.mapInPandas(run, "a string, b string").distinct()
+def _same(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """Whether each row but the first has the keys of the row before it."""
+    out = np.ones(max(0, len(rows) - 1), bool)
+    for k in keys:
+        column = rows[k].to_numpy()
+        out &= column[1:] == column[:-1]
+    return out
 
 
 def links(docs: DataFrame, named: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
@@ -365,23 +473,26 @@ def links(docs: DataFrame, named: DataFrame, id_col: str, text_col: str, words:
         candidate_sets(docs, named, full.select("id").distinct(), id_col, text_col, words, percent), "sets"
     )
     ends = full.groupBy("signature").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    star = full.join(ends, "signature").select(
-        F.explode(F.array(F.struct(F.col("first").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("last").alias("b")))).alias("p")
-    ).select("p.*").filter("a <> b").distinct()
-    checked = written(sketched(star, sets, percent), "checked")
+    pair = lambda a, b: F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    star = full.join(ends, "signature").select(F.explode(F.array(pair("first", "id"), pair("id", "last"))).alias("p"))
+    star = written(star.select("p.*").filter("a <> b").distinct(), "star")
+    checked = written(by_short_sketch(star, sets, percent), "near")
+    checked = written(by_long_sketch(checked, sets, percent), "checked")
     found = written(verified(checked, sets, percent), "links")
     parts = connected_components(found)
-    lines = sets.select("id", "node", "band", "n", "own", "above").join(
+    lines = sets.select("id", "node", "n", "short").join(
         parts.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left"
     )
-    lines = written(lines.select("id", "node", F.coalesce("component", "node").alias("component"), "band", "n", "own", "above"), "lines")
+    # 16 bytes of a component's name instead of 32 digits
+    lines = written(lines.select("id", F.unhex(F.coalesce("component", "node")).alias("component"), "n", "short"), "lines")
     several = (
         full.join(lines.select("id", "component"), "id").groupBy("signature")
         .agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("signature")
     )
-    rest = full.join(several, "signature", "left_semi").join(lines, "id").drop("id")
-    more = crossing(written(rest, "open"), percent).join(checked, ["a", "b"], "left_anti")
-    return found.unionByName(verified(more, sets, percent))
+    rest = written(full.join(several, "signature", "left_semi").join(lines, "id"), "open")
+    more = written(crossing(rest, percent), "crossing")
+    more = written(by_short_sketch(more, sets, percent).join(checked, ["a", "b"], "left_anti"), "more")
+    return found.unionByName(verified(written(by_long_sketch(more, sets, percent), "most"), sets, percent))
 
 
 def similar_documents(

@@ -88,8 +88,25 @@ def test_components_are_those_of_all_similar_pairs(spark, rows, width, percent):
     assert len({c for _, _, c in expected}) < len(rows) - 50
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1 << 16])
+def test_words_are_hashed_alike_in_any_pieces(rows, monkeypatch, piece):
+    monkeypatch.setattr(jaccard, "PIECE", piece)
+    texts = [t for _, t in rows[:60] if t] + ["\x0ba\x0c ß\r\n", "a" * 300, " ", "b" * 256 + " " + "b" * 257]
+    for text in texts:
+        data = text.encode()
+        hashes, starts = jaccard.word_hashes(data)
+        words = data.lower().split()
+        assert [data.lower()[s:].split()[0] for s in starts] == words
+        assert len(set(hashes.tolist())) == len(set(words))
+    sets = [s.tolist() for s in jaccard.shingle_sets([t.encode() for t in texts] + [None], 3)]
+    monkeypatch.setattr(jaccard, "PIECE", 1 << 16)
+    assert sets == [next(jaccard.shingle_sets([t and t.encode()], 3)).tolist() for t in [*texts, None]]
+
+
 def test_blocks_of_a_crowded_bucket(spark, rows, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "PAIRS", 10)
+    monkeypatch.setattr(jaccard, "FEW", 5)
     docs = spark.createDataFrame(rows, SCHEMA)
     assert _found(jaccard.similar_documents(docs)) == sorted(_expected(rows, 4, 85), key=repr)
 
@@ -110,8 +127,8 @@ def test_similar_sets_share_a_signature_and_sketches_never_overstate(percent):
         common = len(np.intersect1d(a, b))
         union = len(a) + len(b) - common
         bands = [int(x) for x in jaccard.band_of(np.array([len(a), len(b)]), percent)]
-        for band in {max(bands)}:
-            sketches = [np.frombuffer(jaccard.sketch(x, band, percent), np.uint64) for x in (a, b)]
+        for bits in (jaccard.SHORT, jaccard.long_bits(max(bands), percent)):
+            sketches = [np.frombuffer(jaccard.sketch(x, bits), np.uint64) for x in (a, b)]
             assert int(np.bitwise_count(sketches[0] ^ sketches[1]).sum()) <= union - common
         if len(b) and 100 * common >= percent * union and common < union:
             signature, of = jaccard.signatures([a, b], percent)
