@@ -7,17 +7,21 @@ from pyspark.sql import types as T
 
 
 MAX_BUCKETS = 4096
+#: Bytes of text that a bucket holds on average at most.
+BUCKET_BYTES = 32 << 20
 
 
 def _borders(df: DataFrame, order: str, bucket_rows: int) -> list[int]:
     """Values of the order that cut the rows into buckets of about equal size.
 
-    The number of buckets follows the number of rows up to MAX_BUCKETS; a bucket then holds
-    more rows, which its task sorts with spilling. There is always a border, so the bucket
-    is a column to join on and no constant.
+    The number of buckets follows the number of rows and the bytes of their texts up to MAX_BUCKETS; a
+    bucket then holds more rows, which its task sorts with spilling. There is always a border, so the
+    bucket is a column to join on and no constant.
     """
-    rows = df.agg(F.count(F.lit(1))).first()[0]
-    buckets = min(MAX_BUCKETS, max(2, -(-rows // bucket_rows)))
+    texts = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in texts), F.lit(0).cast("bigint"))
+    rows, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    buckets = min(MAX_BUCKETS, max(2, -(-rows // bucket_rows), -(-held // BUCKET_BYTES)))
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     found = df.agg(F.percentile_approx(F.col(order).cast("bigint"), cuts, F.lit(10 * buckets))).first()[0]
     return sorted(set(found or [0]))

@@ -46,3 +46,13 @@ def test_published_rows_are_dealt_to_as_many_tasks_as_they_are_read_by(spark, fo
     found = c.s8_published(spark, folder)
     assert min(dealt) >= PARTS
     assert sorted(map(tuple, found.groupBy("version").agg(F.sum("n")).collect())) == [("all", 70), ("even", 35)]
+
+
+def test_buckets_of_long_texts_are_more(spark):
+    from glyphline.operators import dedup
+
+    rows = spark.range(128).select("id", F.floor(F.col("id") / 2).alias("k"), F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    assert len(dedup._borders(rows, "id", 1_000_000)) >= 3
+    assert len(dedup._borders(rows.drop("text"), "id", 1_000_000)) == 1
+    kept = dedup.first_of_run(rows, "id", "k", F.lit(True)).select("id", F.length("text").alias("n"))
+    assert sorted(map(tuple, kept.collect())) == [(i, 1 << 20) for i in range(0, 128, 2)]
