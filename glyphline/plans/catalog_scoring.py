@@ -18,7 +18,7 @@ from glyphline.plans.catalog_symbols import CLS, D, PROFILE_SQL, S, _rounded
 from glyphline.plans.catalog_text import TOKENS
 from glyphline.plans.flows import land_reviews
 from glyphline.plans.registry import query
-from glyphline.session import checkpointed, scratch_path
+from glyphline.session import checkpointed, part_count, scratch_path
 from glyphline.streaming.score import append_to, emotion_in_row, lookup_literal, score_batches, score_stream, valence_in_row
 
 # ---------------------------------------------------------------- valence
@@ -351,9 +351,10 @@ def g6_append_stream(spark, sf):
     """The documents as a stream of several micro-batches, scored in the row and appended to a folder."""
     docs = b.documents(spark, sf, "doc_id", "text")
     landed, lines, out = (scratch_path(spark, name) for name in ("landed", "lines", "appended"))
-    docs.repartition(4).write.parquet(landed)
+    files = part_count(docs, 4)
+    docs.repartition(files).write.parquet(landed)
     sg.folded_model(_model(spark, sf)).write.parquet(lines)
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", files // 2).parquet(landed)
     scored = score_stream(stream, b.EMOTIONS, spark.read.parquet(lines), "text", "doc_id", k=3)
     run = append_to(scored.drop("text"), out, scratch_path(spark, "append-state")).trigger(availableNow=True).start()
     run.awaitTermination()

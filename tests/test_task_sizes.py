@@ -56,3 +56,15 @@ def test_buckets_of_long_texts_are_more(spark):
     assert len(dedup._borders(rows.drop("text"), "id", 1_000_000)) == 1
     kept = dedup.first_of_run(rows, "id", "k", F.lit(True)).select("id", F.length("text").alias("n"))
     assert sorted(map(tuple, kept.collect())) == [(i, 1 << 20) for i in range(0, 128, 2)]
+
+
+def test_the_stream_gets_as_many_files_as_the_table_is_read_in(spark, folder, monkeypatch):
+    from glyphline.plans import catalog_scoring as c
+
+    paths, scratch = {}, c.scratch_path
+    monkeypatch.setattr(c, "scratch_path", lambda spark, name: paths.setdefault(name, scratch(spark, name)))
+    found = c.g6_append_stream(spark, folder)
+    assert len(spark.read.parquet(paths["landed"]).inputFiles()) >= PARTS
+    batches = spark.read.text(f"{paths['append-state']}/commits").select(F.input_file_name()).distinct().count()
+    assert 2 <= batches <= 3
+    assert found.count() == 70
