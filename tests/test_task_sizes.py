@@ -68,3 +68,14 @@ def test_the_stream_gets_as_many_files_as_the_table_is_read_in(spark, folder, mo
     batches = spark.read.text(f"{paths['append-state']}/commits").select(F.input_file_name()).distinct().count()
     assert 2 <= batches <= 3
     assert found.count() == 70
+
+
+def test_packing_hands_few_texts_at_a_time_to_a_worker(spark, folder, monkeypatch):
+    from glyphline.llm import packing as p
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, write, before = {}, p.written, spark.conf.get(name)
+    monkeypatch.setattr(p, "written", lambda df, at: (seen.update({at: int(spark.conf.get(name))}), write(df, at))[1])
+    packed = p.pack(spark.read.parquet(f"{folder}/documents.parquet"))
+    assert seen["pieces"] <= 500 and spark.conf.get(name) == before
+    assert packed.select("doc_id").distinct().count() == 70
