@@ -79,3 +79,20 @@ def test_packing_hands_few_texts_at_a_time_to_a_worker(spark, folder, monkeypatc
     packed = p.pack(spark.read.parquet(f"{folder}/documents.parquet"))
     assert seen["pieces"] <= 500 and spark.conf.get(name) == before
     assert packed.select("doc_id").distinct().count() == 70
+
+
+def test_collocations_of_a_cloud_are_computed_once(spark, rows):
+    from glyphline.functions.text import cloud_tokens
+    from glyphline.operators import terms
+
+    texts = spark.createDataFrame([("Ice creams 12 ice cream's 7's It's x1 ٣٤ été",), ("ice cream one",), (None,), ("",)], "text string")
+    assert [r[0] for r in texts.select(cloud_tokens("text")).collect()] == [
+        ["ice", "creams", "ice", "cream", "it", "x1", "été"], ["ice", "cream", "one"], None, []
+    ]
+    stop = spark.createDataFrame([("it",)], "word string")
+    found = terms.cloud_frequencies(texts, stop, "text", threshold=8)
+    # words and pairs both come from the written collocations, so no join is left in the plan
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == [("ice cream", 3), ("one", 1), ("x1", 1), ("été", 1)]
+    forms = spark.createDataFrame([("bus", 2), ("bu", 1), ("cats", 1), ("glass", 1), ("s", 1)], "word string, n int")
+    assert rows(terms.merge_plurals(forms)) == [("bu", 3), ("cats", 1), ("glass", 1), ("s", 1)]
